@@ -196,4 +196,10 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None,
     reps = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in (dates or [])]
     reps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in (stamps or [])]
     body = f"SELECT * REPLACE ({', '.join(reps)}) FROM ({sql}) _q" if reps else sql
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    if not parts:
+        return body
+    lead = body.lstrip()
+    if lead[:4].upper() == "WITH" and lead[4:5].isspace():
+        # The query has CTEs of its own: continue one WITH list.
+        return "WITH " + ",\n".join(parts) + ",\n" + lead[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
