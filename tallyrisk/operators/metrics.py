@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import cumulative
+from .ranking import attach, cumulative
 
 # float64 machine epsilon: probability clip of the log loss.
 LOG_LOSS_EPS = 2.220446049250313e-16
@@ -42,8 +42,7 @@ def _with_totals(curve: DataFrame, group_cols: list[str]) -> DataFrame:
     tot = curve.groupBy(*[F.col(g) for g in group_cols]).agg(
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     # Totals are one row per group: tiny, and the group set is bounded by contract.
-    return curve.join(F.broadcast(tot), group_cols, "inner") if group_cols else \
-        curve.join(F.broadcast(tot), how="inner")
+    return curve.join(F.broadcast(tot), group_cols, "inner") if group_cols else attach(curve, tot)
 
 
 def auc(df: DataFrame, group_cols: list[str] | None = None, score_col: str = "pd",
@@ -76,7 +75,7 @@ def binary_metrics(df: DataFrame, group_cols: list[str] | None = None, score_col
         F.max("_P").alias("_Pt"), F.max("_N").alias("_Nt"))
     brier = _counts(df, g, score_col, label_col).groupBy(*[F.col(x) for x in g]).agg(
         F.avg((F.col("_s") - F.col("_pos")) ** 2).alias("_brier"))
-    out = agg.join(brier, g, "inner") if g else agg.join(brier, how="inner")
+    out = agg.join(brier, g, "inner") if g else attach(agg, brier)
     n = F.col("_Pt") + F.col("_Nt")
     return out.select(
         *[F.col(x) for x in g],

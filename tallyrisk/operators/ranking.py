@@ -40,6 +40,14 @@ def _bounded_broadcast(small: DataFrame, est_rows: int) -> DataFrame:
     return F.broadcast(small) if est_rows <= MAX_BROADCAST_ROWS else small
 
 
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of a one-row aggregate to every row of ``df``.
+
+    The one-row side is broadcast; this is a scalar lookup, not a pairing of rows.
+    """
+    return df.join(F.broadcast(one_row), how="inner")
+
+
 def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                descending: bool = False, buckets: int | None = None,
                prefix: str = "cum_", max_groups: int = 100_000) -> DataFrame:
