@@ -40,7 +40,7 @@ def load_all() -> None:
             importlib.import_module(f"{__package__}.{m}")
 
 
-_MODULES = ["q_labels", "q_features", "q_metrics", "q_drift", "q_policy", "q_macro",
+_MODULES = ["q_labels", "q_features", "q_metrics", "q_drift", "q_policy", "q_perf", "q_macro",
             "q_forecast", "q_split", "q_sources", "q_models", "q_streaming"]
 
 

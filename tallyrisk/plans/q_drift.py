@@ -25,47 +25,51 @@ def _counts(view: str, feats: list[str], name: str) -> str:
         for f in feats)
 
 
-def _drift_ctes(ref: str, cur: str, feats: list[str]) -> dict[str, str]:
-    """The drift statistics as CTEs: edges, bins, psi, ks per feature."""
+def _drift_ctes(ref: str, cur: str, feats: list[str], p: str = "") -> dict[str, str]:
+    """The drift statistics as CTEs (edges, bins, psi, ks per feature), names prefixed by ``p``."""
+    n = {k: p + k for k in ["rl", "cl", "nr", "nc", "e", "rb", "cb", "ab", "hb", "ht", "ps",
+                            "kv", "kc", "kd", "ks", "core"]}
     return {
-        "rl": _long(ref, feats),
-        "cl": _long(cur, feats),
-        "nr": _counts(ref, feats, "n_ref"),
-        "nc": _counts(cur, feats, "n_cur"),
-        "e": f"SELECT feature, list_sort(list_distinct(quantile_cont(value, {_PROBS}))) AS edges "
-             "FROM rl GROUP BY feature",
-        "rb": "SELECT rl.feature, least(len(list_filter(e.edges, lambda x: x <= rl.value)) - 1, len(e.edges) - 2) AS bin "
-              "FROM rl JOIN e USING (feature) WHERE len(e.edges) >= 2 AND rl.value >= e.edges[1] "
-              "AND rl.value <= e.edges[len(e.edges)]",
-        "cb": "SELECT cl.feature, least(len(list_filter(e.edges, lambda x: x <= cl.value)) - 1, len(e.edges) - 2) AS bin "
-              "FROM cl JOIN e USING (feature) WHERE len(e.edges) >= 2 AND cl.value >= e.edges[1] "
-              "AND cl.value <= e.edges[len(e.edges)]",
-        "ab": "SELECT feature, unnest(range(0, greatest(len(edges) - 1, 1))) AS bin, len(edges) AS n_edges FROM e",
-        "hb": """SELECT ab.feature, ab.bin, ab.n_edges,
-                   (SELECT count(*) FROM rb WHERE rb.feature = ab.feature AND rb.bin = ab.bin) AS rn,
-                   (SELECT count(*) FROM cb WHERE cb.feature = ab.feature AND cb.bin = ab.bin) AS cn FROM ab""",
-        "ht": "SELECT *, sum(rn) OVER (PARTITION BY feature) AS rt, sum(cn) OVER (PARTITION BY feature) AS ct FROM hb",
-        "ps": f"""SELECT feature, max(n_edges) AS n_edges, max(ct) AS ct,
+        n["rl"]: _long(ref, feats),
+        n["cl"]: _long(cur, feats),
+        n["nr"]: _counts(ref, feats, "n_ref"),
+        n["nc"]: _counts(cur, feats, "n_cur"),
+        n["e"]: f"SELECT feature, list_sort(list_distinct(quantile_cont(value, {_PROBS}))) AS edges "
+                f"FROM {n['rl']} GROUP BY feature",
+        n["rb"]: f"SELECT l.feature, least(len(list_filter(e.edges, lambda x: x <= l.value)) - 1, len(e.edges) - 2) AS bin "
+                 f"FROM {n['rl']} l JOIN {n['e']} e USING (feature) WHERE len(e.edges) >= 2 AND l.value >= e.edges[1] "
+                 "AND l.value <= e.edges[len(e.edges)]",
+        n["cb"]: f"SELECT l.feature, least(len(list_filter(e.edges, lambda x: x <= l.value)) - 1, len(e.edges) - 2) AS bin "
+                 f"FROM {n['cl']} l JOIN {n['e']} e USING (feature) WHERE len(e.edges) >= 2 AND l.value >= e.edges[1] "
+                 "AND l.value <= e.edges[len(e.edges)]",
+        n["ab"]: f"SELECT feature, unnest(range(0, greatest(len(edges) - 1, 1))) AS bin, len(edges) AS n_edges FROM {n['e']}",
+        n["hb"]: f"""SELECT ab.feature, ab.bin, ab.n_edges,
+                   (SELECT count(*) FROM {n['rb']} r WHERE r.feature = ab.feature AND r.bin = ab.bin) AS rn,
+                   (SELECT count(*) FROM {n['cb']} c WHERE c.feature = ab.feature AND c.bin = ab.bin) AS cn
+                 FROM {n['ab']} ab""",
+        n["ht"]: f"SELECT *, sum(rn) OVER (PARTITION BY feature) AS rt, sum(cn) OVER (PARTITION BY feature) AS ct FROM {n['hb']}",
+        n["ps"]: f"""SELECT feature, max(n_edges) AS n_edges, max(ct) AS ct,
                    sum(CASE WHEN ct > 0 THEN (greatest(cn / ct, {D.PSI_EPS}) - greatest(rn / rt, {D.PSI_EPS}))
                        * ln(greatest(cn / ct, {D.PSI_EPS}) / greatest(rn / rt, {D.PSI_EPS})) END) AS psi
-                  FROM ht GROUP BY feature""",
-        "kv": """SELECT feature, value, sum(rc) AS rc, sum(cc) AS cc FROM (
-                   SELECT feature, value, 1 AS rc, 0 AS cc FROM rl UNION ALL
-                   SELECT feature, value, 0, 1 FROM cl) GROUP BY feature, value""",
-        "kc": """SELECT kv.feature, sum(rc) OVER w AS cr, sum(cc) OVER w AS cc2, nr.n_ref, nc.n_cur
-                 FROM kv JOIN nr USING (feature) JOIN nc USING (feature)
+                  FROM {n['ht']} GROUP BY feature""",
+        n["kv"]: f"""SELECT feature, value, sum(rc) AS rc, sum(cc) AS cc FROM (
+                   SELECT feature, value, 1 AS rc, 0 AS cc FROM {n['rl']} UNION ALL
+                   SELECT feature, value, 0, 1 FROM {n['cl']}) GROUP BY feature, value""",
+        n["kc"]: f"""SELECT kv.feature, sum(rc) OVER w AS cr, sum(cc) OVER w AS cc2, nr.n_ref, nc.n_cur
+                 FROM {n['kv']} kv JOIN {n['nr']} nr USING (feature) JOIN {n['nc']} nc USING (feature)
                  WINDOW w AS (PARTITION BY kv.feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-        "kd": "SELECT feature, max(abs(cr / n_ref - cc2 / n_cur)) AS d, max(n_ref) AS n, max(n_cur) AS m FROM kc GROUP BY feature",
-        "ks": f"""SELECT feature, d, least(greatest(CASE WHEN d * sqrt(n * m / (n + m)) < 0.2 THEN 1.0 ELSE
+        n["kd"]: f"SELECT feature, max(abs(cr / n_ref - cc2 / n_cur)) AS d, max(n_ref) AS n, max(n_cur) AS m FROM {n['kc']} GROUP BY feature",
+        n["ks"]: f"""SELECT feature, d, least(greatest(CASE WHEN d * sqrt(n * m / (n + m)) < 0.2 THEN 1.0 ELSE
                    2 * list_sum(list_transform(range(1, {D.KS_SERIES_TERMS + 1}),
                      lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * (d * sqrt(n * m / (n + m))) * (d * sqrt(n * m / (n + m))))))
-                   END, 0.0), 1.0) AS p FROM kd""",
-        "core": """SELECT nr.feature, nr.n_ref, nc.n_cur,
+                   END, 0.0), 1.0) AS p FROM {n['kd']}""",
+        n["core"]: f"""SELECT nr.feature, nr.n_ref, nc.n_cur,
                      CASE WHEN nr.n_ref = 0 OR nc.n_cur = 0 THEN 0.0
                           WHEN coalesce(ps.n_edges, 0) < 2 THEN 0.0
                           WHEN ps.ct = 0 THEN NULL ELSE ps.psi END AS psi,
                      coalesce(ks.d, 0.0) AS ks_statistic, coalesce(ks.p, 1.0) AS ks_p_value
-                   FROM nr JOIN nc USING (feature) LEFT JOIN ps USING (feature) LEFT JOIN ks USING (feature)""",
+                   FROM {n['nr']} nr JOIN {n['nc']} nc USING (feature) LEFT JOIN {n['ps']} ps USING (feature)
+                   LEFT JOIN {n['ks']} ks USING (feature)""",
     }
 
 
