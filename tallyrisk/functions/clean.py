@@ -29,8 +29,8 @@ def normalize_blanks(df: DataFrame) -> DataFrame:
 
 def to_double(c: Column) -> Column:
     """Lenient numeric coercion: unparsable → NULL, never NaN (P-2, §1.4)."""
-    d = F.trim(c.cast("string")).try_cast("double")
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    # nanvl keeps one reference to the parsed value: the expression tree stays linear.
+    return F.nanvl(F.trim(c.cast("string")).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_long(c: Column) -> Column:
@@ -92,13 +92,33 @@ def period_text(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM")
 
 
+def tape_period_text(c: Column) -> Column:
+    """P-7, first half: number → integer → zero-padded six-digit text."""
+    return F.lpad(to_long(c).cast("string"), 6, "0")
+
+
 def parse_tape_period(c: Column) -> Column:
     """Numeric period (leading zero possibly lost) → month (P-7).
 
     number → integer → zero-pad to 6 → YYYYMM, else MMYYYY; NULL when neither.
+    Prefer :func:`with_tape_period` on frames: it materialises the padded text once
+    instead of repeating it inside every branch of the date rule.
     """
-    n = to_long(c)
-    return parse_six_digits(F.lpad(n.cast("string"), 6, "0"))
+    return parse_six_digits(tape_period_text(c))
+
+
+def with_tape_period(df: DataFrame, src: str, out: str) -> DataFrame:
+    """Add ``out`` = P-7 month of ``src``, computing the padded text in its own projection."""
+    tmp = f"__{out}_txt"
+    return (df.withColumn(tmp, tape_period_text(F.col(src)))
+            .withColumn(out, parse_six_digits(F.col(tmp))).drop(tmp))
+
+
+def with_period(df: DataFrame, src: str, out: str) -> DataFrame:
+    """Add ``out`` = P-5 month of ``src`` with the trimmed text materialised once."""
+    tmp = f"__{out}_txt"
+    return (df.withColumn(tmp, F.trim(F.col(src).cast("string")))
+            .withColumn(out, parse_period(F.col(tmp))).drop(tmp))
 
 
 def add_months_text(mmyyyy: Column, months: int | Column) -> Column:

@@ -140,17 +140,68 @@ def score_severity(psi: Column, p: Column, d: Column) -> Column:
 
 def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],
                 n_bins: int) -> DataFrame:
+    """PSI and KS for every feature from ONE collapsed, prefix-summed frame.
+
+    Both sides are unpivoted and collapsed to ``(feature, value, rc, cc)`` (one shuffle,
+    map-side combined); one distributed prefix sum over it gives the two empirical CDFs
+    (KS), the reference ranks for the exact quantile edges, and — binned against the
+    broadcast edges — both histograms (PSI). Raw rows are read once.
+    """
     feats = [f for f in features if f in reference.columns and f in current.columns]
     if not feats:
         raise ValueError("no requested feature is present in both frames")
     rl, cl = long_format(reference, feats), long_format(current, feats)
     n_ref = non_null_counts(reference, feats, "n_ref")
     n_cur = non_null_counts(current, feats, "n_cur")
-    psi = psi_table(rl, cl, n_ref, n_cur, n_bins)
-    ks = ks_table(rl, cl, n_ref, n_cur)
     counts = n_ref.join(n_cur, "feature")
-    return (counts.join(psi, "feature", "left").join(ks, "feature", "left")
-            .fillna({"ks_statistic": 0.0, "ks_p_value": 1.0}))
+    both = rl.select("feature", "value", F.lit(1).alias("rc"), F.lit(0).alias("cc")).unionByName(
+        cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
+    cum = cumulative(both, ["feature"], "value", ["rc", "cc"]).join(F.broadcast(counts), "feature")
+    # KS: max gap between the two CDFs at every distinct value.
+    gap = F.abs(F.col("cum_rc") / F.col("n_ref") - F.col("cum_cc") / F.col("n_cur"))
+    ks = cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"), F.max("n_ref").alias("_n"),
+                                    F.max("n_cur").alias("_m"))
+    ks = ks.select("feature", "ks_statistic", ks_pvalue(F.col("ks_statistic"), F.col("_n").cast("double"),
+                                                       F.col("_m").cast("double")).alias("ks_p_value"))
+    # Exact reference quantile edges: the values holding the ranks around each position.
+    probs = [i / n_bins for i in range(n_bins + 1)]
+    tg = n_ref.where(F.col("n_ref") > 0).select(
+        "feature", "n_ref", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("q", "prob"))
+    tg = tg.select("feature", "q", (F.col("prob") * (F.col("n_ref") - 1)).alias("pos"))
+    tg = tg.select("*", F.floor("pos").cast("long").alias("lo"), F.ceil("pos").cast("long").alias("hi"))
+    ranks = tg.select("feature", F.col("lo").alias("r")).union(tg.select("feature", F.col("hi").alias("r"))).distinct()
+    refrows = cum.where(F.col("rc") > 0).select("feature", "value", "rc", "cum_rc")
+    at = refrows.join(F.broadcast(ranks), "feature").where(
+        ((F.col("cum_rc") - F.col("rc")) <= F.col("r")) & (F.col("r") < F.col("cum_rc"))).select(
+        "feature", "r", "value")
+    lo = at.select("feature", F.col("r").alias("lo"), F.col("value").alias("vlo"))
+    hi = at.select("feature", F.col("r").alias("hi"), F.col("value").alias("vhi"))
+    qv = tg.join(lo, ["feature", "lo"]).join(hi, ["feature", "hi"]).select(
+        "feature", (F.col("vlo") + (F.col("pos") - F.col("lo")) * (F.col("vhi") - F.col("vlo"))).alias("e"))
+    edges = qv.groupBy("feature").agg(F.array_distinct(F.array_sort(F.collect_list("e"))).alias("edges"))
+    # Histograms of both sides from the collapsed rows, against the broadcast edges.
+    binned = cum.select("feature", "value", "rc", "cc").join(F.broadcast(edges), "feature")
+    b = bin_index(F.col("value"), F.col("edges"))
+    hist = (binned.select("feature", b.alias("bin"), "rc", "cc").where(F.col("bin").isNotNull())
+            .groupBy("feature", "bin").agg(F.sum("rc").alias("rn"), F.sum("cc").alias("cn")))
+    all_bins = edges.select("feature", F.size("edges").alias("n_edges"), F.explode(F.sequence(
+        F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))).alias("bin"))
+    bins = all_bins.join(hist, ["feature", "bin"], "left").fillna(0, ["rn", "cn"])
+    tot = bins.groupBy("feature").agg(F.sum("rn").alias("rt"), F.sum("cn").alias("ct"))
+    bb = bins.join(F.broadcast(tot), "feature")
+    r = F.greatest(F.col("rn") / F.col("rt"), F.lit(PSI_EPS))
+    c = F.greatest(F.col("cn") / F.col("ct"), F.lit(PSI_EPS))
+    per = bb.groupBy("feature").agg(F.sum(F.when(F.col("ct") > 0, (c - r) * F.ln(c / r))).alias("_psi"),
+                                    F.max("ct").alias("ct"), F.max("n_edges").alias("n_edges"))
+    out = counts.join(per, "feature", "left").join(ks, "feature", "left")
+    psi = (F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(0.0))
+           .when(F.coalesce(F.col("n_edges"), F.lit(0)) < 2, F.lit(0.0))
+           .when(F.col("ct") == 0, F.lit(None).cast("double"))
+           .otherwise(F.col("_psi")))
+    oor = F.when(F.col("n_cur") > 0, 1 - F.coalesce(F.col("ct"), F.lit(0)) / F.col("n_cur"))
+    return out.select("feature", "n_ref", "n_cur", psi.alias("psi"), oor.alias("out_of_range_share"),
+                      F.coalesce(F.col("ks_statistic"), F.lit(0.0)).alias("ks_statistic"),
+                      F.coalesce(F.col("ks_p_value"), F.lit(1.0)).alias("ks_p_value"))
 
 
 def feature_drift(reference: DataFrame, current: DataFrame,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.clean import parse_tape_period, to_double
+from ..functions.clean import to_double, with_tape_period
 
 DEFAULT_HORIZON = 30
 MIN_BAND = 0.01
@@ -34,10 +34,9 @@ def delinquency_rate_ts(perf: DataFrame, period_col: str = "monthly_reporting_pe
     a missing or non-numeric status counts as current.
     """
     g = group_cols or []
-    ds = parse_tape_period(F.col(period_col))
     dlq = (F.coalesce(to_double(F.col(status_col)), F.lit(0.0)) > 0).cast("int")
-    p = perf.select(*[F.col(c) for c in g], ds.alias("ds"), dlq.alias("_d")).where(
-        F.col("ds").isNotNull())
+    p = perf.select(*[F.col(c) for c in g], F.col(period_col), dlq.alias("_d"))
+    p = with_tape_period(p, period_col, "ds").where(F.col("ds").isNotNull())
     agg = p.groupBy(*[F.col(c) for c in g], "ds").agg(
         F.count(F.lit(1)).alias("n_loans"), F.sum("_d").alias("n_delinquent"))
     y = F.least(F.greatest(F.col("n_delinquent") / F.greatest(F.col("n_loans"), F.lit(1)),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clean import coerce_types, normalize_blanks, parse_period, to_long
+from ..functions.clean import coerce_types, normalize_blanks, to_long, with_period
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -108,7 +108,7 @@ def orig_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orig(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed origination: blanks → NULL, numbers coerced, period parsed."""
     t = coerce_types(normalize_blanks(orig_tape(spark, sf_dir)), ORIG_TYPES)
-    return t.withColumn("first_payment_month", parse_period(F.col("first_payment_date")))
+    return with_period(t, "first_payment_date", "first_payment_month")
 
 
 def perf_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,7 @@ def perf_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def perf(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = coerce_types(normalize_blanks(perf_tape(spark, sf_dir)), PERF_TYPES)
-    return t.withColumn("reporting_month", parse_period(F.col("monthly_reporting_period")))
+    return with_period(t, "monthly_reporting_period", "reporting_month")
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods above 8000 bytecode bytes; a fused stage with
+    # wide CASE expressions would otherwise run interpreted. Spark's own advice for HotSpot.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
