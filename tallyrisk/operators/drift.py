@@ -86,8 +86,8 @@ def psi_table(ref_long: DataFrame, cur_long: DataFrame, n_ref: DataFrame, n_cur:
             .fillna(0, ["rn", "cn"]))
     tot = bins.groupBy("feature").agg(F.sum("rn").alias("rt"), F.sum("cn").alias("ct"))
     b = bins.join(tot, "feature")
-    r = F.greatest(F.col("rn") / F.col("rt"), F.lit(PSI_EPS))
-    c = F.greatest(F.col("cn") / F.col("ct"), F.lit(PSI_EPS))
+    r = F.greatest(F.try_divide(F.col("rn"), F.col("rt")), F.lit(PSI_EPS))
+    c = F.greatest(F.try_divide(F.col("cn"), F.col("ct")), F.lit(PSI_EPS))
     term = F.when(F.col("ct") > 0, (c - r) * F.ln(c / r))
     per = b.groupBy("feature").agg(
         F.sum(term).alias("_psi"), F.max("ct").alias("ct"), F.max("n_edges").alias("n_edges"))
@@ -96,13 +96,13 @@ def psi_table(ref_long: DataFrame, cur_long: DataFrame, n_ref: DataFrame, n_cur:
            .when(F.coalesce(F.col("n_edges"), F.lit(0)) < 2, F.lit(0.0))
            .when(F.col("ct") == 0, F.lit(None).cast("double"))
            .otherwise(F.col("_psi")))
-    oor = F.when(F.col("n_cur") > 0, 1 - F.coalesce(F.col("ct"), F.lit(0)) / F.col("n_cur"))
+    oor = F.when(F.col("n_cur") > 0, 1 - F.try_divide(F.coalesce(F.col("ct"), F.lit(0)), F.col("n_cur")))
     return out.select("feature", psi.alias("psi"), oor.alias("out_of_range_share"))
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = KS_SERIES_TERMS) -> Column:
     """Asymptotic two-sided p: 2 Σ (−1)^(k−1) exp(−2 k² λ²), λ = D √(nm/(n+m)); 1 below λ = 0.2."""
-    lam = d * F.sqrt(n * m / (n + m))
+    lam = d * F.sqrt(F.try_divide(n * m, n + m))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
@@ -117,7 +117,7 @@ def ks_table(ref_long: DataFrame, cur_long: DataFrame, n_ref: DataFrame,
         cur_long.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
     cum = cumulative(both, ["feature"], "value", ["rc", "cc"])
     cum = cum.join(F.broadcast(n_ref.join(n_cur, "feature")), "feature")
-    gap = F.abs(F.col("cum_rc") / F.col("n_ref") - F.col("cum_cc") / F.col("n_cur"))
+    gap = F.abs(F.try_divide(F.col("cum_rc"), F.col("n_ref")) - F.try_divide(F.col("cum_cc"), F.col("n_cur")))
     d = cum.groupBy("feature").agg(F.max(gap).alias("D"), F.max("n_ref").alias("n"),
                                    F.max("n_cur").alias("m"))
     return d.select("feature", F.col("D").alias("ks_statistic"),
@@ -158,7 +158,7 @@ def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],
         cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
     cum = cumulative(both, ["feature"], "value", ["rc", "cc"]).join(F.broadcast(counts), "feature")
     # KS: max gap between the two CDFs at every distinct value.
-    gap = F.abs(F.col("cum_rc") / F.col("n_ref") - F.col("cum_cc") / F.col("n_cur"))
+    gap = F.abs(F.try_divide(F.col("cum_rc"), F.col("n_ref")) - F.try_divide(F.col("cum_cc"), F.col("n_cur")))
     ks = cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"), F.max("n_ref").alias("_n"),
                                     F.max("n_cur").alias("_m"))
     ks = ks.select("feature", "ks_statistic", ks_pvalue(F.col("ks_statistic"), F.col("_n").cast("double"),
@@ -189,8 +189,8 @@ def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],
     bins = all_bins.join(hist, ["feature", "bin"], "left").fillna(0, ["rn", "cn"])
     tot = bins.groupBy("feature").agg(F.sum("rn").alias("rt"), F.sum("cn").alias("ct"))
     bb = bins.join(F.broadcast(tot), "feature")
-    r = F.greatest(F.col("rn") / F.col("rt"), F.lit(PSI_EPS))
-    c = F.greatest(F.col("cn") / F.col("ct"), F.lit(PSI_EPS))
+    r = F.greatest(F.try_divide(F.col("rn"), F.col("rt")), F.lit(PSI_EPS))
+    c = F.greatest(F.try_divide(F.col("cn"), F.col("ct")), F.lit(PSI_EPS))
     per = bb.groupBy("feature").agg(F.sum(F.when(F.col("ct") > 0, (c - r) * F.ln(c / r))).alias("_psi"),
                                     F.max("ct").alias("ct"), F.max("n_edges").alias("n_edges"))
     out = counts.join(per, "feature", "left").join(ks, "feature", "left")
@@ -198,7 +198,7 @@ def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],
            .when(F.coalesce(F.col("n_edges"), F.lit(0)) < 2, F.lit(0.0))
            .when(F.col("ct") == 0, F.lit(None).cast("double"))
            .otherwise(F.col("_psi")))
-    oor = F.when(F.col("n_cur") > 0, 1 - F.coalesce(F.col("ct"), F.lit(0)) / F.col("n_cur"))
+    oor = F.when(F.col("n_cur") > 0, 1 - F.try_divide(F.coalesce(F.col("ct"), F.lit(0)), F.col("n_cur")))
     return out.select("feature", "n_ref", "n_cur", psi.alias("psi"), oor.alias("out_of_range_share"),
                       F.coalesce(F.col("ks_statistic"), F.lit(0.0)).alias("ks_statistic"),
                       F.coalesce(F.col("ks_p_value"), F.lit(1.0)).alias("ks_p_value"))
