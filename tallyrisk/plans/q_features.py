@@ -275,3 +275,26 @@ def q_validate_schema(spark, d):
 def q_required_columns(spark, d):
     """M-13: each required output column: present or not, and its non-null count."""
     return missing_required(origination_feature_frame(spark, d))
+
+
+_REINDEX = ["credit_score", "orig_ltv", "orig_dti", "orig_upb"]
+
+
+@query("reindex_features", with_views("""
+SELECT loan_id, credit_score, orig_ltv, CAST(NULL AS DOUBLE) AS orig_dti, orig_upb FROM v_orig""", "v_orig"))
+def q_reindex_features(spark, d):
+    """P-8: records as maps (one key missing, one extra) reindexed to the model's columns."""
+    from ..functions.features import reindex_features
+
+    o = B.orig(spark, d)
+    rec = F.create_map(F.lit("credit_score"), F.col("credit_score"), F.lit("orig_ltv"), F.col("orig_ltv"),
+                       F.lit("orig_upb"), F.col("orig_upb"), F.lit("unused_extra"), F.col("orig_cltv"))
+    return o.select("loan_id", *reindex_features(rec, _REINDEX))
+
+
+@query("panel_sort", with_views("SELECT loan_id, reporting_month, dpd FROM v_panel", "v_panel",
+                                dates=["reporting_month"]))
+def q_panel_sort(spark, d):
+    """N-4: the loan-month panel ordered by (loan, parsed month) — a range-partitioned sort.
+    Operators never rely on it: ordering lives inside their windows (T2)."""
+    return B.panel(spark, d).orderBy("loan_id", "reporting_month")

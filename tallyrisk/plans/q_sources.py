@@ -108,7 +108,6 @@ def q_combined_split_origination(spark, d):
 @query("ingest_all")
 def q_ingest_all(spark, d):
     """S-5 (rows only): no classic tapes present → the combined tape is split and ingested."""
-    _, _ = None, None
     perf = B.perf_tape(spark, d)
     path = scratch_path(spark, "combined-all")
     orig = B.orig_tape(spark, d).drop("quarter")
@@ -260,3 +259,23 @@ def q_summary_markdown(spark, d):
 
 
 _ = MC  # macro operators are exercised through the series sources above
+
+
+_PERF_RT = ["loan_sequence_number", "monthly_reporting_period", "current_actual_upb", "loan_age",
+            "current_interest_rate", "modification_flag"]
+
+
+@query("perf_tape_round_trip", with_views("""
+SELECT loan_sequence_number, monthly_reporting_period, current_actual_upb, loan_age, current_interest_rate,
+       modification_flag, CAST(year(reporting_month) AS VARCHAR) || 'Q' || CAST(quarter(reporting_month) AS VARCHAR)
+       AS quarter FROM v_perf""", "v_perf"))
+def q_perf_tape_round_trip(spark, d):
+    """S-3: the performance tape landed per quarter, ingested to typed Parquet, read back."""
+    p = B.perf_tape(spark, d)
+    p = p.withColumn("quarter", F.concat(F.substring("monthly_reporting_period", 3, 4), F.lit("Q"),
+                                         F.ceil(F.substring("monthly_reporting_period", 1, 2).cast("int") / 3)
+                                         .cast("string")))
+    src = scratch_path(spark, "perf-tape")
+    TP.write_tape(p, TP.PERFORMANCE_COLUMNS, src, partition_col="quarter")
+    out = TP.ingest_tape(spark, src, "performance", scratch_path(spark, "perf-parquet"))
+    return out.select(*_PERF_RT, "quarter")
