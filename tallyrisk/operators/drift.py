@@ -156,7 +156,10 @@ def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],
     counts = n_ref.join(n_cur, "feature")
     both = rl.select("feature", "value", F.lit(1).alias("rc"), F.lit(0).alias("cc")).unionByName(
         cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
-    cum = cumulative(both, ["feature"], "value", ["rc", "cc"]).join(F.broadcast(counts), "feature")
+    cum = cumulative(both, ["feature"], "value", ["rc", "cc"])
+    # Three consumers (KS, quantile ranks, histograms) read the prefix sums: materialise them
+    # once in the shared checkpoint folder instead of re-running the sort and window three times.
+    cum = cum.checkpoint(eager=True).join(F.broadcast(counts), "feature")
     # KS: max gap between the two CDFs at every distinct value.
     gap = F.abs(F.try_divide(F.col("cum_rc"), F.col("n_ref")) - F.try_divide(F.col("cum_cc"), F.col("n_cur")))
     ks = cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"), F.max("n_ref").alias("_n"),

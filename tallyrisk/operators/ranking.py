@@ -33,7 +33,23 @@ def _bucket_count(spark) -> int:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always set in practice
         n = DEFAULT_BUCKETS
-    return max(8, min(4 * n, 4096))
+    return max(8, min(4 * n, 1024))
+
+
+def _bucket_of(v: Column, edges: Column, n_edges: int, descending: bool) -> Column:
+    """Number of edges strictly below ``v`` (above, when descending) in a sorted edge array,
+    as an unrolled binary search: O(log n) comparisons per row, all code-generated."""
+    def below(i: int) -> Column:  # edge i (0-based) is on the "before" side of v
+        e = F.element_at(edges, i + 1)
+        return (e > v) if descending else (e < v)
+
+    def search(lo: int, hi: int) -> Column:  # answer in [lo, hi]
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(below(mid), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, n_edges)
 
 
 def _bounded_broadcast(small: DataFrame, est_rows: int) -> DataFrame:
@@ -78,10 +94,7 @@ def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: l
     est = max_groups * nb
     with_edges = collapsed.join(_bounded_broadcast(edges, est), gk, "inner")
     v = F.col(order_col)
-    if descending:
-        bucket = F.size(F.filter("_edges", lambda e: e > v))
-    else:
-        bucket = F.size(F.filter("_edges", lambda e: e < v))
+    bucket = _bucket_of(v, F.col("_edges"), nb - 1, descending)
     bucketed = with_edges.select(*[F.col(c) for c in collapsed.columns], bucket.alias("_bkt"))
     totals = bucketed.groupBy(*_grp(gk), "_bkt").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
     wt = Window.partitionBy(*_grp(gk)).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
