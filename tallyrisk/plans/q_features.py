@@ -157,7 +157,7 @@ SELECT loan_id,
   {_clip_sql('orig_interest_rate', 0.5, 20.0)} AS orig_interest_rate,
   orig_loan_term, num_units, num_borrowers,
   CASE WHEN orig_upb IS NULL THEN NULL ELSE least(greatest(ln(greatest(orig_upb, 1.0)), 9.0), 14.0) END AS log_upb,
-  CASE upper(trim(first_time_homebuyer_flag)) WHEN 'Y' THEN 1.0 WHEN 'N' THEN 0.0 END AS is_first_time_homebuyer,
+  CAST(CASE upper(trim(first_time_homebuyer_flag)) WHEN 'Y' THEN 1.0 WHEN 'N' THEN 0.0 END AS DOUBLE) AS is_first_time_homebuyer,
   {_flag('orig_ltv > 80')} AS is_high_ltv,
   {_flag('orig_dti > 43')} AS is_high_dti,
   {_flag("upper(trim(amortization_type)) = 'ARM'")} AS is_arm,
@@ -199,11 +199,11 @@ def q_feature_table(spark, d):
 @query("performance_features", with_views("""
 SELECT p.loan_id, p.reporting_month,
   coalesce(CAST(TRY_CAST(p.current_delinquency_status AS DOUBLE) > 0 AS DOUBLE), 0.0) AS is_delinquent,
-  CASE WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) <= -1 THEN NULL
+  CAST(CASE WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) <= -1 THEN NULL
        WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) <= 0 THEN 0.0
        WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) <= 1 THEN 1.0
        WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) <= 2 THEN 2.0
-       WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) > 2 THEN 3.0 END AS delinquency_bucket,
+       WHEN TRY_CAST(p.current_delinquency_status AS DOUBLE) > 2 THEN 3.0 END AS DOUBLE) AS delinquency_bucket,
   CASE WHEN o.orig_upb IS NULL OR p.current_actual_upb IS NULL THEN NULL
        ELSE least(greatest((o.orig_upb - p.current_actual_upb) / greatest(o.orig_upb, 1.0), 0.0), 1.0) END
     AS paydown_ratio,

@@ -30,7 +30,7 @@ _ROLL = {
                 CASE WHEN count(*) >= 2 THEN round(regr_slope(auc, x), 6) END AS slope,
                 CASE WHEN count(*) < 2 THEN 'insufficient_data' WHEN regr_slope(auc, x) > 0 THEN 'improving'
                      ELSE 'degrading' END AS trend,
-                0.65 AS auc_alert_threshold, coalesce(arg_max(auc, period) < 0.65, false) AS alert FROM valid""",
+                CAST(0.65 AS DOUBLE) AS auc_alert_threshold, coalesce(arg_max(auc, period) < 0.65, false) AS alert FROM valid""",
 }
 
 
