@@ -36,9 +36,10 @@ def forward_default_label(panel: DataFrame, loan_col: str = "loan_id",
         raise ValueError("horizon must be >= 1 month")
     order, is_ts = _order_key(panel, date_col)
     bad = F.coalesce((F.col(dpd_col) >= F.lit(threshold)).cast("int"), F.lit(0))
-    # Distinct keys, one row each: pre-aggregated before the window's shuffle.
-    keys = (panel.where(F.col(date_col).isNotNull() & F.col(loan_col).isNotNull())
-            .groupBy(F.col(loan_col).alias("_loan"), F.col(date_col).alias("_d"))
+    # Distinct keys, one row each: pre-aggregated before the window's shuffle. (No NULL
+    # filter here: NULL keys never match the join back, and an unfiltered branch lets the
+    # planner reuse the panel's exchange instead of computing the panel twice.)
+    keys = (panel.groupBy(F.col(loan_col).alias("_loan"), F.col(date_col).alias("_d"))
             .agg(F.max(bad).alias("_bad")))
     korder, _ = _order_key(keys, "_d")
     keys = keys.withColumn("_o", korder)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.clean import parse_period
+from ..functions.clean import parse_period, with_period
 from .ranking import attach, cumulative
 
 DEFAULT_SEED = 42
@@ -61,8 +61,8 @@ def time_split(df: DataFrame, date_col: str, train_ratio: float = 0.6, val_ratio
                test_ratio: float = 0.2) -> DataFrame:
     """N-3 / W-5: add ``split`` ∈ {train, val, test} by month ≤ a, a < month ≤ b, month > b."""
     cuts = split_cuts(df, date_col, train_ratio, val_ratio, test_ratio).select("train_end", "val_end")
-    m = _month(date_col)
-    j = attach(df, cuts)
+    j = attach(with_period(df, date_col, "_m"), cuts)
+    m = F.col("_m")
     split = (F.when(m <= F.col("train_end"), "train").when(m <= F.col("val_end"), "val")
              .when(m.isNotNull(), "test"))
     return j.select(*[F.col(c) for c in df.columns], split.alias("split"))
@@ -70,7 +70,8 @@ def time_split(df: DataFrame, date_col: str, train_ratio: float = 0.6, val_ratio
 
 def split_report(split_df: DataFrame, date_col: str, label_col: str | None = None) -> DataFrame:
     """A-13: per split rows, distinct months, last month and positive rate."""
-    m = _month(date_col)
+    split_df = with_period(split_df, date_col, "_m")
+    m = F.col("_m")
     aggs = [F.count(F.lit(1)).cast("bigint").alias("rows"),
             F.count_distinct(m).cast("bigint").alias("months"), F.max(m).alias("last_month")]
     if label_col:
