@@ -138,50 +138,62 @@ def score_severity(psi: Column, p: Column, d: Column) -> Column:
             .when(F.coalesce(psi, F.lit(0.0)) >= PSI_WARN, "warning").otherwise("ok"))
 
 
+def _prefix_frame(reference: DataFrame, current: DataFrame, feats: list[str]):
+    """Both sides unpivoted and collapsed to ``(feature, value, rc, cc)`` with distributed
+    prefix sums ``cum_rc`` / ``cum_cc``; returned checkpointed (it has several readers),
+    with the per-feature non-null counts ``(feature, n_ref, n_cur)``."""
+    rl, cl = long_format(reference, feats), long_format(current, feats)
+    counts = non_null_counts(reference, feats, "n_ref").join(
+        non_null_counts(current, feats, "n_cur"), "feature")
+    both = rl.select("feature", "value", F.lit(1).alias("rc"), F.lit(0).alias("cc")).unionByName(
+        cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
+    # KS, the quantile ranks and both histograms read the prefix sums: materialise them once
+    # in the shared checkpoint folder instead of re-running the sort and window per reader.
+    cum = cumulative(both, ["feature"], "value", ["rc", "cc"]).checkpoint(eager=True)
+    return cum, counts
+
+
+def _quantiles_from_prefix(cum: DataFrame, counts: DataFrame, probs: list[float],
+                           side: str = "ref") -> DataFrame:
+    """Exact linear-interpolation quantiles of one side, ``(feature, q, value)``, looked up
+    from the prefix sums: each requested position needs the values at ranks ⌊pos⌋ and ⌈pos⌉."""
+    c, cum_c, n = ("rc", "cum_rc", "n_ref") if side == "ref" else ("cc", "cum_cc", "n_cur")
+    tg = counts.where(F.col(n) > 0).select(
+        "feature", n, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("q", "prob"))
+    tg = tg.select("feature", "q", (F.col("prob") * (F.col(n) - 1)).alias("pos"))
+    tg = tg.select("*", F.floor("pos").cast("long").alias("lo"), F.ceil("pos").cast("long").alias("hi"))
+    ranks = tg.select("feature", F.col("lo").alias("r")).union(tg.select("feature", F.col("hi").alias("r"))).distinct()
+    rows = cum.where(F.col(c) > 0).select("feature", "value", c, cum_c)
+    at = rows.join(F.broadcast(ranks), "feature").where(
+        ((F.col(cum_c) - F.col(c)) <= F.col("r")) & (F.col("r") < F.col(cum_c))).select("feature", "r", "value")
+    lo = at.select("feature", F.col("r").alias("lo"), F.col("value").alias("vlo"))
+    hi = at.select("feature", F.col("r").alias("hi"), F.col("value").alias("vhi"))
+    return tg.join(lo, ["feature", "lo"]).join(hi, ["feature", "hi"]).select(
+        "feature", "q", (F.col("vlo") + (F.col("pos") - F.col("lo")) * (F.col("vhi") - F.col("vlo"))).alias("value"))
+
+
 def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],
-                n_bins: int) -> DataFrame:
+                n_bins: int, prefix=None) -> DataFrame:
     """PSI and KS for every feature from ONE collapsed, prefix-summed frame.
 
-    Both sides are unpivoted and collapsed to ``(feature, value, rc, cc)`` (one shuffle,
-    map-side combined); one distributed prefix sum over it gives the two empirical CDFs
-    (KS), the reference ranks for the exact quantile edges, and — binned against the
-    broadcast edges — both histograms (PSI). Raw rows are read once.
+    One distributed prefix sum gives the two empirical CDFs (KS), the reference ranks for
+    the exact quantile edges, and — binned against the broadcast edges — both histograms
+    (PSI). Raw rows are read once.
     """
     feats = [f for f in features if f in reference.columns and f in current.columns]
     if not feats:
         raise ValueError("no requested feature is present in both frames")
-    rl, cl = long_format(reference, feats), long_format(current, feats)
-    n_ref = non_null_counts(reference, feats, "n_ref")
-    n_cur = non_null_counts(current, feats, "n_cur")
-    counts = n_ref.join(n_cur, "feature")
-    both = rl.select("feature", "value", F.lit(1).alias("rc"), F.lit(0).alias("cc")).unionByName(
-        cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
-    cum = cumulative(both, ["feature"], "value", ["rc", "cc"])
-    # Three consumers (KS, quantile ranks, histograms) read the prefix sums: materialise them
-    # once in the shared checkpoint folder instead of re-running the sort and window three times.
-    cum = cum.checkpoint(eager=True).join(F.broadcast(counts), "feature")
+    cum, counts = prefix if prefix is not None else _prefix_frame(reference, current, feats)
+    cum = cum.join(F.broadcast(counts), "feature")
     # KS: max gap between the two CDFs at every distinct value.
     gap = F.abs(F.try_divide(F.col("cum_rc"), F.col("n_ref")) - F.try_divide(F.col("cum_cc"), F.col("n_cur")))
     ks = cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"), F.max("n_ref").alias("_n"),
                                     F.max("n_cur").alias("_m"))
     ks = ks.select("feature", "ks_statistic", ks_pvalue(F.col("ks_statistic"), F.col("_n").cast("double"),
                                                        F.col("_m").cast("double")).alias("ks_p_value"))
-    # Exact reference quantile edges: the values holding the ranks around each position.
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    tg = n_ref.where(F.col("n_ref") > 0).select(
-        "feature", "n_ref", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("q", "prob"))
-    tg = tg.select("feature", "q", (F.col("prob") * (F.col("n_ref") - 1)).alias("pos"))
-    tg = tg.select("*", F.floor("pos").cast("long").alias("lo"), F.ceil("pos").cast("long").alias("hi"))
-    ranks = tg.select("feature", F.col("lo").alias("r")).union(tg.select("feature", F.col("hi").alias("r"))).distinct()
-    refrows = cum.where(F.col("rc") > 0).select("feature", "value", "rc", "cum_rc")
-    at = refrows.join(F.broadcast(ranks), "feature").where(
-        ((F.col("cum_rc") - F.col("rc")) <= F.col("r")) & (F.col("r") < F.col("cum_rc"))).select(
-        "feature", "r", "value")
-    lo = at.select("feature", F.col("r").alias("lo"), F.col("value").alias("vlo"))
-    hi = at.select("feature", F.col("r").alias("hi"), F.col("value").alias("vhi"))
-    qv = tg.join(lo, ["feature", "lo"]).join(hi, ["feature", "hi"]).select(
-        "feature", (F.col("vlo") + (F.col("pos") - F.col("lo")) * (F.col("vhi") - F.col("vlo"))).alias("e"))
-    edges = qv.groupBy("feature").agg(F.array_distinct(F.array_sort(F.collect_list("e"))).alias("edges"))
+    # Exact reference quantile edges, sorted and de-duplicated.
+    qv = _quantiles_from_prefix(cum.drop("n_ref", "n_cur"), counts, [i / n_bins for i in range(n_bins + 1)])
+    edges = qv.groupBy("feature").agg(F.array_distinct(F.array_sort(F.collect_list("value"))).alias("edges"))
     # Histograms of both sides from the collapsed rows, against the broadcast edges.
     binned = cum.select("feature", "value", "rc", "cc").join(F.broadcast(edges), "feature")
     b = bin_index(F.col("value"), F.col("edges"))
@@ -234,16 +246,23 @@ def percentiles(df: DataFrame, value_col: str, group_cols: list[str] | None = No
 
 def score_drift(reference: DataFrame, current: DataFrame, score_col: str = "pd",
                 n_bins: int = DEFAULT_BINS) -> DataFrame:
-    """M-6: one row — PSI, KS, percentiles of both sides, mean shift, severity."""
-    core = _drift_core(reference.select(score_col), current.select(score_col), [score_col], n_bins)
-    rp = percentiles(reference, score_col).select(
-        *[F.col(f"p{p}").alias(f"ref_p{p}") for p in REPORT_PERCENTILES])
-    cp = percentiles(current, score_col).select(
-        *[F.col(f"p{p}").alias(f"cur_p{p}") for p in REPORT_PERCENTILES])
+    """M-6: one row — PSI, KS, percentiles of both sides, mean shift, severity.
+
+    PSI, KS and both sides' percentiles come from one shared prefix-sum frame."""
+    ref, cur = reference.select(score_col), current.select(score_col)
+    prefix = _prefix_frame(ref, cur, [score_col])
+    core = _drift_core(ref, cur, [score_col], n_bins, prefix=prefix)
+    probs = [p / 100 for p in REPORT_PERCENTILES]
+
+    def pct(side: str, prefix_name: str) -> DataFrame:
+        q = _quantiles_from_prefix(prefix[0], prefix[1], probs, side)
+        return q.groupBy().pivot("q", list(range(len(probs)))).agg(F.first("value")).select(
+            *[F.round(F.col(str(i)), 6).alias(f"{prefix_name}_p{p}") for i, p in enumerate(REPORT_PERCENTILES)])
+
     means = attach(reference.agg(F.avg(score_col).alias("rm")),
                    current.agg(F.avg(score_col).alias("cm")))
     sev = score_severity(F.col("psi"), F.col("ks_p_value"), F.col("ks_statistic"))
-    out = attach(attach(attach(core, rp), cp), means)
+    out = attach(attach(attach(core, pct("ref", "ref")), pct("cur", "cur")), means)
     return out.select(
         F.round("psi", 6).alias("psi"), F.round("ks_statistic", 6).alias("ks_statistic"),
         F.round("ks_p_value", 6).alias("ks_p_value"),
