@@ -174,3 +174,17 @@ FROM core, (SELECT {_RPCT}, avg(pd) AS rm FROM sref) a, (SELECT {_CPCT}, avg(pd)
 def q_score_drift(spark, d):
     r, c = _score_frames(spark, d)
     return D.score_drift(r, c, "pd")
+
+
+@query("drift_severity", with_views(f"""
+SELECT feature, {_SEV} AS feature_severity,
+       CASE WHEN coalesce(psi, 0) >= {D.PSI_ALERT} OR (ks_p_value < {D.KS_ALPHA} AND ks_statistic >= {D.KS_STAT_ALERT})
+            THEN 'alert' WHEN coalesce(psi, 0) >= {D.PSI_WARN} THEN 'warning' ELSE 'ok' END AS score_rule_severity
+FROM core""", "v_ref", "v_cur", extra=_drift_ctes("v_ref", "v_cur", FEATS)))
+def q_drift_severity(spark, d):
+    """P-15: the feature rule and the score rule (with the KS distance guard) side by side."""
+    ref, cur = _frames(spark, d)
+    core = D._drift_core(ref, cur, FEATS, D.DEFAULT_BINS)
+    return core.select("feature", D.feature_severity(F.col("psi"), F.col("ks_p_value")).alias("feature_severity"),
+                       D.score_severity(F.col("psi"), F.col("ks_p_value"), F.col("ks_statistic"))
+                       .alias("score_rule_severity"))

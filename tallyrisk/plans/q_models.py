@@ -196,3 +196,14 @@ def q_training_metrics_report(spark, d):
     tr = ML.predict_pd(m, train, FEATS).select(F.lit("train").alias("split"), "label", "pd")
     te = ML.predict_pd(m, test, FEATS).select(F.lit("test").alias("split"), "label", "pd")
     return M.binary_metrics(tr.unionByName(te), ["split"])
+
+
+@query("topn_factors", with_views("""
+SELECT id, CAST(rank AS INTEGER) AS rank, name, round(value, 6) AS value FROM (
+  SELECT id, name, value, row_number() OVER (PARTITION BY id ORDER BY abs(value) DESC, name) AS rank
+  FROM contrib) WHERE rank <= 3""", "v_orig", "v_perf", extra=_attr_sql()))
+def q_topn_factors(spark, d):
+    """N-5: the top 3 factors per loan by absolute contribution (array sort, no row shuffle)."""
+    tf = q_feature_table(spark, d).withColumnRenamed("loan_id", "id")
+    lc = ML.linear_contributions(tf, ATTR_FEATS, COEFS, top_n=3)
+    return lc.select("id", F.col("rank").cast("int"), "name", F.round("value", 6).alias("value"))

@@ -279,3 +279,11 @@ def q_perf_tape_round_trip(spark, d):
     TP.write_tape(p, TP.PERFORMANCE_COLUMNS, src, partition_col="quarter")
     out = TP.ingest_tape(spark, src, "performance", scratch_path(spark, "perf-parquet"))
     return out.select(*_PERF_RT, "quarter")
+
+
+@query("read_delimited_tape", with_views(
+    "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in _TAPE_STR) + " FROM v_orig_tape", "v_orig_tape"))
+def q_read_delimited_tape(spark, d):
+    """S-1: the landed origination tape read back by position, every field a string."""
+    raw = TP.read_delimited_tape(spark, _landed_orig_tape(spark, d), TP.ORIGINATION_COLUMNS)
+    return raw.select(*_TAPE_STR)
