@@ -30,6 +30,26 @@ _DEFAULTS = {
 }
 
 
+# Settings for a large cluster reading ~100 TB (applied by the deployment, not by tests):
+# AQE starts from many shuffle partitions and coalesces them to ~256 MB; scans split at
+# 256 MB; skewed join partitions above 5x the median (and 512 MB) are split; broadcasts stay
+# at the default 10 MB threshold, so only the size-bounded sides named in README qualify.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+}
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
+                           lo: int = 200, hi: int = 200_000) -> int:
+    """Shuffle partitions so each holds about ``target_bytes`` of the input (clipped)."""
+    return max(lo, min(hi, -(-input_bytes // target_bytes)))
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tallyrisk") -> SparkSession:
     """Return the active session, or build one for local runs and tests."""
