@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import attach, cumulative, exact_quantiles
+from .ranking import attach, cumulative, exact_quantiles, quantiles_from_prefix
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference for the same results.
@@ -155,21 +155,10 @@ def _prefix_frame(reference: DataFrame, current: DataFrame, feats: list[str]):
 
 def _quantiles_from_prefix(cum: DataFrame, counts: DataFrame, probs: list[float],
                            side: str = "ref") -> DataFrame:
-    """Exact linear-interpolation quantiles of one side, ``(feature, q, value)``, looked up
-    from the prefix sums: each requested position needs the values at ranks ⌊pos⌋ and ⌈pos⌉."""
+    """Exact quantiles of one side, ``(feature, q, value)``, from the shared prefix frame."""
     c, cum_c, n = ("rc", "cum_rc", "n_ref") if side == "ref" else ("cc", "cum_cc", "n_cur")
-    tg = counts.where(F.col(n) > 0).select(
-        "feature", n, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("q", "prob"))
-    tg = tg.select("feature", "q", (F.col("prob") * (F.col(n) - 1)).alias("pos"))
-    tg = tg.select("*", F.floor("pos").cast("long").alias("lo"), F.ceil("pos").cast("long").alias("hi"))
-    ranks = tg.select("feature", F.col("lo").alias("r")).union(tg.select("feature", F.col("hi").alias("r"))).distinct()
-    rows = cum.where(F.col(c) > 0).select("feature", "value", c, cum_c)
-    at = rows.join(F.broadcast(ranks), "feature").where(
-        ((F.col(cum_c) - F.col(c)) <= F.col("r")) & (F.col("r") < F.col(cum_c))).select("feature", "r", "value")
-    lo = at.select("feature", F.col("r").alias("lo"), F.col("value").alias("vlo"))
-    hi = at.select("feature", F.col("r").alias("hi"), F.col("value").alias("vhi"))
-    return tg.join(lo, ["feature", "lo"]).join(hi, ["feature", "hi"]).select(
-        "feature", "q", (F.col("vlo") + (F.col("pos") - F.col("lo")) * (F.col("vhi") - F.col("vlo"))).alias("value"))
+    q = quantiles_from_prefix(cum, counts, ["feature"], "value", c, cum_c, n, probs)
+    return q.select("feature", F.col("q_index").alias("q"), "value")
 
 
 def _drift_core(reference: DataFrame, current: DataFrame, features: list[str],

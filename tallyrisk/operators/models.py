@@ -107,7 +107,6 @@ def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "l
     df = df.withColumn("w", F.when(F.col(label_col) == 1, F.lit(spw)).otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol=label_col, weightCol="w", seed=seed)
     rng = random.Random(seed)
-    grid = ParamGridBuilder().build()
     draws = []
     for _ in range(n_iter):
         draws.append({gbt.maxDepth: rng.choice([3, 4, 5, 6]),
@@ -116,7 +115,7 @@ def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "l
                       gbt.subsamplingRate: rng.choice([0.7, 0.8, 1.0]),
                       gbt.featureSubsetStrategy: rng.choice(["all", "0.8", "0.6"]),
                       gbt.minInstancesPerNode: rng.choice([1, 5, 10])})
-    grid = draws or grid
+    grid = draws or ParamGridBuilder().build()
     pipe = Pipeline(stages=_prep(features, scale=False) + [gbt])
     ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC")

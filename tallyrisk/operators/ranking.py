@@ -109,6 +109,35 @@ def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: l
     return out
 
 
+def quantiles_from_prefix(cum: DataFrame, counts: DataFrame, group_cols: list[str], value_col: str,
+                          count_col: str, cum_col: str, n_col: str, probs: list[float]) -> DataFrame:
+    """Exact linear-interpolation quantiles from prefix counts.
+
+    ``cum`` has one row per distinct ``(group…, value)`` with its count ``count_col`` and
+    inclusive prefix ``cum_col``; ``counts`` has ``n_col`` per group. Each requested position
+    ``p·(n−1)`` needs the values at ranks ⌊pos⌋ and ⌈pos⌉: the rows whose rank range covers
+    them are found by a join against the tiny broadcast table of target ranks.
+    Returns ``(group…, q_index, prob, value)``.
+    """
+    g = list(group_cols)
+    tg = counts.where(F.col(n_col) > 0).select(
+        *_grp(g), n_col, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("q_index", "prob"))
+    tg = tg.select(*_grp(g), "q_index", "prob", (F.col("prob") * (F.col(n_col) - 1)).alias("_pos"))
+    tg = tg.select("*", F.floor("_pos").cast("long").alias("_lo"), F.ceil("_pos").cast("long").alias("_hi"))
+    ranks = tg.select(*_grp(g), F.col("_lo").alias("_r")).union(
+        tg.select(*_grp(g), F.col("_hi").alias("_r"))).distinct()
+    rows = cum.where(F.col(count_col) > 0).select(*_grp(g), F.col(value_col).alias("_v"),
+                                                  F.col(count_col).alias("_c"), F.col(cum_col).alias("_cum"))
+    cond = [rows[c].eqNullSafe(ranks[c]) for c in g] + [
+        (rows["_cum"] - rows["_c"]) <= ranks["_r"], ranks["_r"] < rows["_cum"]]
+    at = rows.join(F.broadcast(ranks), cond, "inner").select(*[rows[c] for c in g], ranks["_r"], rows["_v"])
+    lo = at.select(*_grp(g), F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
+    hi = at.select(*_grp(g), F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
+    res = tg.join(lo, g + ["_lo"]).join(hi, g + ["_hi"])
+    val = F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
+    return res.select(*_grp(g), "q_index", "prob", val.alias("value"))
+
+
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                     probs: list[float], buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default) per group.
@@ -122,20 +151,4 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     base = base.select(*_grp(g), F.col(value_col).cast("double").alias("_v"), F.lit(1).alias("_n"))
     cum = cumulative(base, g, "_v", ["_n"], buckets=buckets)
     n = base.groupBy(*_grp(g)).agg(F.count(F.lit(1)).alias("_cnt"))
-    # Rank positions lo/hi of each requested quantile (0-based), per group.
-    tg = n.select(*_grp(g), "_cnt", F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
-                  .alias("q_index", "prob"))
-    tg = tg.select(*_grp(g), "q_index", "prob",
-                   (F.col("prob") * (F.col("_cnt") - 1)).alias("_pos"))
-    tg = tg.select("*", F.floor("_pos").cast("long").alias("_lo"), F.ceil("_pos").cast("long").alias("_hi"))
-    ranks = tg.select(*_grp(g), "q_index", F.col("_lo").alias("_r")).union(
-        tg.select(*_grp(g), "q_index", F.col("_hi").alias("_r"))).distinct()
-    cond = [cum[c].eqNullSafe(ranks[c]) for c in g] + [
-        (cum["cum__n"] - cum["_n"]) <= ranks["_r"], ranks["_r"] < cum["cum__n"]]
-    at = cum.join(F.broadcast(ranks), cond, "inner").select(
-        *[cum[c] for c in g], ranks["q_index"], ranks["_r"], cum["_v"])
-    lo = at.select(*_grp(g), "q_index", F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = at.select(*_grp(g), "q_index", F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = tg.join(lo, g + ["q_index", "_lo"]).join(hi, g + ["q_index", "_hi"])
-    val = F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
-    return res.select(*_grp(g), "q_index", "prob", val.alias("value"))
+    return quantiles_from_prefix(cum, n, g, "_v", "_n", "cum__n", "_cnt", probs)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import normalize_blanks
 from ..operators import drift as D
-from ..operators import macro as MC
 from ..operators import perf_drift as PD
 from ..session import scratch_path
 from ..sources import files as FS
@@ -258,8 +257,6 @@ def q_summary_markdown(spark, d):
     return FS.summary_markdown(PD.monitoring_report(fd, None, PD.perf_drift(s)))
 
 
-_ = MC  # macro operators are exercised through the series sources above
-
 
 _PERF_RT = ["loan_sequence_number", "monthly_reporting_period", "current_actual_upb", "loan_age",
             "current_interest_rate", "modification_flag"]
