@@ -19,10 +19,11 @@ BREACH_THRESHOLD = 0.20
 
 
 def _join(df: DataFrame, per_segment: DataFrame, g: list[str]) -> DataFrame:
-    """Attach per-segment fit rows (one row per segment: broadcast) to ``df``."""
+    """Attach per-segment fit rows to ``df``: a broadcast scalar when unsegmented; with
+    segments the row count follows the data, so the join strategy is left to AQE."""
     from .ranking import attach
 
-    return df.join(F.broadcast(per_segment), g, "inner") if g else attach(df, per_segment)
+    return df.join(per_segment, g, "inner") if g else attach(df, per_segment)
 
 
 def delinquency_rate_ts(perf: DataFrame, period_col: str = "monthly_reporting_period",

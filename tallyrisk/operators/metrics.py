@@ -41,8 +41,9 @@ def _auc_expr() -> Column:
 def _with_totals(curve: DataFrame, group_cols: list[str]) -> DataFrame:
     tot = curve.groupBy(*[F.col(g) for g in group_cols]).agg(
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
-    # Totals are one row per group: tiny, and the group set is bounded by contract.
-    return curve.join(F.broadcast(tot), group_cols, "inner") if group_cols else attach(curve, tot)
+    # One row per group. Ungrouped it is a scalar (broadcast); grouped, its size depends on
+    # the caller's groups, so AQE decides at run time from the measured size.
+    return curve.join(tot, group_cols, "inner") if group_cols else attach(curve, tot)
 
 
 def auc(df: DataFrame, group_cols: list[str] | None = None, score_col: str = "pd",

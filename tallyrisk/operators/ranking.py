@@ -130,7 +130,10 @@ def quantiles_from_prefix(cum: DataFrame, counts: DataFrame, group_cols: list[st
                                                   F.col(count_col).alias("_c"), F.col(cum_col).alias("_cum"))
     cond = [rows[c].eqNullSafe(ranks[c]) for c in g] + [
         (rows["_cum"] - rows["_c"]) <= ranks["_r"], ranks["_r"] < rows["_cum"]]
-    at = rows.join(F.broadcast(ranks), cond, "inner").select(*[rows[c] for c in g], ranks["_r"], rows["_v"])
+    # Target ranks: (#groups × 2·#probs) rows. Broadcast when ungrouped (a handful of rows);
+    # grouped, the planner / AQE sizes the join from the measured table.
+    rk = F.broadcast(ranks) if not g else ranks
+    at = rows.join(rk, cond, "inner").select(*[rows[c] for c in g], ranks["_r"], rows["_v"])
     lo = at.select(*_grp(g), F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = at.select(*_grp(g), F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
     res = tg.join(lo, g + ["_lo"]).join(hi, g + ["_hi"])
