@@ -67,6 +67,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+# SQL settings our plans rely on for speed; applied to a caller's session only where the
+# session still has Spark's default value (a deliberate user setting is left alone).
+_RUNTIME_DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "true"),
+    "spark.sql.adaptive.enabled": ("true", "true"),
+}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    for key, (spark_default, ours) in _RUNTIME_DEFAULTS.items():
+        try:
+            if spark.conf.get(key, spark_default) == spark_default and spark.conf.isModifiable(key):
+                spark.conf.set(key, ours)
+        except Exception:  # pragma: no cover - read-only or unknown key in some deployments
+            pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and stage outputs.
 
