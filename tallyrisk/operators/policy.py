@@ -109,12 +109,17 @@ def decide_with_capacity(scores: DataFrame, policies: list[Policy], id_col: str
     tied = band.join(F.broadcast(cut), "policy").where(F.col("pd") == F.col("cut_pd"))
     idc = cumulative(tied.select("policy", "id", F.lit(1).alias("c")), ["policy"], "id", ["c"])
     idc = idc.join(F.broadcast(cut), "policy")
-    demoted_ties = idc.where(F.col("cum_c") > F.col("k_at_cut")).select(
-        "policy", "id", F.lit(True).alias("_demote_tie"))
-    out = (raw.join(F.broadcast(cut), "policy", "left")
-           .join(demoted_ties, ["policy", "id"], "left"))
+    # The last id kept among the rows tied at the cut (ids are the unique tie-break key);
+    # NULL when no tied row fits. One row per policy, so the decision below needs only
+    # broadcast lookups — the scored rows are never shuffled to mark the demoted ties.
+    last_kept = idc.groupBy("policy").agg(F.min(F.when(
+        (F.col("k_at_cut") > 0) & (F.col("cum_c") >= F.col("k_at_cut")), F.col("id"))).alias("cut_id"))
+    cuts = cut.join(last_kept, "policy", "left")
+    out = raw.join(F.broadcast(cuts), "policy", "left")
+    tie_demoted = (F.col("pd") == F.col("cut_pd")) & (
+        F.col("cut_id").isNull() | (F.col("id") > F.col("cut_id")))
     demote = (F.col("raw") == REVIEW) & F.col("cut_pd").isNotNull() & (
-        (F.col("pd") < F.col("cut_pd")) | F.coalesce(F.col("_demote_tie"), F.lit(False)))
+        (F.col("pd") < F.col("cut_pd")) | tie_demoted)
     return out.select("policy", "policy_order", "id", "pd", *extra,
                       F.when(demote, APPROVE).otherwise(F.col("raw")).alias("decision"))
 

@@ -86,3 +86,10 @@ def test_expected_loss(spark):
     m = P.compare_policies(df, [P.Policy("x", 0.3, 0.4)], lgd=0.5).first()
     assert m["n_approved"] == 2 and abs(m["expected_loss_rate"] - 0.0375) < 1e-9
     assert m["n_approved"] + m["n_review"] + m["n_declined"] == m["n_total"]
+
+
+def test_capacity_filled_exactly_above_cut(spark):
+    pds = [0.5, 0.5, 0.4, 0.4, 0.01, 0.02, 0.03, 0.04, 0.05, 0.06]  # n=10, cap .2 → 2 slots
+    dec = {r["id"]: r["decision"] for r in P.decide_with_capacity(
+        _scores(spark, pds), [P.Policy("k0", 0.10, 0.90, 0.2)]).collect()}
+    assert [dec[i] for i in range(4)] == ["review", "review", "approve", "approve"]
