@@ -68,3 +68,22 @@ def test_load_source_errors(spark):
         FS.load_source(spark, "excel:/tmp/x")
     with pytest.raises(FileNotFoundError):
         FS.load_source(spark, "parquet:/nonexistent/path/x.parquet")
+
+
+def test_file_lineage_hashes_match(spark):
+    import hashlib
+
+    d = tempfile.mkdtemp(prefix="lin-")
+    body = b"a|b|c\n1|2|3\n"
+    with open(os.path.join(d, "t.txt"), "wb") as fh:
+        fh.write(body)
+    r = FS.file_lineage(spark, d).first()
+    assert r["size_bytes"] == len(body) and r["sha256"] == hashlib.sha256(body).hexdigest()
+
+
+def test_summary_markdown_lists_alerts(spark):
+    rep = spark.createDataFrame([("feature_drift", "x", "psi", 0.3, "alert"),
+                                 ("feature_drift", "y", "psi", 0.01, "ok")],
+                                "check string, name string, metric string, value double, severity string")
+    text = FS.summary_markdown(rep).first()["markdown"]
+    assert "Status: **ALERT**" in text and "feature_drift:x" in text and "| feature_drift | y | psi |" in text
