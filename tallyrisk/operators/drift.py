@@ -143,13 +143,18 @@ def _prefix_frame(reference: DataFrame, current: DataFrame, feats: list[str]):
     prefix sums ``cum_rc`` / ``cum_cc``; returned checkpointed (it has several readers),
     with the per-feature non-null counts ``(feature, n_ref, n_cur)``."""
     rl, cl = long_format(reference, feats), long_format(current, feats)
-    counts = non_null_counts(reference, feats, "n_ref").join(
-        non_null_counts(current, feats, "n_cur"), "feature")
     both = rl.select("feature", "value", F.lit(1).alias("rc"), F.lit(0).alias("cc")).unionByName(
         cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
     # KS, the quantile ranks and both histograms read the prefix sums: materialise them once
     # in the shared checkpoint folder instead of re-running the sort and window per reader.
     cum = cumulative(both, ["feature"], "value", ["rc", "cc"]).checkpoint(eager=True)
+    # Non-null counts per side from the collapsed rows (no second scan of the inputs); the
+    # requested feature list (a parameter) keeps features that have no values at all.
+    sums = cum.groupBy("feature").agg(F.sum("rc").alias("n_ref"), F.sum("cc").alias("n_cur"))
+    names = cum.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in feats])).alias("feature"))
+    counts = names.join(F.broadcast(sums), "feature", "left").select(
+        "feature", F.coalesce(F.col("n_ref"), F.lit(0)).cast("bigint").alias("n_ref"),
+        F.coalesce(F.col("n_cur"), F.lit(0)).cast("bigint").alias("n_cur"))
     return cum, counts
 
 
