@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyrisk.session import scratch_path
+from tallyrisk.session import scratch_path, ship_package
 
 CHUNK_CHARS = 8 << 20   # texts handled at once inside a task (one longer text is its own chunk)
 
@@ -41,6 +41,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges whose texts hold about ``limit`` characters at most."""
     start = size = 0
@@ -66,7 +72,7 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
     lost = [c for c in inputs if c not in base.columns]
     if lost:
         raise ValueError(f"input columns {lost} would be replaced by the output")
-    return base.mapInArrow(_appender(inputs, fields, make), T.StructType(base.schema.fields + fields))
+    return map_arrow(base, _appender(inputs, fields, make), T.StructType(base.schema.fields + fields))
 
 
 def _appender(inputs, fields, make):
@@ -98,7 +104,7 @@ def project_columns(df: DataFrame, keep: list[str], inputs: list[str], fields: l
             yield b.select(names)
     src = df.select(*[f"`{c}`" for c in need])
     kept = [src.schema[c] for c in keep]
-    return src.mapInArrow(narrow, T.StructType(kept + fields))
+    return map_arrow(src, narrow, T.StructType(kept + fields))
 
 
 def index_words(texts: list[str | None], lower: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrisk.llm.common import (append_columns, chunks, index_words, materialize,
+from tallyrisk.llm.common import (append_columns, chunks, index_words, map_arrow, materialize,
                                   project_columns, sum_by_text)
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -64,8 +64,8 @@ def count_features(docs: DataFrame, languages=LANGUAGES, text="text", lang="lang
                         total[li] += np.bincount(bucket, n[word], BUCKETS).astype(np.int64)
         keys = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total.ravel()[keys])], names=["k", "n"])
-    return (docs.filter(F.col(lang).isin(*languages)).select(text, lang)
-            .mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
+    labelled = docs.filter(F.col(lang).isin(*languages)).select(text, lang)
+    return map_arrow(labelled, run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
 def fit_text_model(docs: DataFrame, languages=LANGUAGES) -> np.ndarray:

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, decontam, langid, quality, simhash
+from tallyrisk.llm import bpe, chat, decontam, host_rep, langid, lm_score, quality, shard, simhash
 from tallyrisk.llm.common import read
 
 TOKENIZER = os.environ.get("TOKENIZER_JSON", "")
@@ -25,10 +25,37 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
 
 
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return chat.rotate(read(spark, sf_dir, "conversations")).withColumn("mask", F.concat_ws(",", spans))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
 
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, bad: a page shows the document whose id is the number in its path; the outcome is bad
+    where that document is labelled low quality or toxic."""
+    _, path = host_rep.host_and_path(F.col("url"))
+    number = F.regexp_extract(path, r"^/[a-z]+/(\d{1,18})", 1)
+    pages = read(spark, sf_dir, "pages").select("page_id", number.alias("n"))
+    pages = pages.select("page_id", F.when(F.col("n") != "", F.col("n")).cast("long").alias("doc_id"))
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    return pages.join(read(spark, sf_dir, "labels").select("doc_id", bad.alias("bad")), "doc_id").select(
+        "page_id", "bad")
+
+
+def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rep.judge_urls(read(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir))
+
+
+def op6_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.interleave(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -39,9 +66,116 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_quality_rules, op7_decontamination, op8_bpe, op10_simhash)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op2_language_id, op3_chat_rotation, op4_quality_rules, op5_host_reputation, op6_interleaved_shards,
+    op7_decontamination, op8_bpe, op9_lm_score, op10_simhash)}
+
+_ROTATE = """
+WITH t AS (
+  SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         CAST(floor(greatest(coalesce(turn, 0), 0) / 256) AS INTEGER) AS part FROM conversations),
+s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
+p AS (
+  SELECT t.conv_id, s.perspective, t.part, t.turn, t.role, t.text,
+         '<|im_start|>' || CASE WHEN t.role = s.perspective THEN 'assistant' WHEN t.role = 'system' THEN 'system'
+                                ELSE 'user name=' || t.role END || chr(10) AS head,
+         t.text || '<|im_end|>' AS body
+  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+q AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+      PARTITION BY conv_id, perspective, part ORDER BY turn, role, text
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM p)
+SELECT conv_id, perspective, part, count(*) AS n_turns,
+       string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS rendered,
+       coalesce(string_agg(CASE WHEN role = perspective THEN CAST(before + length(head) AS BIGINT) || '-'
+                           || CAST(before + length(head) + length(body) AS BIGINT) END, ',' ORDER BY turn, role, text),
+                '') AS mask
+FROM q GROUP BY conv_id, perspective, part
+"""
+
+_REPUTATION = """
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+o AS (
+  SELECT u.page_id, u.host, u.path, l.bad FROM u LEFT JOIN (
+    SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
+    WHERE quality IS NOT NULL OR toxic = 1 GROUP BY doc_id) l
+  ON TRY_CAST(nullif(regexp_extract(u.path, '^/[a-z]+/([0-9]{1,18})', 1), '') AS BIGINT) = l.doc_id),
+h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+             string_split(host, '.')[-1] AS suffix, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+      FROM o GROUP BY host),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain, suffix),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+              (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(n) + 2.0::DOUBLE) FROM h) AS prior FROM d GROUP BY suffix),
+s1 AS (SELECT *, {strength} AS k FROM s0),
+s2 AS (SELECT suffix, (k * prior + bad) / (k * prior + bad + k * (1 - prior) + n - bad) AS mean FROM s1),
+d0 AS (SELECT d.*, s2.mean AS prior FROM d JOIN s2 USING (suffix)),
+d1 AS (SELECT *, {strength} AS k FROM d0),
+d2 AS (SELECT domain, (k * prior + bad) / (k * prior + bad + k * (1 - prior) + n - bad) AS mean FROM d1),
+h0 AS (SELECT h.host, h.n, h.bad, d2.mean AS prior FROM h JOIN d2 USING (domain)),
+h1 AS (SELECT *, {strength} AS k FROM h0),
+h2 AS (SELECT host, k + n AS total, (k * prior + bad) / (k * prior + bad + k * (1 - prior) + n - bad) AS mean FROM h1),
+r AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) AS bound FROM h2),
+j AS (
+  SELECT u.*, r.bound, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM u LEFT JOIN r USING (host))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict, round(bound, 6) AS bad_bound
+FROM j
+"""
+# Moment estimate of a level's prior strength, as a scalar over the level's labelled groups.
+_STRENGTH = """(SELECT CASE WHEN coalesce(t, 0) = 0 OR g < 2 OR v = 0 THEN 1.0
+    ELSE CASE WHEN share <= 1.0 / 1001 THEN 1000.0 WHEN share >= 0.5 THEN 1.0 ELSE 1 / share - 1 END END
+  FROM (SELECT *, ((sq - (g - 1) * (v / t)) / greatest(t - n2 / t, 1e-9)) / (v / t) AS share FROM (
+    SELECT CAST(sum(n) AS DOUBLE) AS t, CAST(sum(n * n) AS DOUBLE) AS n2, count(*) AS g,
+           sum(n * (bad / n::DOUBLE - prior) * (bad / n::DOUBLE - prior)) AS sq, sum(n * prior * (1 - prior)) AS v
+    FROM {level} WHERE n > 0)))::DOUBLE"""
+
+
+def _reputation_sql() -> str:
+    sql = _REPUTATION
+    for level in ("s0", "d0", "h0"):
+        sql = sql.replace("{strength}", _STRENGTH.replace("{level}", level), 1)
+    return sql
+
+
+_DECONTAMINATION = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+             regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+bi AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bl),
+g AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM bi),
+dn AS (SELECT doc_id, w, n FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dn),
+hit AS (SELECT doc_id, i, di.n, item FROM di JOIN g ON array_to_string(w[i:i + di.n - 1], ' ') = gram AND di.n = g.n),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op3_chat_rotation": _ROTATE, "op5_host_reputation": _reputation_sql(),
+                          "op7_decontamination": _DECONTAMINATION}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tallyrisk.llm.common import materialize, project_columns
+from tallyrisk.llm.common import map_arrow, materialize, project_columns
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -152,7 +152,7 @@ def _split(rows: DataFrame, max_bits: int) -> DataFrame:
                 for wider in memo[m]:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(mine), wider)), pa.array(mine)], names=["mask", "fp"])
-    return rows.select("mask", "fp").mapInArrow(run, "mask long, fp long")
+    return map_arrow(rows.select("mask", "fp"), run, "mask long, fp long")
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -217,8 +217,8 @@ def _search(groups: DataFrame, max_bits: int) -> DataFrame:
                 yield from solve([x[:cut] for x in rows])
         if rest is not None:
             yield from solve(rest)
-    return (groups.select("mask", "pattern", "fp").repartition("mask", "pattern")
-            .sortWithinPartitions("mask", "pattern").mapInArrow(run, "a long, b long"))
+    ordered = groups.select("mask", "pattern", "fp").repartition("mask", "pattern")
+    return map_arrow(ordered.sortWithinPartitions("mask", "pattern"), run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
