@@ -8,6 +8,7 @@ tests and the local bench rely on.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -106,3 +107,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyrisk_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="tallyrisk-code-")
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "tallyrisk"), "zip", root, "tallyrisk"))
+    sc._tallyrisk_shipped = True
