@@ -33,7 +33,7 @@ from tallyrisk.llm.common import chunks, index_words, map_arrow, merge_counts, s
 
 BLOCK_BYTES = 16 << 20    # text per block; one longer text is a block's largest part
 MIN_BLOCKS = 64
-BACKOFF = 20.0            # k: pseudo-count a state gives to the root
+BACKOFF = 300.0           # k: pseudo-count a state gives to the root (best on held-out text)
 PENDING_WORDS = 400_000   # distinct words a counting task holds before it passes them on
 END_HASH = xxhash.xxh64_intdigest(b"\n")   # no word holds a line feed
 

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, chat, decontam, host_rep, langid, lm_score, quality, shard, simhash
+from tallyrisk.llm import bpe, chat, decontam, host_rep, html_extract, langid, lm_score, quality, shard, simhash
 from tallyrisk.llm.common import read
 
 TOKENIZER = os.environ.get("TOKENIZER_JSON", "")
@@ -21,6 +21,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
 
@@ -75,7 +79,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_language_id, op3_chat_rotation, op4_quality_rules, op5_host_reputation, op6_interleaved_shards,
+    op1_main_text, op2_language_id, op3_chat_rotation, op4_quality_rules, op5_host_reputation, op6_interleaved_shards,
     op7_decontamination, op8_bpe, op9_lm_score, op10_simhash)}
 
 _ROTATE = """
