@@ -1,9 +1,9 @@
 """Empirical-Bayes host reputation and path rules (operator 5).
 
 Labelled page outcomes (1 bad, 0 good) are counted per host, registered domain (last two labels)
-and suffix (last label). Each level's beta prior is centred on the posterior mean of the level
-above and its strength is estimated from the spread between groups (moment estimator for
-beta-binomial counts). A host is blocked when the lower posterior bound of its bad share exceeds
+and suffix (last label). Each group's beta prior is the posterior of the group above without the
+group's own outcomes; its strength combines how much that posterior knows with how alike the
+level's groups are (moment estimator for beta-binomial counts). A host is blocked when the lower posterior bound of its bad share exceeds
 ``max_bad``; hosts without evidence keep their domain's prior, whose wide bound allows them.
 Rules (host, path prefix) override the reputation; the longest fitting rule wins.
 
@@ -74,22 +74,30 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     domains = hosts.groupBy("domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn(
         "suffix", suffix_of(F.col("domain")))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    top = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    prior = ((top["bad"] or 0) + 1) / ((top["n"] or 0) + 2)
-
-    def shrink(level: DataFrame, key: str, above: DataFrame | None, link: str | None) -> DataFrame:
-        if above is None:
-            level = level.withColumn("prior", F.lit(prior))
-        else:
-            level = level.join(above.select(F.col(link), F.col("mean").alias("prior")), link)
-        level = materialize(level, f"reputation-{key}")
-        s = _strength(level)
-        a, b = s * F.col("prior") + F.col("bad"), s * (1 - F.col("prior")) + F.col("n") - F.col("bad")
-        return level.withColumn("mean", a / (a + b)).withColumn(
-            "bound", F.col("mean") - Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (a + b + 1)))
-    suffixes = shrink(suffixes, "suffix", None, None)
-    domains = shrink(domains, "domain", suffixes, "suffix")
-    return shrink(hosts, "host", domains, "domain").select("host", "n", "bad", "mean", "bound")
+    top = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    suffixes = _shrunk(suffixes.withColumns({"up_n": F.lit(top["n"]), "up_bad": F.lit(top["bad"]),
+                                             "up_mean": F.lit(0.5), "up_k": F.lit(2.0)}), "suffix")
+    domains = _shrunk(_below(domains, suffixes, "suffix"), "domain")
+    hosts = _shrunk(_below(hosts, domains, "domain"), "host")
+    total = F.col("k") + F.col("n")
+    hosts = hosts.withColumn("mean", (F.col("k") * F.col("prior") + F.col("bad")) / total)
+    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))
+    return hosts.select("host", "n", "bad", "mean", (F.col("mean") - Z * spread).alias("bound"))
+
+
+def _below(level: DataFrame, above: DataFrame, link: str) -> DataFrame:
+    return level.join(above.select(link, F.col("n").alias("up_n"), F.col("bad").alias("up_bad"),
+                                   F.col("prior").alias("up_mean"), F.col("k").alias("up_k")), link)
+
+
+def _shrunk(level: DataFrame, name: str) -> DataFrame:
+    """Prior mean and strength k of each group from the group above (up_*), less the group itself."""
+    bad = F.col("up_k") * F.col("up_mean") + F.col("up_bad") - F.col("bad")
+    known = F.col("up_k") + F.col("up_n") - F.col("n")
+    level = materialize(level.withColumn("prior", bad / known).withColumn("known", known).drop(
+        "up_n", "up_bad", "up_mean", "up_k"), f"reputation-{name}")
+    s = _strength(level)
+    return level.withColumn("k", s * F.col("known") / (s + F.col("known")))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad: float = MAX_BAD) -> DataFrame:

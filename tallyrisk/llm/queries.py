@@ -120,16 +120,17 @@ h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
              string_split(host, '.')[-1] AS suffix, count(bad) AS n, coalesce(sum(bad), 0) AS bad
       FROM o GROUP BY host),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain, suffix),
-s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad,
-              (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(n) + 2.0::DOUBLE) FROM h) AS prior FROM d GROUP BY suffix),
-s1 AS (SELECT *, {strength} AS k FROM s0),
-s2 AS (SELECT suffix, (k * prior + bad) / (k * prior + bad + k * (1 - prior) + n - bad) AS mean FROM s1),
-d0 AS (SELECT d.*, s2.mean AS prior FROM d JOIN s2 USING (suffix)),
-d1 AS (SELECT *, {strength} AS k FROM d0),
-d2 AS (SELECT domain, (k * prior + bad) / (k * prior + bad + k * (1 - prior) + n - bad) AS mean FROM d1),
-h0 AS (SELECT h.host, h.n, h.bad, d2.mean AS prior FROM h JOIN d2 USING (domain)),
-h1 AS (SELECT *, {strength} AS k FROM h0),
-h2 AS (SELECT host, k + n AS total, (k * prior + bad) / (k * prior + bad + k * (1 - prior) + n - bad) AS mean FROM h1),
+s0 AS (SELECT suffix, n, bad, (2.0::DOUBLE * 0.5 + (SELECT sum(bad) FROM h) - bad) / known AS prior, known
+       FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad, 2.0::DOUBLE + (SELECT sum(n) FROM h) - sum(n) AS known
+             FROM d GROUP BY suffix)),
+s1 AS (SELECT *, {strength} * known / ({strength} + known) AS k FROM s0),
+d0 AS (SELECT d.domain, d.n, d.bad, s1.k + s1.n - d.n AS known,
+              (s1.k * s1.prior + s1.bad - d.bad) / (s1.k + s1.n - d.n) AS prior FROM d JOIN s1 USING (suffix)),
+d1 AS (SELECT *, {strength} * known / ({strength} + known) AS k FROM d0),
+h0 AS (SELECT h.host, h.n, h.bad, d1.k + d1.n - h.n AS known,
+              (d1.k * d1.prior + d1.bad - h.bad) / (d1.k + d1.n - h.n) AS prior FROM h JOIN d1 USING (domain)),
+h1 AS (SELECT *, {strength} * known / ({strength} + known) AS k FROM h0),
+h2 AS (SELECT host, k + n AS total, (k * prior + bad) / (k + n) AS mean FROM h1),
 r AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) AS bound FROM h2),
 j AS (
   SELECT u.*, r.bound, CASE
@@ -156,7 +157,7 @@ _STRENGTH = """(SELECT CASE WHEN coalesce(t, 0) = 0 OR g < 2 OR v = 0 THEN 1.0
 def _reputation_sql() -> str:
     sql = _REPUTATION
     for level in ("s0", "d0", "h0"):
-        sql = sql.replace("{strength}", _STRENGTH.replace("{level}", level), 1)
+        sql = sql.replace("{strength}", _STRENGTH.replace("{level}", level), 2)
     return sql
 
 
