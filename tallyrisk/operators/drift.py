@@ -147,7 +147,7 @@ def _prefix_frame(reference: DataFrame, current: DataFrame, feats: list[str]):
         cl.select("feature", "value", F.lit(0).alias("rc"), F.lit(1).alias("cc")))
     # KS, the quantile ranks and both histograms read the prefix sums: materialise them once
     # in the shared checkpoint folder instead of re-running the sort and window per reader.
-    cum = cumulative(both, ["feature"], "value", ["rc", "cc"]).checkpoint(eager=True)
+    cum = cumulative(both, ["feature"], "value", ["rc", "cc"], max_groups=len(feats)).checkpoint(eager=True)
     # Non-null counts per side from the collapsed rows (no second scan of the inputs); the
     # requested feature list (a parameter) keeps features that have no values at all.
     sums = cum.groupBy("feature").agg(F.sum("rc").alias("n_ref"), F.sum("cc").alias("n_cur"))

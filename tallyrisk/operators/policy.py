@@ -100,14 +100,15 @@ def decide_with_capacity(scores: DataFrame, policies: list[Policy], id_col: str
     band = raw.where(F.col("raw") == REVIEW).join(F.broadcast(over), "policy", "inner")
     # Distinct PD values of the band, descending, with prefix counts.
     pdc = cumulative(band.select("policy", "pd", F.lit(1).alias("c")), ["policy"], "pd", ["c"],
-                     descending=True)
+                     descending=True, max_groups=len(policies))
     pdc = pdc.join(F.broadcast(over.select("policy", "max_review")), "policy")
     # The cut: the first PD value whose prefix count passes max_review.
     cut = pdc.where(F.col("cum_c") > F.col("max_review")).groupBy("policy").agg(
         F.max("pd").alias("cut_pd"),
         F.max_by(F.col("max_review") - (F.col("cum_c") - F.col("c")), F.col("pd")).alias("k_at_cut"))
     tied = band.join(F.broadcast(cut), "policy").where(F.col("pd") == F.col("cut_pd"))
-    idc = cumulative(tied.select("policy", "id", F.lit(1).alias("c")), ["policy"], "id", ["c"])
+    idc = cumulative(tied.select("policy", "id", F.lit(1).alias("c")), ["policy"], "id", ["c"],
+                     max_groups=len(policies))
     idc = idc.join(F.broadcast(cut), "policy")
     # The last id kept among the rows tied at the cut (ids are the unique tie-break key);
     # NULL when no tied row fits. One row per policy, so the decision below needs only

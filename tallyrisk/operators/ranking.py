@@ -9,9 +9,10 @@ per-range offsets, and the running sum inside a range is an ordinary window
 partitioned by ``(group, range)``. Equal order values always land in the same
 range, so ties are never split.
 
-``group_cols`` must have a bounded number of distinct values (features,
-periods, policies); edges and offsets are broadcast and their size is
-``#groups × buckets``, which :func:`cumulative` checks before broadcasting.
+Edges and offsets hold ``#groups × ranges`` rows. The caller states a bound on
+its groups (features, periods, policies) as ``max_groups``, or they are counted
+once; within ``MAX_BROADCAST_ROWS`` both tables are broadcast, beyond it they
+are joined on ``(group, salt)``, so that a hot group still spreads over tasks.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-# Upper bound on rows of the edge / offset tables that are broadcast.
+# Rows of the edge / offset tables that may be broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
+SALTS = 64
 
 
 def _grp(group_cols: list[str]) -> list[Column]:
@@ -29,31 +30,33 @@ def _grp(group_cols: list[str]) -> list[Column]:
 
 
 def _bucket_count(spark) -> int:
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        n = DEFAULT_BUCKETS
-    return max(8, min(4 * n, 1024))
-
-
-def _bucket_of(v: Column, edges: Column, n_edges: int, descending: bool) -> Column:
-    """Number of edges strictly below ``v`` (above, when descending) in a sorted edge array,
-    as an unrolled binary search: O(log n) comparisons per row, all code-generated."""
-    def below(i: int) -> Column:  # edge i (0-based) is on the "before" side of v
-        e = F.element_at(edges, i + 1)
-        return (e > v) if descending else (e < v)
+    """Ranges per group: a few per shuffle partition."""
+    return max(8, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
 
-    def search(lo: int, hi: int) -> Column:  # answer in [lo, hi]
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(below(mid), search(mid + 1, hi)).otherwise(search(lo, mid))
+def with_range(df: DataFrame, value: str, edges: str, n_edges: int, descending: bool, out: str) -> DataFrame:
+    """``out`` = number of edges strictly below ``value`` (above, when descending) in a sorted edge
+    array: a binary search of O(log n) generated comparisons, one projection per step."""
+    def before(at: Column) -> Column:
+        e, v = F.get(edges, at), F.col(value)
+        return (e > v) if descending else (e < v)
 
-    return search(0, n_edges)
+    step = 1 << max(n_edges, 1).bit_length() - 1
+    df = df.withColumn(out, F.lit(0))
+    while step:
+        at = F.col(out) + F.lit(step)
+        df = df.withColumn(out, F.when((at <= F.size(edges)) & before(at - 1), at).otherwise(F.col(out)))
+        step >>= 1
+    return df
 
 
-def _bounded_broadcast(small: DataFrame, est_rows: int) -> DataFrame:
-    return F.broadcast(small) if est_rows <= MAX_BROADCAST_ROWS else small
+def _join_small(big: DataFrame, small: DataFrame, keys: list[str], broadcast: bool, spread: Column) -> DataFrame:
+    """Join a per-group table: broadcast, or on (keys, salt) with the small side repeated per salt."""
+    if broadcast:
+        return big.join(F.broadcast(small), keys, "inner")
+    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(
+        salted, [*keys, "_salt"], "inner").drop("_salt")
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -66,7 +69,7 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                descending: bool = False, buckets: int | None = None,
-               prefix: str = "cum_", max_groups: int = 100_000) -> DataFrame:
+               prefix: str = "cum_", max_groups: int | None = None) -> DataFrame:
     """Running sums of ``sum_cols`` per group, ordered by ``order_col``.
 
     Input rows are first collapsed to distinct ``(group, order)`` keys (sums of
@@ -74,6 +77,7 @@ def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: l
     and ``prefix + c`` = inclusive running sum (all keys ordered before it plus
     itself). ``descending`` orders from the largest value.
     ``buckets=1`` uses a plain window per group (right for many small groups).
+    ``max_groups`` bounds the number of groups; without it they are counted (one job).
     """
     g = list(group_cols)
     collapsed = df.groupBy(*_grp(g), F.col(order_col)).agg(
@@ -88,19 +92,25 @@ def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: l
     gk = g if g else ["_g0"]
     if not g:
         collapsed = collapsed.withColumn("_g0", F.lit(0))
+    limit = MAX_BROADCAST_ROWS // nb
+    if not g:
+        max_groups = 1
+    if max_groups is None:
+        max_groups = df.select(*_grp(g)).distinct().limit(limit + 1).count()
+    small = max_groups <= limit
     probs = [i / nb for i in range(1, nb)]
     edges = collapsed.groupBy(*_grp(gk)).agg(
-        F.percentile_approx(F.col(order_col), probs, 10_000).alias("_edges"))
-    est = max_groups * nb
-    with_edges = collapsed.join(_bounded_broadcast(edges, est), gk, "inner")
-    v = F.col(order_col)
-    bucket = _bucket_of(v, F.col("_edges"), nb - 1, descending)
-    bucketed = with_edges.select(*[F.col(c) for c in collapsed.columns], bucket.alias("_bkt"))
+        F.percentile_approx(F.col(order_col), probs, max(10_000, 2 * nb)).alias("_edges"))
+    if descending:
+        edges = edges.withColumn("_edges", F.reverse("_edges"))
+    with_edges = _join_small(collapsed, edges, gk, small, F.col(order_col))
+    bucketed = with_range(with_edges, order_col, "_edges", nb - 1, descending, "_bkt").drop("_edges")
     totals = bucketed.groupBy(*_grp(gk), "_bkt").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
     wt = Window.partitionBy(*_grp(gk)).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*_grp(gk), "_bkt", *[
         F.coalesce(F.sum("_t_" + c).over(wt), F.lit(0)).alias("_off_" + c) for c in sum_cols])
-    joined = bucketed.join(_bounded_broadcast(offsets, est), gk + ["_bkt"], "inner")
+    # Beyond the broadcast bound the offsets join on (group, range), which spreads by itself.
+    joined = bucketed.join(F.broadcast(offsets) if small else offsets, gk + ["_bkt"], "inner")
     w = (Window.partitionBy(*_grp(gk), "_bkt").orderBy(o)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = joined.select(*[F.col(c) for c in collapsed.columns if c != "_g0"],
