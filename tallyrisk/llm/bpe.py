@@ -25,8 +25,11 @@ from tallyrisk.llm.common import append_columns, project_columns
 
 # Fixed value: the published splitting pattern of byte-level BPE vocabularies.
 PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 200_000     # pieces kept per task; all are dropped when the store is full
-REMEMBERED_BYTES = 64    # longer pieces are encoded afresh
+REMEMBERED = 400_000     # pieces kept per task; all are dropped when the store would outgrow this
+NONE = 1 << 62           # leaf without a pair
+_AT = 1 << 32            # a leaf is rank * 2**32 + position
+SIDE_BY_SIDE = 64        # longer pieces (in bytes) are merged one by one
+BATCH = 1 << 20          # bytes of pieces merged side by side
 
 
 def byte_symbols() -> list[str]:
@@ -66,8 +69,6 @@ class PairTree:
             i >>= 1
 
 
-NONE = 1 << 62
-_AT = 1 << 32            # a leaf is rank * 2**32 + position
 
 
 class ByteBPE:
@@ -88,7 +89,14 @@ class ByteBPE:
         self.split = regex.compile(PATTERN).findall
         self.cut = (regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
                     .split if self.special else None)
-        self.known: dict[str, tuple[int, str, bytes]] = {}
+        keys = np.array([(a << 20) | b for a, b in self.pairs], np.int64)
+        ranks = np.array([r for r, _ in self.pairs.values()], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], ranks[order]
+        self.token_of_rank = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
+        self.token_of_rank[ranks] = [t for _, t in self.pairs.values()]
+        self.fixed = {s: (1, str(i), self.bytes[i]) for s, i in self.special.items()}
+        self.known: dict[str, tuple[int, str, bytes]] = dict(self.fixed)
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one piece."""
@@ -119,48 +127,115 @@ class ByteBPE:
                 tree.set(h, (pairs.get((ids[h], ids[i]), none)[0] << 32) | h)
         return [x for x in ids if x >= 0]
 
-    def piece(self, text: str) -> tuple[int, str, bytes]:
-        """Number of tokens, the ids joined by commas, and the bytes they decode to."""
-        got = self.known.get(text)
-        if got is None:
-            data = text.encode()
-            ids = self.merge(data)
-            got = (len(ids), ",".join(map(str, ids)), b"".join(map(self.bytes.__getitem__, ids)))
-            if len(data) <= REMEMBERED_BYTES:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = got
-        return got
-
-    def pieces(self, text: str):
+    def merge_many(self, pieces: list[bytes], size: int) -> list[list[int]]:
+        """``merge`` for pieces of at most ``size`` (a power of two) bytes, their trees side by side.
+
+        Row r of ``tree`` is the segment tree of piece r; each round takes the root of every
+        unfinished tree, merges that pair and updates the three leaves and their ancestors.
+        """
+        n, count = size, len(pieces)
+        length = np.fromiter(map(len, pieces), np.int64, count)
+        data = np.frombuffer(b"".join(p.ljust(n, b"\0") for p in pieces), np.uint8).reshape(count, n)
+        ids = np.asarray(self.first, np.int64)[data]
+        column = np.arange(n)
+        ids[column >= length[:, None]] = -1
+        after = np.tile(column + 1, (count, 1))
+        before = np.tile(np.arange(-1, n), (count, 1))       # one spare column past the end
+        tree = np.full((count, 2 * n), NONE, np.int64)
+        tree[:, n:2 * n - 1] = self._leaf(ids[:, :-1], ids[:, 1:], column[:-1])
+        for i in range(n - 1, 0, -1):
+            np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1], out=tree[:, i])
+        live = np.arange(count)
+        while True:
+            top = tree[live, 1]
+            open_ = top < NONE
+            live, top = live[open_], top[open_]
+            if not len(live):
+                break
+            i = top & (_AT - 1)
+            j = after[live, i]
+            k = after[live, j]
+            new = self.token_of_rank[top >> 32]
+            ids[live, i], ids[live, j] = new, -1
+            after[live, i], before[live, k] = k, i
+            h = before[live, i]
+            inside = k < length[live]
+            right = np.where(inside, ids[live, np.minimum(k, n - 1)], -1)
+            left = np.where(h >= 0, ids[live, np.maximum(h, 0)], -1)
+            tree[live, n + j] = NONE
+            tree[live, n + i] = self._leaf(new, right, i)
+            some = h >= 0
+            tree[live[some], n + h[some]] = self._leaf(left[some], new[some], h[some])
+            for rows, leaf in ((live, j), (live, i), (live[some], h[some])):
+                at = (n + leaf) >> 1
+                while at.size and at[0]:
+                    tree[rows, at] = np.minimum(tree[rows, 2 * at], tree[rows, 2 * at + 1])
+                    at >>= 1
+        kept = ids >= 0
+        ends = np.cumsum(kept.sum(axis=1))[:-1]
+        return [x.tolist() for x in np.split(ids[kept], ends)]
+
+    def _leaf(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Leaf values of the pairs (left, right) that begin at ``at``; an id of -1 has no pair."""
+        key = (left << 20) | (right & 0xFFFFF)
+        found = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        known = (self.pair_keys[found] == key) & (left >= 0) & (right >= 0)
+        return np.where(known, (self.pair_ranks[found] << 32) | at, NONE)
+
+    def _remember(self, pieces: set[str]) -> None:
+        """Encode pieces into the store: number of tokens, ids joined by commas, decoded bytes."""
+        sized: dict[int, list[tuple[str, bytes]]] = {}
+        for p in pieces:
+            data = p.encode()
+            sized.setdefault(max(4, 1 << (len(data) - 1).bit_length()), []).append((p, data))
+        for size, some in sized.items():
+            for lo in range(0, len(some), BATCH // size):
+                part = some[lo:lo + BATCH // size]
+                ids = (self.merge_many([d for _, d in part], size) if size <= SIDE_BY_SIDE
+                       else [self.merge(d) for _, d in part])
+                for (p, _), row in zip(part, ids):
+                    self.known[p] = (len(row), ",".join(map(str, row)),
+                                     b"".join(map(self.bytes.__getitem__, row)))
+
+    def _pieces(self, text: str) -> list[str]:
         if not self.special:
-            return map(self.piece, self.split(text))
-        return self._with_special(text)
-
-    def _with_special(self, text: str):
+            return self.split(text)
+        out = []
         for part in self.cut(text):
             if part in self.special:
-                i = self.special[part]
-                yield 1, str(i), self.bytes[i]
+                out.append(part)
             elif part:
-                yield from map(self.piece, self.split(part))
+                out += self.split(part)
+        return out
+
+    def encoded(self, texts: list[str | None]) -> list[list[tuple[int, str, bytes]]]:
+        """Per text, (number of tokens, ids, decoded bytes) of its pieces."""
+        parts = [self._pieces(t) if t else [] for t in texts]
+        distinct = set().union(*parts) - self.fixed.keys() if parts else set()
+        new = distinct - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = dict(self.fixed)
+            new = distinct
+        self._remember(new)
+        get = self.known.__getitem__
+        return [list(map(get, p)) for p in parts]
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(x) for _, s, _ in self.pieces(text or "") for x in s.split(",")]
+        return [int(x) for _, ids, _ in self.encoded([text])[0] for x in ids.split(",")]
 
     def decode(self, ids: list[int]) -> str:
         """Text of a token sequence; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
         return b"".join(self.bytes.get(i, b"") for i in ids).decode("utf-8", "replace")
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Number of tokens, sha256 of the joined ids, sha256 of the decoded text."""
-        n, ids, data = 0, [], []
-        for k, s, b in self.pieces(text or ""):
-            n += k
-            ids.append(s)
-            data.append(b)
-        decoded = b"".join(data).decode("utf-8", "replace").encode()
-        return n, hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
+        """Per text: number of tokens, sha256 of the joined ids, sha256 of the decoded text."""
+        out = []
+        for got in self.encoded(texts):
+            n, ids, data = zip(*got) if got else ((), (), ())
+            decoded = b"".join(data).decode("utf-8", "replace").encode()
+            out.append((sum(n), hashlib.sha256(",".join(ids).encode()).hexdigest(),
+                        hashlib.sha256(decoded).hexdigest()))
+        return out
 
 
 @lru_cache(2)
@@ -191,5 +266,5 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def make():
         bpe = load(path)
-        return lambda texts: list(map(list, zip(*map(bpe.digest, texts)))) or [[], [], []]
+        return lambda texts: list(map(list, zip(*bpe.digests(texts)))) or [[], [], []]
     return project_columns(docs, ["doc_id"], ["text"], fields, make)
