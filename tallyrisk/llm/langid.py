@@ -157,6 +157,8 @@ def fuse(rows: DataFrame, keys: list[str], languages=LANGUAGES, threshold: float
     prior = (host.join(domain.withColumnRenamed("domain", "_dom"), F.col("domain").eqNullSafe(F.col("_dom")))
              .withColumn("_p0", everywhere).withColumn("_p1", _shrink("_d", "_p0", HOST_STRENGTH))
              .select("host", _shrink("_c", "_p1", HOST_STRENGTH).alias("_prior")))
+    # A table of its own, so that the join below can split a hot host (or broadcast a small table).
+    prior = materialize(prior, "host-priors")
     out = (rows.join(prior, "host", "left").join(likelihood("declared"), "declared", "left")
            .join(likelihood("suffix"), "suffix", "left"))
     log = lambda c: F.transform(F.coalesce(F.col(c), flat), lambda x: F.log(x))
@@ -217,7 +219,7 @@ def language_filter(docs: DataFrame, languages=LANGUAGES, threshold: float = THR
     weight = _soft(F.col("_ll"))
     pairs = materialize(rows.groupBy("declared", "host").agg(F.array(*[
         F.coalesce(F.sum(weight[i]), F.lit(0.0)) for i in range(len(languages))]).alias("_w")), "langid")
-    prior = _pair_priors(pairs, len(languages))
+    prior = materialize(_pair_priors(pairs, len(languages)), "pair-priors")
     # ... and joined to the documents by (lang, source); the text decides within the pair.
     left = append_columns(docs, ["text"], [_EVIDENCE], text_evidence(model))
     joined = left.join(prior, left["lang"].eqNullSafe(prior["_declared"])
