@@ -47,17 +47,17 @@ def _with_totals(curve: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def auc(df: DataFrame, group_cols: list[str] | None = None, score_col: str = "pd",
-        label_col: str = "label", buckets: int | None = None) -> DataFrame:
+        label_col: str = "label", buckets: int | None = None, max_groups: int | None = None) -> DataFrame:
     """M-7: ROC AUC per group; NULL when a group has one class only."""
     g = group_cols or []
-    return auc_from_counts(_counts(df, g, score_col, label_col), g, buckets)
+    return auc_from_counts(_counts(df, g, score_col, label_col), g, buckets, max_groups)
 
 
 def auc_from_counts(counts: DataFrame, group_cols: list[str],
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, max_groups: int | None = None) -> DataFrame:
     """AUC per group from ``(group…, _s, _pos, _neg)`` rows (counts may repeat a score)."""
     g = list(group_cols)
-    curve = cumulative(counts, g, "_s", ["_pos", "_neg"], descending=True, buckets=buckets)
+    curve = cumulative(counts, g, "_s", ["_pos", "_neg"], descending=True, buckets=buckets, max_groups=max_groups)
     cur = _with_totals(curve, g)
     return cur.groupBy(*[F.col(x) for x in g]).agg(
         F.max("_P").cast("bigint").alias("n_pos"), F.max("_N").cast("bigint").alias("n_neg"),

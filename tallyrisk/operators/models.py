@@ -9,6 +9,7 @@ leave the vector type through ``vector_to_array`` and every per-row step
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -16,7 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ PD_FEATURES = [
 LOGREG_C = 0.1
 LOGREG_MAX_ITER = 500
 RF_TREES, RF_DEPTH, RF_MIN_LEAF = 200, 8, 50
+MEDIAN_ERROR = 1e-3
 SEED = 42
 TOP_FACTORS = 5
 MAX_DISPLAY = 20
@@ -49,7 +51,8 @@ def with_balanced_weight(df: DataFrame, label_col: str = "label", weight_col: st
 
 def _prep(features: list[str], out: str = "features", scale: bool = True):
     imp_cols = [f"{c}__imp" for c in features]
-    stages = [Imputer(inputCols=features, outputCols=imp_cols, strategy="median", relativeError=0.0)]
+    # Medians come from quantile sketches: rank error MEDIAN_ERROR, memory independent of the rows.
+    stages = [Imputer(inputCols=features, outputCols=imp_cols, strategy="median", relativeError=MEDIAN_ERROR)]
     stages.append(VectorAssembler(inputCols=imp_cols, outputCol="raw_features" if scale else out,
                                   handleInvalid="keep"))
     if scale:
@@ -115,7 +118,7 @@ def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "l
                       gbt.subsamplingRate: rng.choice([0.7, 0.8, 1.0]),
                       gbt.featureSubsetStrategy: rng.choice(["all", "0.8", "0.6"]),
                       gbt.minInstancesPerNode: rng.choice([1, 5, 10])})
-    grid = draws or ParamGridBuilder().build()
+    grid = draws
     pipe = Pipeline(stages=_prep(features, scale=False) + [gbt])
     ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC")
@@ -143,8 +146,10 @@ def calibrate(model: PipelineModel, val: DataFrame, features: list[str], label_c
     """
     scored = predict_pd(model, val, features)
     if method == "isotonic":
-        iso = IsotonicRegression(featuresCol="pd", labelCol=label_col, predictionCol="pd_cal").fit(
-            scored.select("pd", F.col(label_col).cast("double").alias(label_col)))
+        # One weighted row per distinct score carries all that the fit needs.
+        rows = scored.groupBy("pd").agg(F.avg(F.col(label_col).cast("double")).alias(label_col),
+                                        F.count(F.lit(1)).cast("double").alias("w"))
+        iso = IsotonicRegression(featuresCol="pd", labelCol=label_col, weightCol="w", predictionCol="pd_cal").fit(rows)
 
         def apply(df: DataFrame) -> DataFrame:
             return iso.transform(df)
@@ -163,14 +168,31 @@ def calibrate(model: PipelineModel, val: DataFrame, features: list[str], label_c
     raise ValueError(f"unknown calibration method {method!r}")
 
 
-def contributions_column(features: list[str], coefs: dict[str, float], means: dict[str, Column],
-                         stds: dict[str, Column], top_n: int = TOP_FACTORS) -> Column:
-    """L-15 + N-5: standardised value × coefficient per feature, the ``top_n`` largest by
-    absolute value (ties by name) as ``array<struct<name, value>>``."""
+@dataclass(frozen=True)
+class LinearTerm:
+    """What a fitted linear model does with one feature: fill a null, standardise, weight."""
+    coef: float
+    fill: float
+    mean: float
+    std: float
+
+
+def fitted_terms(model: PipelineModel, features: list[str]) -> dict[str, LinearTerm]:
+    """The terms of a ``fit_logreg`` pipeline, from its own imputer, scaler and coefficients."""
+    imputer, scaler, lr = model.stages[0], model.stages[2], model.stages[-1]
+    fills = imputer.surrogateDF.first().asDict()
+    return {f: LinearTerm(float(c), float(fills[f]), float(m), float(s)) for f, c, m, s in zip(
+        features, lr.coefficients.toArray(), scaler.mean.toArray(), scaler.std.toArray())}
+
+
+def contributions_column(terms: dict[str, LinearTerm], top_n: int = TOP_FACTORS) -> Column:
+    """L-15 + N-5: standardised value x coefficient per feature, the ``top_n`` largest by absolute
+    value (ties by name) as ``array<struct<name, value>>``; depends on the row and the model only."""
     items = []
-    for f in features:
-        z = F.try_divide(F.col(f).cast("double") - means[f], stds[f])
-        items.append(F.struct(F.lit(f).alias("name"), (F.coalesce(z, F.lit(0.0)) * F.lit(coefs[f])).alias("value")))
+    for f, t in terms.items():
+        x = F.coalesce(F.col(f).cast("double"), F.lit(t.fill))
+        z = (x - t.mean) / t.std if t.std else F.lit(0.0)
+        items.append(F.struct(F.lit(f).alias("name"), (z * t.coef).alias("value")))
     arr = F.array(*items)
     ordered = F.array_sort(arr, lambda a, b: F.when(F.abs(a["value"]) > F.abs(b["value"]), -1)
                            .when(F.abs(a["value"]) < F.abs(b["value"]), 1)
@@ -178,15 +200,11 @@ def contributions_column(features: list[str], coefs: dict[str, float], means: di
     return F.slice(ordered, 1, top_n)
 
 
-def linear_contributions(df: DataFrame, features: list[str], coefs: dict[str, float],
-                         id_col: str = "id", top_n: int = TOP_FACTORS) -> DataFrame:
-    """L-15: per row the top factors; standardisation statistics from the data (one aggregate)."""
-    stats = df.agg(*[F.avg(F.col(f).cast("double")).alias(f"m_{f}") for f in features],
-                   *[F.stddev_pop(F.col(f).cast("double")).alias(f"s_{f}") for f in features])
-    j = attach(df, stats)
-    col = contributions_column(features, coefs, {f: F.col(f"m_{f}") for f in features},
-                               {f: F.col(f"s_{f}") for f in features}, top_n)
-    return j.select(F.col(id_col), F.posexplode(col).alias("rank", "factor")).select(
+def linear_contributions(df: DataFrame, terms: dict[str, LinearTerm], id_col: str = "id",
+                         top_n: int = TOP_FACTORS) -> DataFrame:
+    """L-15: per row the top factors under the model's own preprocessing."""
+    col = contributions_column(terms, top_n)
+    return df.select(F.col(id_col), F.posexplode(col).alias("rank", "factor")).select(
         id_col, (F.col("rank") + 1).alias("rank"), F.col("factor.name").alias("name"),
         F.col("factor.value").alias("value"))
 
@@ -205,35 +223,38 @@ def mean_abs_attribution(df: DataFrame, features: list[str], coefs: dict[str, fl
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str],
                            id_col: str = "id", label_col: str = "label", seed: int = SEED,
-                           bucket_rows: int = 1000) -> DataFrame:
-    """L-17 for trees: AUC drop when one feature's values are shuffled, one re-score per feature.
+                           bucket_rows: int = 1000, model_features: list[str] | None = None) -> DataFrame:
+    """L-17 for trees: AUC drop when one feature's values are shuffled, all features in one job.
 
     The shuffle is a rotation inside hash buckets of about ``bucket_rows`` rows ordered by a
     second seeded hash of the id: deterministic (safe to recompute after a lost executor),
-    no global sort, and it breaks the feature–label association. A different statistic than
-    tree SHAP values (documented).
+    no global sort, and it breaks the feature-label association. Each row is scored once as it
+    is and once per feature. A one-class test set gives NULL importances. A different statistic
+    than tree SHAP values (documented). ``features``: those to shuffle, of ``model_features``.
     """
     from pyspark.sql import Window
 
     from .metrics import auc
 
-    def score(frame: DataFrame) -> float:
-        p = predict_pd(model, frame, features).select("pd", label_col)
-        return auc(p, [], "pd", label_col).first()["auc"] or 0.0
-
-    base_auc = score(df)
+    inputs = model_features or features
     n = df.count()
     nb = max(1, n // bucket_rows)
     keyed = df.withColumn("_b", F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(nb))) \
               .withColumn("_o", F.xxhash64(F.col(id_col), F.lit(seed + 1)))
     w = Window.partitionBy("_b").orderBy("_o", id_col)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = []
-    for f in features:
-        rotated = F.coalesce(F.lag(F.col(f), 1).over(w), F.last(F.col(f)).over(whole))
-        perm = keyed.withColumn(f, rotated).drop("_b", "_o")
-        rows.append((f, float(base_auc - score(perm))))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    rotated = keyed.select(label_col, *inputs, *[
+        F.coalesce(F.lag(F.col(f), 1).over(w), F.last(F.col(f)).over(whole)).alias(f"_r_{f}") for f in features])
+
+    def variant(name: str) -> Column:
+        return F.struct(F.lit(name).alias("feature"), *[
+            F.col(f"_r_{f}" if f == name else f).cast("double").alias(f) for f in inputs])
+    rows = rotated.select(label_col, F.inline(F.array(*[variant(x) for x in ["", *features]])))
+    scored = predict_pd(model, rows, inputs).select("feature", "pd", label_col)
+    per = auc(scored, ["feature"], "pd", label_col, max_groups=len(features) + 1)
+    base = per.where("feature = ''").select(F.col("auc").alias("_base"))
+    return attach(per.where("feature <> ''"), base).select(
+        "feature", (F.col("_base") - F.col("auc")).alias("importance"))
 
 
 def global_importance(model: PipelineModel, features: list[str]) -> DataFrame:
@@ -248,22 +269,25 @@ def global_importance(model: PipelineModel, features: list[str]) -> DataFrame:
                                  "feature string, importance double")
 
 
-def batch_score(model: PipelineModel, df: DataFrame, features: list[str], coefs: dict[str, float] | None,
-                id_col: str = "id", threshold: Column | float = 0.5, top_n: int = TOP_FACTORS) -> DataFrame:
-    """L-14: probability, decision (P-13, per-row threshold allowed) and top factors in one pass."""
+def batch_score(model: PipelineModel, df: DataFrame, features: list[str],
+                terms: dict[str, LinearTerm] | None = None, id_col: str = "id",
+                threshold: Column | float = 0.5, top_n: int = TOP_FACTORS) -> DataFrame:
+    """L-14: probability, decision (P-13, per-row threshold allowed) and top factors in one pass.
+
+    A linear model's factors are per row (``terms``, from ``fitted_terms``); a tree model's are its
+    global importances, the same for every row.
+    """
     from .policy import score_decision
 
     scored = predict_pd(model, df, features)
-    out = scored.select(id_col, "pd", score_decision(F.col("pd"), threshold).alias("decision"),
-                        *features)
-    if coefs:
-        stats = df.agg(*[F.avg(F.col(f).cast("double")).alias(f"m_{f}") for f in features],
-                       *[F.stddev_pop(F.col(f).cast("double")).alias(f"s_{f}") for f in features])
-        out = attach(out, stats)
-        out = out.select(id_col, "pd", "decision", contributions_column(
-            features, coefs, {f: F.col(f"m_{f}") for f in features},
-            {f: F.col(f"s_{f}") for f in features}, top_n).alias("factors"))
-    return out
+    if terms is not None:
+        factors = contributions_column(terms, top_n)
+    else:
+        imp = sorted(zip(features, model.stages[-1].featureImportances.toArray().tolist()),
+                     key=lambda t: (-t[1], t[0]))[:top_n]
+        factors = F.array(*[F.struct(F.lit(f).alias("name"), F.lit(float(v)).alias("value")) for f, v in imp])
+    return scored.select(id_col, "pd", score_decision(F.col("pd"), threshold).alias("decision"),
+                         factors.alias("factors"))
 
 
 def logreg_coefficients(model: PipelineModel, features: list[str]) -> dict[str, float]:

@@ -14,11 +14,20 @@ from .oracle_views import with_views
 from .q_features import _ORIG_FEATURES_SQL, _SUMMARY_SQL, q_feature_table
 
 FEATS = ML.PD_FEATURES
-# Fixed illustrative coefficients for the SQL-checkable linear attribution (a fitted
-# model's coefficients would be passed the same way).
-COEFS = {"credit_score": -0.8, "orig_ltv": 0.5, "orig_dti": 0.3, "log_upb": 0.2,
-         "orig_interest_rate": 0.6, "is_high_ltv": 0.15, "is_high_dti": 0.1, "is_arm": 0.05}
-ATTR_FEATS = list(COEFS)
+# Fixed illustrative model for the SQL-checkable attribution: (coefficient, fill, mean, std) per
+# feature, as ``fitted_terms`` reads them from a fitted pipeline.
+TERMS = {f: ML.LinearTerm(*v) for f, v in {
+    "credit_score": (-0.8, 700.0, 690.0, 60.0), "orig_ltv": (0.5, 75.0, 74.0, 15.0),
+    "orig_cltv": (0.45, 76.0, 75.0, 15.0), "orig_dti": (0.3, 35.0, 34.0, 10.0),
+    "orig_upb": (0.1, 200000.0, 210000.0, 110000.0), "orig_interest_rate": (0.6, 5.0, 5.2, 1.5),
+    "orig_loan_term": (0.05, 360.0, 320.0, 70.0), "num_units": (0.02, 1.0, 1.1, 0.4),
+    "num_borrowers": (-0.25, 2.0, 1.6, 0.5), "log_upb": (0.2, 12.0, 12.1, 0.6),
+    "is_first_time_homebuyer": (0.04, 0.0, 0.4, 0.5), "is_high_ltv": (0.15, 0.0, 0.3, 0.45),
+    "is_high_dti": (0.1, 0.0, 0.2, 0.4), "is_arm": (0.05, 0.0, 0.1, 0.3), "is_jumbo": (0.03, 0.0, 0.05, 0.2),
+    "occupancy_code": (0.07, 0.0, 0.5, 0.8), "loan_purpose_code": (0.06, 1.0, 1.2, 1.0),
+    "channel_code": (0.08, 0.0, 0.7, 0.9), "property_type_code": (0.09, 0.0, 0.8, 1.1)}.items()}
+COEFS = {f: t.coef for f, t in TERMS.items()}
+ATTR_FEATS = list(TERMS)
 
 
 def training_frame(spark, d):
@@ -113,24 +122,30 @@ def q_batch_score(spark, d):
     """L-14 (rows only): probability, decision and top-5 factors for every loan in one pass."""
     train, _ = _split(spark, d)
     m = ML.fit_logreg(train, FEATS)
-    coefs = ML.logreg_coefficients(m, FEATS)
     tf = training_frame(spark, d)
-    s = ML.batch_score(m, tf, FEATS, coefs)
+    s = ML.batch_score(m, tf, FEATS, ML.fitted_terms(m, FEATS))
     return s.select("id", "pd", "decision", F.to_json("factors").alias("factors"))
 
 
+def _attr_frame(spark, d):
+    """The feature table with orig_cltv: every model feature."""
+    from ..functions.clean import clip
+    from ..functions.features import CLIP_BOUNDS
+    from . import bindings as B
+
+    cltv = B.orig(spark, d).select("loan_id", clip(F.col("orig_cltv"), *CLIP_BOUNDS["orig_cltv"]).alias("orig_cltv"))
+    return q_feature_table(spark, d).join(cltv, "loan_id", "left")
+
+
 def _attr_sql() -> dict[str, str]:
-    stats = ", ".join(f"avg(CAST({f} AS DOUBLE)) AS m_{f}, stddev_pop(CAST({f} AS DOUBLE)) AS s_{f}"
-                      for f in ATTR_FEATS)
     unions = " UNION ALL ".join(
-        f"SELECT t.loan_id AS id, '{f}' AS name, coalesce(CASE WHEN s.s_{f} = 0 THEN NULL ELSE "
-        f"(CAST(t.{f} AS DOUBLE) - s.m_{f}) / s.s_{f} END, 0.0) * {COEFS[f]} AS value FROM ft t, st s"
-        for f in ATTR_FEATS)
+        f"SELECT loan_id AS id, '{f}' AS name, (coalesce(CAST({f} AS DOUBLE), {t.fill}::DOUBLE) - {t.mean}::DOUBLE) "
+        f"/ {t.std}::DOUBLE * {t.coef}::DOUBLE AS value FROM ft" for f, t in TERMS.items())
     return {
-        "ft": f"""SELECT f.*, s.max_loan_age, s.latest_upb, s.max_dpd FROM ({_ORIG_FEATURES_SQL}) f
+        "ft": f"""SELECT f.*, s.max_loan_age, s.latest_upb, s.max_dpd,
+                  greatest(0.0, least(105.0, CAST(o.orig_cltv AS DOUBLE))) AS orig_cltv FROM ({_ORIG_FEATURES_SQL}) f
                   JOIN v_orig o ON f.loan_id = o.loan_id
                   LEFT JOIN ({_SUMMARY_SQL}) s ON o.loan_sequence_number = s.loan_sequence_number""",
-        "st": f"SELECT {stats} FROM ft",
         "contrib": unions,
     }
 
@@ -141,8 +156,8 @@ SELECT id, CAST(rank AS INTEGER) AS rank, name, round(value, 6) AS value FROM (
   FROM contrib) WHERE rank <= 5""", "v_orig", "v_perf", extra=_attr_sql()))
 def q_linear_contributions(spark, d):
     """L-15 + N-5: standardised value × coefficient, top 5 by absolute value per loan."""
-    tf = q_feature_table(spark, d).withColumnRenamed("loan_id", "id")
-    lc = ML.linear_contributions(tf, ATTR_FEATS, COEFS)
+    tf = _attr_frame(spark, d).withColumnRenamed("loan_id", "id")
+    lc = ML.linear_contributions(tf, TERMS)
     return lc.select("id", F.col("rank").cast("int"), "name", F.round("value", 6).alias("value"))
 
 
@@ -158,7 +173,7 @@ def _mean_abs_sql() -> dict[str, str]:
     "SELECT feature, round(importance, 6) AS importance FROM imp", "v_orig", "v_perf", extra=_mean_abs_sql()))
 def q_mean_abs_attribution(spark, d):
     """L-17 (linear, exact): mean |β·(x − mean)| per feature."""
-    tf = q_feature_table(spark, d)
+    tf = _attr_frame(spark, d)
     a = ML.mean_abs_attribution(tf, ATTR_FEATS, COEFS)
     return a.select("feature", F.round("importance", 6).alias("importance"))
 
@@ -168,7 +183,7 @@ def q_mean_abs_attribution(spark, d):
     "v_orig", "v_perf", extra=_mean_abs_sql()))
 def q_topn_importance(spark, d):
     """N-6: the top features by mean absolute contribution (display limit 3 here)."""
-    tf = q_feature_table(spark, d)
+    tf = _attr_frame(spark, d)
     a = ML.mean_abs_attribution(tf, ATTR_FEATS, COEFS, max_display=3)
     return a.select("feature", F.round("importance", 6).alias("importance"))
 
@@ -177,7 +192,7 @@ def q_topn_importance(spark, d):
 def q_global_importance(spark, d):
     """L-16 (rows only): forest importances, descending."""
     train, _ = _split(spark, d)
-    return ML.global_importance(ML.fit_random_forest(train, FEATS, n_trees=50), FEATS)
+    return ML.global_importance(ML.fit_random_forest(train, FEATS), FEATS)
 
 
 @query("permutation_importance")
@@ -185,7 +200,7 @@ def q_permutation_importance(spark, d):
     """L-17 for a fitted model (rows only): AUC drop per shuffled feature."""
     train, test = _split(spark, d)
     m = ML.fit_logreg(train, FEATS)
-    return ML.permutation_importance(m, test, ATTR_FEATS)
+    return ML.permutation_importance(m, test, FEATS)
 
 
 @query("training_metrics_report")
@@ -204,6 +219,6 @@ SELECT id, CAST(rank AS INTEGER) AS rank, name, round(value, 6) AS value FROM (
   FROM contrib) WHERE rank <= 3""", "v_orig", "v_perf", extra=_attr_sql()))
 def q_topn_factors(spark, d):
     """N-5: the top 3 factors per loan by absolute contribution (array sort, no row shuffle)."""
-    tf = q_feature_table(spark, d).withColumnRenamed("loan_id", "id")
-    lc = ML.linear_contributions(tf, ATTR_FEATS, COEFS, top_n=3)
+    tf = _attr_frame(spark, d).withColumnRenamed("loan_id", "id")
+    lc = ML.linear_contributions(tf, TERMS, top_n=3)
     return lc.select("id", F.col("rank").cast("int"), "name", F.round("value", 6).alias("value"))

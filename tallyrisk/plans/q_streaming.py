@@ -16,19 +16,41 @@ from .oracle_views import with_views
 
 def _events_stream(spark, d):
     ev = B.events(spark, d)
-    return ST.event_stream(spark, d, ev.schema, "events.parquet")
+    end = scratch_path(spark, "events-end")
+    ST.write_end_marker(ev, end)
+    return ST.event_stream(spark, d, ev.schema, "events.parquet", end)
 
 
-@query("stream_delinquency_rate")
+@query("stream_delinquency_rate", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+       count(*) AS n_events, count(*) FILTER (WHERE event_type = 'error') AS n_bad,
+       count(*) FILTER (WHERE event_type = 'error') / count(*)::DOUBLE AS rate
+FROM events GROUP BY 1, 2""")
 def q_stream_delinquency_rate(spark, d):
-    """X-1 (rows only): daily event windows with the 'error' rate, watermark 1 hour."""
+    """X-1: daily event windows with the 'error' rate, watermark 1 hour."""
     s = ST.stream_delinquency_rate(_events_stream(spark, d))
     return ST.run_available_now(s, scratch_path(spark, "x1-sink"), scratch_path(spark, "x1-ckpt"))
 
 
-@query("stream_psi")
+@query("stream_psi", """
+WITH ref AS (SELECT value::DOUBLE AS v FROM events WHERE ts < TIMESTAMP '2024-01-15' AND value IS NOT NULL),
+e AS (SELECT list_sort(list_distinct([quantile_cont(v, 0.0), quantile_cont(v, 0.1), quantile_cont(v, 0.2),
+  quantile_cont(v, 0.3), quantile_cont(v, 0.4), quantile_cont(v, 0.5), quantile_cont(v, 0.6), quantile_cont(v, 0.7),
+  quantile_cont(v, 0.8), quantile_cont(v, 0.9), quantile_cont(v, 1.0)])) AS edges FROM ref),
+b AS (SELECT date_trunc('day', ts) AS w, ts, value::DOUBLE AS v,
+             least(len(list_filter(edges, lambda x: x <= value)) - 1, len(edges) - 2) AS bin, edges
+      FROM events, e WHERE value IS NOT NULL AND value BETWEEN edges[1] AND edges[-1]),
+r AS (SELECT bin, count(*) / (sum(count(*)) OVER ())::DOUBLE AS share FROM b WHERE ts < TIMESTAMP '2024-01-15' GROUP BY bin),
+c AS (SELECT w, bin, count(*) AS n FROM b GROUP BY w, bin),
+t AS (SELECT w, sum(n) AS ct FROM c GROUP BY w),
+g AS (SELECT t.w, ct, greatest(coalesce(n, 0) / ct::DOUBLE, 1e-8) AS p, greatest(coalesce(share, 0), 1e-8) AS q
+      FROM t CROSS JOIN (SELECT unnest(range(0, (SELECT len(edges) - 1 FROM e))) AS bin)
+      LEFT JOIN c USING (w, bin) LEFT JOIN r USING (bin))
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, sum((p - q) * ln(p / q)) AS psi, max(ct)::BIGINT AS n_in_range
+FROM g GROUP BY w""")
 def q_stream_psi(spark, d):
-    """X-2 (rows only): PSI of each day's event values against edges frozen from the
+    """X-2: PSI of each day's event values against edges frozen from the
     first half of the month."""
     ev = B.events(spark, d)
     ref = ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))

@@ -97,6 +97,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(cur)
         return cur
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
     d = tempfile.mkdtemp(prefix="tallyrisk-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

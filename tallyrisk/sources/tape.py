@@ -123,23 +123,22 @@ def typed_tape(raw: DataFrame, types: dict[str, str], rules, period_col: str | N
 
 
 def _existing_quarters(spark: SparkSession, out_dir: str) -> list[str]:
-    """Quarters already written under ``out_dir`` (partition values only: calendar-bounded)."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        done = spark.read.parquet(out_dir).select("quarter").distinct()
-        return [r[0] for r in done.collect()]
-    except AnalysisException:
+    """Quarters already written under ``out_dir``, from its partition folders (no data is read)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(n.partition("=")[2] for n in names if n.startswith("quarter="))
 
 
 def ingest_tape(spark: SparkSession, paths: str | list[str], layout: str, out_dir: str,
-                quarters: list[str] | None = None, overwrite: bool = False) -> DataFrame:
+                quarters: list[str] | None = None, overwrite: bool = False) -> DataFrame | None:
     """S-2 / S-3: read → quarter → prune → clean → validate → Parquet by quarter.
 
     Quarters already present in ``out_dir`` are skipped unless ``overwrite``
     (dynamic partition overwrite replaces only the re-ingested quarters).
-    Returns the ingested frame read back from ``out_dir``.
+    Returns the ingested frame read back from ``out_dir``, None where nothing was ever written.
     """
     if layout == "origination":
         cols, types, rules, per = ORIGINATION_COLUMNS, ORIGINATION_TYPES, ORIGINATION_RULES, "first_payment_date"
@@ -148,15 +147,23 @@ def ingest_tape(spark: SparkSession, paths: str | list[str], layout: str, out_di
     else:
         raise ValueError(f"unknown layout {layout!r}")
     raw = read_delimited_tape(spark, paths, cols).withColumn("quarter", quarter_of())
-    raw = filter_quarters(raw, quarters)
-    if not overwrite:
-        done = _existing_quarters(spark, out_dir)
-        if done:
-            raw = raw.where(~F.col("quarter").isin(done))
-    typed = typed_tape(raw, types, rules, per)
+    _write_quarters(typed_tape(filter_quarters(raw, quarters), types, rules, per), out_dir, overwrite)
+    return _produced(spark, out_dir, quarters)
+
+
+def _write_quarters(typed: DataFrame, out_dir: str, overwrite: bool) -> None:
+    """Write by quarter; quarters that are there already are left alone unless ``overwrite``."""
+    done = [] if overwrite else _existing_quarters(typed.sparkSession, out_dir)
+    if done:
+        typed = typed.where(~F.col("quarter").isin(done))
     (typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("quarter").parquet(out_dir))
-    return load_processed(spark, out_dir, quarters)
+
+
+def _produced(spark: SparkSession, out_dir: str, quarters: list[str] | None) -> DataFrame | None:
+    wanted = {q.upper() for q in quarters or []}
+    there = [q for q in _existing_quarters(spark, out_dir) if not wanted or q in wanted]
+    return load_processed(spark, out_dir, quarters) if there else None
 
 
 def load_processed(spark: SparkSession, out_dir: str, quarters: list[str] | None = None) -> DataFrame:
@@ -170,9 +177,10 @@ def split_combined_tape(spark: SparkSession, paths: str | list[str],
                         quarters: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """S-4: one wide read → (origination, performance) by position maps.
 
-    Performance keeps every row; origination keeps the first row per loan (P-6:
-    earliest reporting period, then file and text order as tie-breaks), taken with
-    ``min_by`` so a long loan history is combined map-side.
+    Performance keeps every row; origination keeps the first row per quarter and loan (P-6:
+    earliest reporting period, then file and text order as tie-breaks, since rows have no
+    position in a distributed read), taken with ``min_by`` so a long loan history is combined
+    map-side.
     """
     raw = read_delimited_tape(spark, paths, [], width=COMBINED_WIDTH).withColumn("quarter", quarter_of())
     raw = filter_quarters(raw, quarters)
@@ -186,10 +194,10 @@ def split_combined_tape(spark: SparkSession, paths: str | list[str],
                            parse_period(F.col(f"_c{COMBINED_PERF_POSITIONS['monthly_reporting_period']}"))
                            .alias("_m"), "_file")
     order = F.struct(F.col("_m"), F.col("_file"), *[F.col(c) for c in ORIGINATION_COLUMNS])
-    first = orig_rows.groupBy("loan_sequence_number").agg(
-        F.min_by(F.struct(*[F.col(c) for c in ORIGINATION_COLUMNS if c != "loan_sequence_number"],
-                          "quarter"), order).alias("r"))
-    orig = first.select("loan_sequence_number", "r.*").select(*ORIGINATION_COLUMNS, "quarter")
+    first = orig_rows.groupBy("quarter", "loan_sequence_number").agg(
+        F.min_by(F.struct(*[F.col(c) for c in ORIGINATION_COLUMNS if c != "loan_sequence_number"]),
+                 order).alias("r"))
+    orig = first.select("quarter", "loan_sequence_number", "r.*").select(*ORIGINATION_COLUMNS, "quarter")
     return orig, perf
 
 
@@ -197,23 +205,20 @@ def ingest_all(spark: SparkSession, orig_paths: list[str], perf_paths: list[str]
                combined_paths: list[str], out_dir: str, quarters: list[str] | None = None,
                overwrite: bool = False) -> dict[str, DataFrame]:
     """S-5: classic layouts first; the combined tape only when both produced nothing."""
+    dirs = {"origination": f"{out_dir}/origination", "performance": f"{out_dir}/performance"}
     out = {}
-    if orig_paths:
-        out["origination"] = ingest_tape(spark, orig_paths, "origination", f"{out_dir}/origination",
-                                         quarters, overwrite)
-    if perf_paths:
-        out["performance"] = ingest_tape(spark, perf_paths, "performance", f"{out_dir}/performance",
-                                         quarters, overwrite)
+    for layout, paths in (("origination", orig_paths), ("performance", perf_paths)):
+        got = ingest_tape(spark, paths, layout, dirs[layout], quarters, overwrite) if paths else None
+        if got is not None:
+            out[layout] = got
     if not out and combined_paths:
         o, p = split_combined_tape(spark, combined_paths, quarters)
-        typed_tape(p, PERFORMANCE_TYPES, PERFORMANCE_RULES, "monthly_reporting_period").write.mode(
-            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(
-            f"{out_dir}/performance")
-        typed_tape(o, ORIGINATION_TYPES, ORIGINATION_RULES, "first_payment_date").write.mode(
-            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(
-            f"{out_dir}/origination")
-        out = {"origination": load_processed(spark, f"{out_dir}/origination", quarters),
-               "performance": load_processed(spark, f"{out_dir}/performance", quarters)}
+        _write_quarters(typed_tape(p, PERFORMANCE_TYPES, PERFORMANCE_RULES, "monthly_reporting_period"),
+                        dirs["performance"], overwrite)
+        _write_quarters(typed_tape(o, ORIGINATION_TYPES, ORIGINATION_RULES, "first_payment_date"),
+                        dirs["origination"], overwrite)
+        found = {k: _produced(spark, v, quarters) for k, v in dirs.items()}
+        out = {k: v for k, v in found.items() if v is not None}
     return out
 
 

@@ -33,24 +33,48 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str =
     return stream.sparkSession.read.parquet(sink)
 
 
-def event_stream(spark: SparkSession, folder: str, schema, glob: str | None = None) -> DataFrame:
+END = "__end__"   # event type of the end-of-stream marker
+
+
+def event_stream(spark: SparkSession, folder: str, schema, glob: str | None = None,
+                 end_folder: str | None = None, max_files: int | None = None) -> DataFrame:
     """Event file stream over a folder (optionally only files matching ``glob``); event time
-    as TIMESTAMP (watermarks need it; the session is UTC)."""
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    s = r.parquet(folder)
+    as TIMESTAMP (watermarks need it; the session is UTC).
+
+    A window is emitted once the watermark has passed its end, so a stream that simply stops
+    keeps its last windows. ``end_folder`` is a second folder, where ``write_end_marker`` puts one
+    row far behind the last event: it moves the watermark past every window and is counted in none.
+    """
+    def read(path: str, pattern: str | None) -> DataFrame:
+        r = spark.readStream.schema(schema)
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        if pattern:
+            r = r.option("pathGlobFilter", pattern)
+        return r.parquet(path)
+    s = read(folder, glob)
+    if end_folder:
+        s = s.unionByName(read(end_folder, None))
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def write_end_marker(events: DataFrame, end_folder: str, days: int = 366) -> None:
+    """One marker row ``days`` behind the last of ``events`` (the batch frame), in their schema."""
+    last = events.agg((F.max("ts") + F.make_dt_interval(F.lit(days))).alias("ts"))
+    cols = {"ts": F.col("ts"), "event_type": F.lit(END)}
+    last.select(*[cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema.fields]
+                ).write.mode("overwrite").parquet(end_folder)
+
+
 def stream_delinquency_rate(events: DataFrame, window: str = "1 day", slide: str | None = None,
                             watermark: str = "1 hour", bad_type: str = "error") -> DataFrame:
     """X-1 (A-2 on a stream): per event-time window the number of events, bad events and
     their rate; rows later than the watermark are dropped; windows are final when emitted."""
     w = F.window("ts", window, slide) if slide else F.window("ts", window)
+    real = F.coalesce(F.col("event_type") != END, F.lit(True))
     agg = (events.withWatermark("ts", watermark).groupBy(w.alias("w"))
-           .agg(F.count(F.lit(1)).alias("n_events"),
-                F.sum((F.col("event_type") == bad_type).cast("long")).alias("n_bad")))
+           .agg(F.count_if(real).alias("n_events"),
+                F.sum((F.col("event_type") == bad_type).cast("long")).alias("n_bad")).where("n_events > 0"))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "n_events", "n_bad", (F.col("n_bad") / F.col("n_events")).alias("rate"))
 
@@ -61,9 +85,10 @@ def stream_bin_counts(events: DataFrame, edges: list[float], value_col: str = "v
     (a literal array: a few numbers, shipped with the plan)."""
     e = F.array(*[F.lit(float(x)) for x in edges])
     b = bin_index(F.col(value_col).cast("double"), e)
-    agg = (events.withWatermark("ts", watermark).where(F.col(value_col).isNotNull())
+    # Nulls are left out of the counts, not filtered before the watermark: the end marker has none.
+    agg = (events.withWatermark("ts", watermark)
            .groupBy(F.window("ts", window).alias("w"), b.alias("bin"))
-           .agg(F.count(F.lit(1)).alias("n")))
+           .agg(F.count(value_col).alias("n")).where("n > 0"))
     return agg.select(F.col("w.start").alias("window_start"), "bin", "n")
 
 

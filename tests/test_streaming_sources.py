@@ -17,13 +17,15 @@ from .conftest import SF_SMALL
 
 def test_stream_windows_equal_batch(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    s = ST.stream_delinquency_rate(ST.event_stream(spark, SF_SMALL, ev.schema, "events.parquet"))
+    end = scratch_path(spark, "t-end")
+    ST.write_end_marker(ev, end)
+    s = ST.stream_delinquency_rate(ST.event_stream(spark, SF_SMALL, ev.schema, "events.parquet", end))
     out = ST.run_available_now(s, scratch_path(spark, "t-x1"), scratch_path(spark, "t-x1c"))
     got = {str(r["window_start"])[:10]: (r["n_events"], r["n_bad"]) for r in out.collect()}
     batch = (ev.groupBy(F.to_date("ts").alias("d"))
              .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("event_type") == "error").cast("long")).alias("b")))
     want = {str(r["d"]): (r["n"], r["b"]) for r in batch.collect()}
-    assert got and all(want[k] == v for k, v in got.items())
+    assert got == want
 
 
 def _write(path, lines):
