@@ -81,12 +81,11 @@ def binary_metrics(df: DataFrame, group_cols: list[str] | None = None, score_col
         _auc_expr().alias("_auc"),
         F.sum(F.when(P > 0, F.col("_pos") / P * F.col("_prec"))).alias("_ap"),
         best.alias("_best"),
-        F.max("_P").alias("_Pt"), F.max("_N").alias("_Nt"))
-    brier = _counts(df, g, score_col, label_col).groupBy(*[F.col(x) for x in g]).agg(
-        F.avg((F.col("_s") - F.col("_pos")) ** 2).alias("_brier"))
-    out = agg.join(brier, g, "inner") if g else attach(agg, brier)
+        F.max("_P").alias("_Pt"), F.max("_N").alias("_Nt"),
+        (F.sum(F.col("_pos") * (1 - F.col("_s")) ** 2 + F.col("_neg") * F.col("_s") ** 2)
+         / F.sum(F.col("_pos") + F.col("_neg"))).alias("_brier"))
     n = F.col("_Pt") + F.col("_Nt")
-    return out.select(
+    return agg.select(
         *[F.col(x) for x in g],
         F.round("_auc", 6).alias("auc_roc"),
         F.round("_ap", 6).alias("average_precision"),

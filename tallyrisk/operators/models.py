@@ -293,3 +293,13 @@ def batch_score(model: PipelineModel, df: DataFrame, features: list[str],
 def logreg_coefficients(model: PipelineModel, features: list[str]) -> dict[str, float]:
     lr = model.stages[-1]
     return {f: float(c) for f, c in zip(features, lr.coefficients.toArray().tolist())}
+
+
+TRAINERS = {"logreg": fit_logreg, "random_forest": fit_random_forest, "boosted_trees": fit_boosted_trees}
+
+
+def trainer(key: str):
+    """E-3: the fitting function of a model key; an unknown key is an error."""
+    if key not in TRAINERS:
+        raise ValueError(f"unknown model {key!r}; expected one of {sorted(TRAINERS)}")
+    return TRAINERS[key]

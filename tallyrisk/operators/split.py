@@ -79,12 +79,18 @@ def split_report(split_df: DataFrame, date_col: str, label_col: str | None = Non
     return split_df.groupBy("split").agg(*aggs)
 
 
-def _hash_rank(df: DataFrame, id_col: str, group_cols: list[str], seed: int) -> DataFrame:
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
-    keyed = df.withColumn("_h", h)
-    ranks = cumulative(keyed.select(*group_cols, "_h", F.lit(1).alias("_c")), group_cols, "_h", ["_c"])
-    return keyed.join(ranks.select(*group_cols, "_h", F.col("cum__c").alias("_rank")),
-                      group_cols + ["_h"], "inner")
+def _below_cut(df: DataFrame, label_col: str, id_col: str, quota: DataFrame, seed: int) -> DataFrame:
+    """``df`` with ``_h`` (seeded hash) and ``_in``: among its class's first ``_q`` rows by hash.
+
+    Only the hash at each class's cut is looked up (one row per class); rows are not shuffled.
+    """
+    keyed = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    ranks = cumulative(keyed.select(label_col, "_h", F.lit(1).alias("_c")), [label_col], "_h", ["_c"])
+    same = ranks[label_col].eqNullSafe(quota[label_col])
+    cut = ranks.join(quota, same).where(F.col("cum__c") <= F.col("_q")).groupBy(
+        ranks[label_col].alias("_class")).agg(F.max("_h").alias("_cut"))
+    return keyed.join(cut, keyed[label_col].eqNullSafe(cut["_class"]), "left").withColumn(
+        "_in", F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))).drop("_class", "_cut")
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: float = 0.2,
@@ -93,12 +99,10 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: floa
 
     Membership differs from the reference's random generator by design.
     """
-    r = _hash_rank(df, id_col, [label_col], seed)
-    n = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
-    j = r.join(F.broadcast(n), label_col)
-    is_test = F.col("_rank") <= F.bround(F.col("_n") * test_size, 0)
-    return j.select(*[F.col(c) for c in df.columns],
-                    F.when(is_test, "test").otherwise("train").alias("split"))
+    quota = df.groupBy(label_col).agg(F.bround(F.count(F.lit(1)) * test_size, 0).alias("_q"))
+    marked = _below_cut(df, label_col, id_col, quota, seed)
+    return marked.select(*[F.col(c) for c in df.columns],
+                         F.when(F.col("_in"), "test").otherwise("train").alias("split"))
 
 
 def stratified_downsample(df: DataFrame, label_col: str, id_col: str, max_rows: int,
@@ -111,8 +115,6 @@ def stratified_downsample(df: DataFrame, label_col: str, id_col: str, max_rows:
         label_col, F.when(F.col("_k") > 1, F.greatest(F.lit(1), F.bround(
             F.lit(max_rows) * F.col("_n") / F.col("_tot"), 0))).otherwise(F.lit(max_rows))
         .alias("_q"))
-    r = _hash_rank(df, id_col, [label_col], seed).join(F.broadcast(quota), label_col)
-    kept = r.where(F.col("_rank") <= F.col("_q"))
-    g = cumulative(kept.select("_h", F.lit(1).alias("_c")), [], "_h", ["_c"])
-    kept = kept.join(g.select("_h", F.col("cum__c").alias("_grank")), "_h")
-    return kept.where(F.col("_grank") <= max_rows).select(*[F.col(c) for c in df.columns])
+    kept = _below_cut(df, label_col, id_col, quota, seed).where("_in")
+    # The quotas sum to about max_rows, so the overall limit orders a bounded number of rows.
+    return kept.orderBy("_h", id_col).limit(max_rows).select(*[F.col(c) for c in df.columns])

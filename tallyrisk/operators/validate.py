@@ -65,8 +65,10 @@ PERFORMANCE_RULES = [
     Rule("deferred_payment_plan", "in_set", allowed=("Y", "N", " ", "")),
     Rule("delinquency_due_to_disaster", "in_set", allowed=("Y", "N", " ", "")),
 ]
-NUMERIC_COLUMNS = {"credit_score", "mi_pct", "num_units", "orig_cltv", "orig_dti", "orig_upb",
-                   "orig_ltv", "orig_interest_rate", "orig_loan_term", "msa", "num_borrowers"}
+# Typed columns without a range rule: text that does not coerce is a violation.
+ORIGINATION_RULES += [Rule(c, "type") for c in ("msa", "num_borrowers")]
+PERFORMANCE_RULES += [Rule(c, "type") for c in (
+    "current_actual_upb", "loan_age", "remaining_months_to_legal_maturity", "current_interest_rate")]
 
 
 def _violation(rule: Rule, raw: Column) -> list[tuple[str, Column]]:

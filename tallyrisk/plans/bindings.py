@@ -42,14 +42,8 @@ DRIFT_CUTOFF = "1998-07-01"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. A table stored as a single row group scans as one task; when the
-    scan yields fewer splits than the cluster's cores it is spread round-robin first (a
-    many-file table at scale already has enough splits and is left alone)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:

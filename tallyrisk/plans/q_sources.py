@@ -250,11 +250,13 @@ def q_report_json_sink(spark, d):
 
 @query("summary_markdown")
 def q_summary_markdown(spark, d):
-    """S-17 (rows only): the monitoring report rendered as one Markdown document."""
+    """S-17 (rows only): the monitoring report, score drift included, as one Markdown document."""
+    from .q_drift import _score_frames
+
     ref, cur = B.drift_frames(spark, d)
     fd = D.feature_drift(ref, cur, B.DRIFT_FEATURES)
     s = B.scores(spark, d)
-    return FS.summary_markdown(PD.monitoring_report(fd, None, PD.perf_drift(s)))
+    return FS.summary_markdown(PD.monitoring_report(fd, D.score_drift(*_score_frames(spark, d), "pd"), PD.perf_drift(s)))
 
 
 

@@ -7,14 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).limit(1).count()
-        return True
-    except AnalysisException:
-        return False
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has ``path`` (an unreadable one is there, and fails when read)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -38,7 +34,7 @@ def load_source(spark: SparkSession, source: str) -> DataFrame:
     kind, _, path = source.partition(":")
     if kind not in SOURCE_READERS or not path:
         raise ValueError(f"unknown source {source!r}; expected one of {sorted(SOURCE_READERS)}")
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     return SOURCE_READERS[kind](spark, path)
 
@@ -116,6 +112,3 @@ def summary_markdown(report: DataFrame, title: str = "Monitoring summary") -> Da
                        F.lit("|---|---|---|---|---|"), F.col("table"))
     return j.select(text.alias("markdown"))
 
-
-def write_text(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").text(path)

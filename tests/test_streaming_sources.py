@@ -89,3 +89,56 @@ def test_summary_markdown_lists_alerts(spark):
                                 "check string, name string, metric string, value double, severity string")
     text = FS.summary_markdown(rep).first()["markdown"]
     assert "Status: **ALERT**" in text and "feature_drift:x" in text and "| feature_drift | y | psi |" in text
+
+
+def _combined(loan, month, rate):
+    row = [""] * TP.COMBINED_WIDTH
+    row[TP.COMBINED_PERF_POSITIONS["loan_sequence_number"]] = loan
+    row[TP.COMBINED_PERF_POSITIONS["monthly_reporting_period"]] = month
+    row[TP.COMBINED_ORIG_POSITIONS["orig_interest_rate"]] = rate
+    return "|".join(row)
+
+
+def test_combined_tape_keeps_a_loan_per_quarter_and_honours_overwrite(spark):
+    d = tempfile.mkdtemp(prefix="combined-")
+    _write(os.path.join(d, "2031Q1.csv"), [_combined("Z1", "012031", "5.5"), _combined("Z1", "022031", "5.6")])
+    _write(os.path.join(d, "2031Q2.csv"), [_combined("Z1", "042031", "6.5"), _combined("Z2", "042031", "7.5")])
+    orig, perf = TP.split_combined_tape(spark, d)
+    assert sorted((r.quarter, r.loan_sequence_number, r.orig_interest_rate) for r in orig.collect()) == [
+        ("2031Q1", "Z1", "5.5"), ("2031Q2", "Z1", "6.5"), ("2031Q2", "Z2", "7.5")]
+    assert perf.count() == 4
+    # A classic layout whose quarters do not match produces nothing: the combined tape is read.
+    classic = tempfile.mkdtemp(prefix="classic-")
+    _write(os.path.join(classic, "2030Q1.txt"), [VALID])
+    out = tempfile.mkdtemp(prefix="ingested-")
+    got = TP.ingest_all(spark, [classic], [], [d], out, quarters=["2031Q1", "2031Q2"])
+    assert got["origination"].count() == 3 and got["performance"].count() == 4
+    _write(os.path.join(d, "2031Q2.csv"), [_combined("Z3", "052031", "1.5")])
+    spark.catalog.clearCache()
+    kept = TP.ingest_all(spark, [], [], [d], out)["origination"]
+    assert sorted(r.loan_sequence_number for r in kept.collect()) == ["Z1", "Z1", "Z2"]
+    again = TP.ingest_all(spark, [], [], [d], out, overwrite=True)["origination"]
+    assert sorted(r.loan_sequence_number for r in again.collect()) == ["Z1", "Z3"]
+
+
+def test_series_files_are_read_by_their_own_headers(spark):
+    from tallyrisk.sources import series as SR
+    d = tempfile.mkdtemp(prefix="series-")
+    _write(os.path.join(d, "AAA.csv"), ["DATE,AAA", "2031-01-01,1.5", "2031-02-01,."])
+    _write(os.path.join(d, "BBB.csv"), ["bbb, date", "7,2031-01-01", "8,2031-02-01"])
+    got = {(r.series_id, str(r.date)): r.value for r in SR.read_series_csv(spark, d).collect()}
+    assert got == {("AAA", "2031-01-01"): 1.5, ("AAA", "2031-02-01"): None,
+                   ("BBB", "2031-01-01"): 7.0, ("BBB", "2031-02-01"): 8.0}
+    obs = SR.read_series_csv(spark, d)
+    wide = SR.write_macro_monthly(spark, obs, {"AAA": "mean", "BBB": "nonsense"}, os.path.join(d, "wide"))
+    assert "AAA" in wide.columns and "BBB" not in wide.columns
+    with pytest.raises(ValueError):
+        SR.write_macro_monthly(spark, obs, {"BBB": "nonsense"}, os.path.join(d, "none"))
+
+
+def test_sorted_frames_come_in_order(spark):
+    from tallyrisk.plans import q_features, q_policy
+    rows = [(r.loan_id, r.reporting_month) for r in q_features.q_panel_sort(spark, SF_SMALL).collect()]
+    assert rows == sorted(rows)
+    ranked = [(-r.pd, r.id) for r in q_policy.q_portfolio_sort(spark, SF_SMALL).collect()]
+    assert ranked == sorted(ranked)
