@@ -148,7 +148,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
                                  _covered("spans").alias("_b_at")), "contaminated")
     match = F.col("doc_id").eqNullSafe(F.col("_b_id")) & (F.xxhash64("text") == F.col("_b_th"))
     if mode == "document":
-        return docs.join(bad, match, "left_anti")
+        return docs.join(bad.drop("_b_at"), match, "left_anti")
     if mode != "span":
         raise ValueError(f"unknown mode {mode!r}")
     joined = docs.join(bad, match, "left")

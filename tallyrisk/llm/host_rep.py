@@ -3,9 +3,9 @@
 Labelled page outcomes (1 bad, 0 good) are counted per host, registered domain (last two labels)
 and suffix (last label). Each group's beta prior is the posterior of the group above without the
 group's own outcomes; its strength combines how much that posterior knows with how alike the
-level's groups are (moment estimator for beta-binomial counts). A host is blocked when the lower posterior bound of its bad share exceeds
-``max_bad``; hosts without evidence keep their domain's prior, whose wide bound allows them.
-Rules (host, path prefix) override the reputation; the longest fitting rule wins.
+level's groups are (moment estimator for beta-binomial counts). A host is blocked when the lower
+posterior bound of its bad share exceeds ``max_bad``; hosts without evidence keep their domain's
+prior, whose wide bound allows them. Rules (host, path prefix) override the reputation; the longest fitting rule wins.
 
 Defined results: a null url or one without "://" has empty host and path, fits no rule and is
 judged by the prior of the empty domain; pages without a label add no evidence; repeated rows

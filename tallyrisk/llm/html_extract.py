@@ -91,12 +91,17 @@ class Page:
     def _parse(self, source: str) -> None:
         stack, pieces, at = [0], self.pieces, 0
         edge = (-1, "")
+        still_open: dict[str, int] = {}
 
         def pop():
-            if self.tag[stack.pop()] in BLOCK:
+            t = self.tag[stack.pop()]
+            still_open[t] -= 1
+            if t in BLOCK:
                 pieces.append(edge)
 
         def close_until(names, stops):
+            if not any(still_open.get(x) for x in names):
+                return
             for k in range(len(stack) - 1, 0, -1):
                 t = self.tag[stack[k]]
                 if t in names:
@@ -118,7 +123,7 @@ class Page:
                 continue
             name = name.lower()
             if m.group(1):
-                if name == "p" and not any(self.tag[i] == "p" for i in stack):
+                if name == "p" and not still_open.get("p"):
                     pieces.append(edge)
                 elif name == "br":
                     pieces.append((stack[-1], " "))
@@ -146,6 +151,7 @@ class Page:
                 continue
             if not m.group(3).rstrip().endswith("/") or name not in ("path", "use", "circle", "rect", "g"):
                 stack.append(node)
+                still_open[name] = still_open.get(name, 0) + 1
         if at < len(source):
             pieces.append((stack[-1], source[at:]))
 
