@@ -52,6 +52,34 @@ def _slices(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The bytes of an array, all first bytes first, then all second bytes, ...: small numbers leave
+    long runs of zeros, which the shuffle's compression takes out."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
+
+
+def _unplanes(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes as differences."""
+    return _planes(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unplanes(data, np.uint64), dtype=np.uint64)
+
+
+def pack_counts(n: np.ndarray) -> bytes:
+    return _planes(n.astype(np.uint32))
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return _unplanes(data, np.uint32)
+
+
 def with_training_flag(docs: DataFrame) -> DataFrame:
     """doc_id, text, held_out: whether crc32 of the id as text leaves 2 modulo 7."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -72,8 +100,8 @@ def vocabulary_totals(docs: DataFrame, buckets: int) -> tuple[int, int]:
             pending.clear()
             live = np.flatnonzero(np.diff(cut))
             return pa.RecordBatch.from_arrays(
-                [pa.array(live.astype(np.int32)), pa.array([keys[cut[i]:cut[i + 1]].tobytes() for i in live], pa.binary()),
-                 pa.array([n[cut[i]:cut[i + 1]].astype(np.uint32).tobytes() for i in live], pa.binary())],
+                [pa.array(live.astype(np.int32)), pa.array([pack_keys(keys[cut[i]:cut[i + 1]]) for i in live], pa.binary()),
+                 pa.array([pack_counts(n[cut[i]:cut[i + 1]]) for i in live], pa.binary())],
                 names=["bucket", "k", "n"])
         for b in batches:
             texts, held = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -89,8 +117,8 @@ def vocabulary_totals(docs: DataFrame, buckets: int) -> tuple[int, int]:
         yield flush()
 
     def total(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("k").to_pylist()])
-        n = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("n").to_pylist()]).astype(np.int64)
+        keys = np.concatenate([unpack_keys(x) for x in table.column("k").to_pylist()])
+        n = np.concatenate([unpack_counts(x) for x in table.column("n").to_pylist()]).astype(np.int64)
         _, n = merge_counts(keys, n)
         return pa.table({"n": pa.array([int(n.sum())]), "v": pa.array([int((n > 0).sum())])})
     parts = map_arrow(docs.select("text", "held_out"), count, "bucket int, k binary, n binary")
@@ -145,25 +173,25 @@ def _request(buckets: int):
         wc, pc = _slices(b.word_keys, buckets), _slices(b.pair_keys, buckets)
         live = np.flatnonzero(np.diff(wc) + np.diff(pc))
 
-        def cut(x, at):
-            return pa.array([x[at[i]:at[i + 1]].tobytes() for i in live], pa.binary())
+        def cut(x, at, pack):
+            return pa.array([pack(x[at[i]:at[i + 1]]) for i in live], pa.binary())
         block = table.column("block")[0].as_py()
         return pa.table({"bucket": pa.array(live.astype(np.int32)), "block": pa.array([block] * len(live), pa.int32()),
-                         "wk": cut(b.word_keys, wc), "wn": cut(b.word_train, wc),
-                         "pk": cut(b.pair_keys, pc), "pn": cut(b.pair_train, pc)})
+                         "wk": cut(b.word_keys, wc, pack_keys), "wn": cut(b.word_train, wc, pack_counts),
+                         "pk": cut(b.pair_keys, pc, pack_keys), "pn": cut(b.pair_train, pc, pack_counts)})
     return run
 
 
 def _count(table: pa.Table) -> pa.Table:
     """Totals over all blocks of one hash range, sent back in the order of each request."""
     def totals(keys: str, counts: str):
-        parts = [np.frombuffer(x, np.uint64) for x in table.column(keys).to_pylist()]
-        n = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column(counts).to_pylist()])
+        parts = [unpack_keys(x) for x in table.column(keys).to_pylist()]
+        n = np.concatenate([unpack_counts(x) for x in table.column(counts).to_pylist()])
         _, at = np.unique(np.concatenate(parts), return_inverse=True)
         every = np.bincount(at, n) if len(at) else np.zeros(0)
         out, lo = [], 0
         for p in parts:
-            out.append(every[at[lo:lo + len(p)]].astype(np.uint32).tobytes())
+            out.append(pack_counts(every[at[lo:lo + len(p)]]))
             lo += len(p)
         return pa.array(out, pa.binary())
     return pa.table({"block": table.column("block").combine_chunks(), "bucket": table.column("bucket").combine_chunks(),
@@ -201,7 +229,7 @@ def _score(n: int, v: int, backoff: float):
 
         def gather(name, size):
             got = answers.column(name).to_pylist()
-            x = np.frombuffer(b"".join(got[i] for i in order), np.uint32).astype(np.int64)
+            x = np.concatenate([unpack_counts(got[i]) for i in order]).astype(np.int64) if got else np.zeros(0, int)
             if len(x) != size:
                 raise ValueError("a block's answers do not match its request")
             return x
