@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tallyrisk.session import scratch_path, ship_package
 
-CHUNK_CHARS = 8 << 20   # texts handled at once inside a task (one longer text is its own chunk)
+CHUNK_CHARS = 4 << 20   # texts handled at once inside a task (one longer text is its own chunk)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,6 +28,7 @@ LANGUAGES = ("de", "en", "es", "fr")
 BUCKETS = 1 << 14        # hashed trigram features: the model is languages x BUCKETS numbers
 TEMPERING = 4.0          # words of text evidence at most
 THRESHOLD = 0.65
+WORDS_AT_ONCE = 50_000   # distinct words whose features are spelled out together
 DECLARED_STRENGTH = 20.0  # pseudo-rows of the symmetric prior behind P(declared | language)
 HOST_STRENGTH = 10.0      # pseudo-rows a level takes from the level above
 
@@ -58,10 +59,10 @@ def count_features(docs: DataFrame, languages=LANGUAGES, text="text", lang="lang
                 for li, name in enumerate(languages):
                     words, ids, _ = index_words([t if x == name else None
                                                  for t, x in zip(texts[lo:hi], langs[lo:hi])])
-                    if words:
-                        bucket, word = word_features(words)
-                        n = np.bincount(ids, minlength=len(words))
-                        total[li] += np.bincount(bucket, n[word], BUCKETS).astype(np.int64)
+                    n = np.bincount(ids, minlength=len(words))
+                    for at in range(0, len(words), WORDS_AT_ONCE):
+                        bucket, word = word_features(words[at:at + WORDS_AT_ONCE])
+                        total[li] += np.bincount(bucket, n[at + word], BUCKETS).astype(np.int64)
         keys = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total.ravel()[keys])], names=["k", "n"])
     labelled = docs.filter(F.col(lang).isin(*languages)).select(text, lang)
@@ -86,11 +87,15 @@ def text_evidence(model, tempering: float = TEMPERING):
             words, ids, offsets = index_words(texts)
             if not words:
                 return [[None] * len(texts)]
-            bucket, word = word_features(words)
             score = np.zeros((len(words), weights.shape[1]))
-            for k in range(weights.shape[1]):
-                score[:, k] = np.bincount(word, weights[bucket, k], len(words))
-            lettered = np.bincount(word, minlength=len(words)) > 0
+            lettered = np.zeros(len(words), bool)
+            for at in range(0, len(words), WORDS_AT_ONCE):
+                part = slice(at, min(at + WORDS_AT_ONCE, len(words)))
+                bucket, word = word_features(words[part])
+                size = part.stop - at
+                for k in range(weights.shape[1]):
+                    score[part, k] = np.bincount(word, weights[bucket, k], size)
+                lettered[part] = np.bincount(word, minlength=size) > 0
             n = sum_by_text(lettered[ids].astype(float), offsets)
             out = []
             for i in range(len(texts)):
