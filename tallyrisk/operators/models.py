@@ -37,6 +37,9 @@ LOGREG_MAX_ITER = 500
 RF_TREES, RF_DEPTH, RF_MIN_LEAF = 200, 8, 50
 MEDIAN_ERROR = 1e-3
 SEED = 42
+# The reference's search ranges for boosted trees (both ends included).
+SEARCH = {"rounds": (100, 600), "depth": (3, 9), "step": (0.01, 0.30), "rows": (0.6, 1.0),
+          "columns": (0.5, 1.0), "leaf": (1, 10)}
 TOP_FACTORS = 5
 MAX_DISPLAY = 20
 
@@ -95,10 +98,11 @@ def fit_random_forest(train: DataFrame, features: list[str], label_col: str = "l
 
 
 def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "label",
-                      n_iter: int = 25, folds: int = 3, seed: int = SEED, parallelism: int = 4):
+                      n_iter: int = 25, folds: int = 3, seed: int = SEED, parallelism: int = 4,
+                      search: dict[str, tuple] | None = None):
     """L-3: boosted trees with a seeded random search scored by AUC (k-fold CV).
 
-    ``scale_pos_weight`` becomes the positive-class weight; column sampling maps to
+    ``search`` narrows the ranges of ``SEARCH``. ``scale_pos_weight`` becomes the positive-class weight; column sampling maps to
     ``featureSubsetStrategy``; the L1/L2 leaf penalties have no Spark twin and are dropped.
     Returns ``(best PipelineModel, best CV AUC, best params dict)``.
     """
@@ -110,14 +114,13 @@ def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "l
     df = df.withColumn("w", F.when(F.col(label_col) == 1, F.lit(spw)).otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol=label_col, weightCol="w", seed=seed)
     rng = random.Random(seed)
+    span = SEARCH | (search or {})
     draws = []
     for _ in range(n_iter):
-        draws.append({gbt.maxDepth: rng.choice([3, 4, 5, 6]),
-                      gbt.stepSize: rng.choice([0.03, 0.05, 0.1, 0.2]),
-                      gbt.maxIter: rng.choice([20, 40, 60]),
-                      gbt.subsamplingRate: rng.choice([0.7, 0.8, 1.0]),
-                      gbt.featureSubsetStrategy: rng.choice(["all", "0.8", "0.6"]),
-                      gbt.minInstancesPerNode: rng.choice([1, 5, 10])})
+        draws.append({gbt.maxDepth: rng.randint(*span["depth"]), gbt.stepSize: rng.uniform(*span["step"]),
+                      gbt.maxIter: rng.randint(*span["rounds"]), gbt.subsamplingRate: rng.uniform(*span["rows"]),
+                      gbt.featureSubsetStrategy: str(round(rng.uniform(*span["columns"]), 3)),
+                      gbt.minInstancesPerNode: rng.randint(*span["leaf"])})
     grid = draws
     pipe = Pipeline(stages=_prep(features, scale=False) + [gbt])
     ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction",
