@@ -86,3 +86,26 @@ def test_seasonal_forecast_on_a_planted_series(spark):
     assert all(r.yhat_lower <= r.yhat <= r.yhat_upper for r in out.values())
     with pytest.raises(ValueError):
         seasonal_forecast(ts.limit(1))
+
+
+def test_registered_boosted_trees_search_is_the_reference_search(spark, monkeypatch):
+    import inspect
+
+    from tallyrisk.plans import q_models as QM
+    asked = []
+
+    class Stop(Exception):
+        pass
+
+    def seen(*args, **named):
+        call = inspect.signature(fit).bind(*args, **named)
+        call.apply_defaults()
+        asked.append(call.arguments)
+        raise Stop
+    fit = ML.fit_boosted_trees
+    monkeypatch.setattr(ML, "fit_boosted_trees", seen)
+    monkeypatch.setattr(QM, "_split", lambda *_: (None, None))
+    with pytest.raises(Stop):
+        QM.q_pd_boosted_trees(spark, "")
+    assert (asked[0]["n_iter"], asked[0]["folds"], asked[0]["search"]) == (25, 3, None)
+    assert ML.SEARCH["rounds"] == (100, 600) and ML.SEARCH["depth"] == (3, 9)
