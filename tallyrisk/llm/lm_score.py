@@ -73,11 +73,13 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 
 def pack_counts(n: np.ndarray) -> bytes:
-    return _planes(n.astype(np.uint32))
+    """Counts in the least width that holds the largest of them, which the first byte names."""
+    kind = np.min_scalar_type(int(n.max())) if len(n) else np.dtype(np.uint8)
+    return bytes([kind.itemsize]) + _planes(n.astype(kind))
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    return _unplanes(data, np.uint32)
+    return _unplanes(data[1:], np.dtype(f"u{data[0]}")).astype(np.int64)
 
 
 def with_training_flag(docs: DataFrame) -> DataFrame:
@@ -118,7 +120,7 @@ def vocabulary_totals(docs: DataFrame, buckets: int) -> tuple[int, int]:
 
     def total(table: pa.Table) -> pa.Table:
         keys = np.concatenate([unpack_keys(x) for x in table.column("k").to_pylist()])
-        n = np.concatenate([unpack_counts(x) for x in table.column("n").to_pylist()]).astype(np.int64)
+        n = np.concatenate([unpack_counts(x) for x in table.column("n").to_pylist()])
         _, n = merge_counts(keys, n)
         return pa.table({"n": pa.array([int(n.sum())]), "v": pa.array([int((n > 0).sum())])})
     parts = map_arrow(docs.select("text", "held_out"), count, "bucket int, k binary, n binary")
@@ -229,7 +231,7 @@ def _score(n: int, v: int, backoff: float):
 
         def gather(name, size):
             got = answers.column(name).to_pylist()
-            x = np.concatenate([unpack_counts(got[i]) for i in order]).astype(np.int64) if got else np.zeros(0, int)
+            x = np.concatenate([unpack_counts(got[i]) for i in order]) if got else np.zeros(0, int)
             if len(x) != size:
                 raise ValueError("a block's answers do not match its request")
             return x

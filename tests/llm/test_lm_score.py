@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tallyrisk.llm import lm_score as L
@@ -76,3 +77,16 @@ def test_empty_and_untrained(spark):
     r = L.score_documents(spark.createDataFrame([(alone, "a b")], SCHEMA)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
     assert np.isfinite(r.score)
+
+
+def test_counts_beyond_32_bits():
+    n = np.array([2 ** 32 + 5, 0, 1, 2 ** 40], np.int64)
+    assert L.unpack_counts(L.pack_counts(n)).tolist() == n.tolist()
+    keys = L.pack_keys(np.array([7, 9], np.uint64))
+    one = pa.array([keys, keys], pa.binary())
+    count = pa.array([L.pack_counts(np.array([2 ** 31, 3]))] * 2, pa.binary())
+    table = pa.table({"bucket": pa.chunked_array([pa.array([0, 0], pa.int32())]),
+                      "block": pa.chunked_array([pa.array([1, 2], pa.int32())]),
+                      "wk": one, "wn": count, "pk": one, "pn": count})
+    for name in ("wn", "pn"):
+        assert [L.unpack_counts(x).tolist() for x in L._count(table).column(name).to_pylist()] == [[2 ** 32, 6]] * 2
