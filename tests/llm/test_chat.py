@@ -36,3 +36,24 @@ def test_long_conversation_is_cut_into_parts(spark):
 
 def test_empty(spark):
     assert C.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_parts_of_a_long_conversation_join_into_one_rendering(spark):
+    long = [(7, 0, "system", "Be kind.")] + [(7, i, ["ann", "bo"][i % 3 == 0], f"t{i}") for i in range(1, 700)]
+    untimed = [(None, None, "x", f"same {i % 5}") for i in range(600)] + [(None, 3, "y", "end")]
+    got = C.rotate(spark.createDataFrame(long + untimed, SCHEMA)).collect()
+    for conv, rows in ((7, long), (None, untimed)):
+        rows = sorted(rows, key=lambda r: (-1 if r[1] is None else r[1], r[2], r[3]))
+        for who in {r[2] for r in rows} - {"system"}:
+            text, spans = "", []
+            for _, _, role, said in rows:
+                name = "assistant" if role == who else role if role == "system" else f"user name={role}"
+                text += f"<|im_start|>{name}\n"
+                if role == who:
+                    spans.append((len(text), len(text) + len(said) + 10))
+                text += f"{said}<|im_end|>\n"
+            parts = sorted((r for r in got if r.conv_id == conv and r.perspective == who), key=lambda r: r.part)
+            assert [r.part for r in parts] == [0, 1, 2]
+            assert [r.n_turns for r in parts] == [256, 256, len(rows) - 512]
+            assert "".join(r.rendered for r in parts) == text
+            assert [(m.start, m.end) for r in parts for m in r["mask"]] == spans
