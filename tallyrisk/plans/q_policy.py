@@ -65,6 +65,14 @@ def q_policy_metrics(spark, d):
     return P.policy_metrics(dec).drop("policy_order")
 
 
+@query("policy_metrics_all", with_views(
+    "SELECT * EXCLUDE (policy_order) FROM m", "v_score", extra={**_DECIDED, "m": _METRICS}))
+def q_policy_metrics_all(spark, d):
+    """A-3 for every policy; ``policy_metrics`` is the row of 'balanced'."""
+    dec = P.decide_with_capacity(B.scores(spark, d), P.DEFAULT_POLICIES, extra_cols=["label"])
+    return P.policy_metrics(dec).drop("policy_order")
+
+
 @query("compare_policies", with_views(
     "SELECT m.*, ds.* FROM m, (SELECT CAST(count(*) AS BIGINT) AS dataset_n, round(avg(pd), 6) AS dataset_mean_pd "
     "FROM v_score) ds", "v_score", extra={**_DECIDED, "m": _METRICS}))
