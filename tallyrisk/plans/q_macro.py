@@ -51,6 +51,16 @@ def q_asof_ffill(spark, d):
     return m.select("series_id", "month", F.round("value", 6).alias("value"))
 
 
+@query("asof_ffill_daily", with_views("""
+SELECT cal.series_id, cal.month, round(o.value, 6) AS value
+FROM cal ASOF LEFT JOIN v_series_daily o ON cal.series_id = o.series_id AND cal.month >= o.date
+""", "v_series_daily", extra={"cal": _MEAN["cal"]}, dates=["month"]))
+def q_asof_ffill_daily(spark, d):
+    """J-4 over the whole irregular series, most of it observed after the first of a month."""
+    m = MC.resample_monthly(B.series_daily(spark, d), "ffill")
+    return m.select("series_id", "month", F.round("value", 6).alias("value"))
+
+
 _ROUNDED = ", ".join(f"round({s}, 6) AS {s}" for s in SERIES)
 
 
@@ -69,11 +79,37 @@ SELECT period, {_ROUNDED} FROM (
         (SELECT strftime(month, '%Y-%m') FROM monthly WHERE series_id = 'low')) b ON a.period = b.period)
 """, "v_series_daily", extra=_MEAN))
 def q_series_outer_align(spark, d):
-    """J-5: a daily and a quarterly-filled family aligned on period in one pivot."""
+    """J-5 within one daily family; ``series_outer_align_families`` aligns two."""
     w = macro_wide(spark, d)
     return w.select("period", *[F.round(s, 6).alias(s) for s in SERIES])
 
 
+_FILLED = {
+    "calq": _CAL.format(src="v_series_q"),
+    "filled": """SELECT calq.series_id, calq.month, o.value FROM calq
+                 ASOF LEFT JOIN v_series_q o ON calq.series_id = o.series_id AND calq.month >= o.date""",
+    "wide_q": "SELECT strftime(month, '%Y-%m') AS period, " + ", ".join(
+        f"max(value) FILTER (WHERE series_id = '{s}') AS {s}_q" for s in SERIES)
+    + " FROM filled GROUP BY 1",
+}
+
+
+@query("series_outer_align_families", with_views(
+    "SELECT coalesce(a.period, b.period) AS period, "
+    + ", ".join(f"round(a.{s}, 6) AS {s}" for s in SERIES) + ", "
+    + ", ".join(f"round(b.{s}_q, 6) AS {s}_q" for s in SERIES)
+    + " FROM wide a FULL OUTER JOIN wide_q b ON a.period = b.period",
+    "v_series_daily", "v_series_q", extra={**_MEAN, **_FILLED}))
+def q_series_outer_align_families(spark, d):
+    """J-5: the monthly means of the daily family and the quarterly family filled forward, each with
+    its own span, as one long union and one pivot."""
+    filled = MC.resample_monthly(B.series_quarterly(spark, d), "ffill")
+    filled = filled.withColumn("series_id", F.concat("series_id", F.lit("_q")))
+    names = [*SERIES, *(f"{s}_q" for s in SERIES)]
+    w = MC.series_pivot(monthly_mean(spark, d).unionByName(filled), names)
+    return w.select("period", *[F.round(s, 6).alias(s) for s in names])
+
+
 _JOIN_SQL = f"""SELECT o.loan_id, o.first_payment_date, {", ".join(f"round(w.{s}, 6) AS {s}" for s in SERIES)}
 FROM v_orig o LEFT JOIN wide w ON strftime(o.first_payment_month, '%Y-%m') = w.period"""
 
