@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrisk.llm import bpe, chat, decontam, host_rep, html_extract, langid, lm_score, quality, shard, simhash
+from tallyrisk.llm import (bpe, chat, decontam, divergence, host_rep, html_extract, langid, lm_score, mix, negatives,
+                           quality, shard, simhash)
 from tallyrisk.llm.common import read
 
 TOKENIZER = os.environ.get("TOKENIZER_JSON", "")
@@ -78,9 +79,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op11_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix_report(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_main_text, op2_language_id, op3_chat_rotation, op4_quality_rules, op5_host_reputation, op6_interleaved_shards,
-    op7_decontamination, op8_bpe, op9_lm_score, op10_simhash)}
+    op7_decontamination, op8_bpe, op9_lm_score, op10_simhash, op11_fair_mix, op12_source_divergence,
+    op13_hard_negatives)}
 
 _ROTATE = """
 WITH t AS (
@@ -182,5 +196,84 @@ SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+_MIX = r"""
+WITH r AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+           FROM documents),
+d AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) - 1 AS copy FROM r),
+k AS (SELECT *, CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || size || '|' || copy), 1, 15)
+                     AS BIGINT) AS h FROM d),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS place, CAST(sum(size) AS BIGINT) AS source_size
+      FROM k GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(place - 1) % 3 + 1] AS weight, 3 * source_size AS cap FROM s),
+b AS (SELECT CAST(sum(source_size) AS BIGINT) AS budget, CAST(sum(weight) AS BIGINT) AS weights FROM w),
+f AS (SELECT *, CAST(coalesce(sum(cap) OVER before, 0) AS BIGINT) AS cap_before,
+             CAST(coalesce(sum(weight) OVER before, 0) AS BIGINT) AS weight_before
+      FROM w WINDOW before AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT max((budget - cap_before)::DOUBLE / (weights - weight_before)::DOUBLE) AS level FROM f, b),
+t AS (SELECT w.*, least(cap::DOUBLE, level * weight) AS target FROM w, l),
+q AS (SELECT k.*, t.place, t.source_size, t.target,
+             CAST(sum(size) OVER (PARTITION BY t.place ORDER BY h, k.doc_id NULLS FIRST, size, copy
+                                  ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sent
+      FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, unnest(range(1, CASE WHEN source_size = 0 THEN 2
+                                ELSE 2 + least(2, CAST(floor(target / source_size) AS BIGINT)) END)) AS epoch FROM q),
+v AS (SELECT *, CASE WHEN target > 0 THEN ((epoch - 1) * source_size + sent)::DOUBLE / target
+                ELSE 'infinity'::DOUBLE END AS finish FROM e),
+c AS (SELECT *, sum(size) OVER (ORDER BY finish, place, h, doc_id NULLS FIRST, size, copy, epoch
+                                ROWS UNBOUNDED PRECEDING) AS total FROM v)
+SELECT doc_id, size, any_value(source_size) AS source_size, any_value(target) AS target,
+       CAST(coalesce(sum(size) FILTER (total <= budget), 0) AS BIGINT) AS taken
+FROM c, b GROUP BY doc_id, source, size, copy
+"""
+
+_DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+x AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM x GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM x JOIN k USING (lang, term) GROUP BY lang, source, term),
+l AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT d.lang, d.source, coalesce(any_value(s.total), 0) AS total, coalesce(any_value(l.v), 0) AS v
+      FROM d LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) s USING (lang, source)
+      LEFT JOIN l USING (lang) GROUP BY d.lang, d.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + g.v) AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item,
+                 CAST(coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+          LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+q AS (SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q FROM k JOIN l USING (lang)),
+terms AS (SELECT p.lang, p.source, p.term AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value
+          FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)
+        AS rank FROM pairs
+      UNION ALL SELECT * FROM (
+        SELECT lang, source, 'term' AS part, item, value,
+               row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms) WHERE rank <= 200)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM r
+"""
+
+_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+       AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3
+"""
+
 ORACLE: dict[str, str] = {"op3_chat_rotation": _ROTATE, "op5_host_reputation": _reputation_sql(),
-                          "op7_decontamination": _DECONTAMINATION}
+                          "op7_decontamination": _DECONTAMINATION, "op11_fair_mix": _MIX,
+                          "op12_source_divergence": _DIVERGENCE, "op13_hard_negatives": _NEGATIVES}
