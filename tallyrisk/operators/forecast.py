@@ -157,22 +157,18 @@ CHANGEPOINTS, CHANGEPOINT_RANGE, CHANGEPOINT_SCALE = 25, 0.8, 0.05
 SEASON_ORDER, SEASON_SCALE = 3, 10.0
 
 
-def seasonal_features(start, span_months: int, ds_col: str = "ds") -> tuple[list, list[str]]:
-    """L-13 design columns and their kinds: constant, trend over [0, 1], hinges, yearly Fourier."""
-    import math
-
-    months = (F.year(ds_col) * 12 + F.month(ds_col) - (start.year * 12 + start.month)).cast("double")
-    t = months / max(span_months, 1)
-    cols, kinds = [F.lit(1.0), t], ["base", "base"]
-    n = min(CHANGEPOINTS, max(span_months - 1, 0))
-    for i in range(1, n + 1):
-        cols.append(F.greatest(t - CHANGEPOINT_RANGE * i / (n + 1), F.lit(0.0)))
-        kinds.append("hinge")
-    m = F.month(ds_col).cast("double")
-    for k in range(1, SEASON_ORDER + 1):
-        cols += [F.sin(2 * math.pi * k * m / 12), F.cos(2 * math.pi * k * m / 12)]
-        kinds += ["season", "season"]
-    return cols, kinds
+def seasonal_design(months, span: int, calendar_month):
+    """L-13 design matrix over ``months`` since the start, and the kinds of its columns: constant, trend over
+    [0, 1], hinges, yearly Fourier terms."""
+    import numpy as np
+
+    t = months / max(span, 1)
+    n = min(CHANGEPOINTS, max(span - 1, 0))
+    hinges = [np.maximum(t - CHANGEPOINT_RANGE * i / (n + 1), 0.0) for i in range(1, n + 1)]
+    angle = [2 * np.pi * k * calendar_month / 12 for k in range(1, SEASON_ORDER + 1)]
+    season = [f(a) for a in angle for f in (np.sin, np.cos)]
+    kinds = ["base"] * 2 + ["hinge"] * len(hinges) + ["season"] * len(season)
+    return np.column_stack([np.ones(len(t)), t, *hinges, *season]), kinds
 
 
 def _penalised_fit(xx, xy, yy: float, n: int, kinds: list[str], rounds: int = 50):
@@ -195,40 +191,60 @@ def _penalised_fit(xx, xy, yy: float, n: int, kinds: list[str], rounds: int = 50
     return w * scale
 
 
-def seasonal_forecast(ts: DataFrame, horizon: int = DEFAULT_HORIZON, interval: float = 0.8) -> DataFrame:
-    """L-13: piecewise-linear trend with sparse changepoints plus yearly seasonality, interval from
-    residual quantiles. Needs >= 2 months.
+def _seasonal_fit(ds, y, horizon: int, interval: float):
+    """One segment: dates of history and future, prediction with its band, in-sample MAE. None below 2 months."""
+    import numpy as np
 
-    The months are reduced to the sums of products of the design columns (about 32 squared
-    numbers, whatever the history's length); only those reach the driver, which solves for the
-    weights. Prediction is a column expression.
+    order = np.argsort(ds)
+    ds, y = ds[order], y[order]
+    if len(ds) < 2:
+        return None
+    month = ds.astype("datetime64[M]").astype(int)
+    dates = np.concatenate([ds, (month[-1] + 1 + np.arange(horizon)).astype("datetime64[M]").astype("datetime64[D]")])
+    at = np.concatenate([month, month[-1] + 1 + np.arange(horizon)])
+    x, kinds = seasonal_design((at - month[0]).astype(float), int(month[-1] - month[0]), (at % 12 + 1).astype(float))
+    own = x[:len(y)]
+    w = _penalised_fit(own.T @ own, own.T @ y, float(y @ y), len(y), kinds)
+    fit = x @ w
+    rest = y - fit[:len(y)]
+    low, high = np.quantile(rest, [(1 - interval) / 2, 1 - (1 - interval) / 2])
+    mae = np.abs(y - np.clip(fit[:len(y)], 0, 1)).mean()
+    return dates, np.clip(fit, 0, 1), np.clip(fit + low, 0, 1), np.clip(fit + high, 0, 1), np.full(len(dates), mae)
+
+
+def seasonal_forecast(ts: DataFrame, horizon: int = DEFAULT_HORIZON, interval: float = 0.8,
+                      group_cols: list[str] | None = None) -> DataFrame:
+    """L-13: piecewise-linear trend with sparse changepoints plus yearly seasonality per segment, interval from
+    residual quantiles, and the in-sample MAE in every row. Needs >= 2 months: without segments fewer are an
+    error, a segment with fewer gives no rows.
+
+    Rows are first averaged per segment and date, so a segment holds its calendar and no more; segments are
+    spread over the cluster and each is solved inside one task.
     """
     import numpy as np
+    import pyarrow as pa
 
-    from .ranking import attach
-
-    hist = ts.select("ds", F.col("y").cast("double").alias("y")).where(F.col("y").isNotNull())
-    span = hist.agg(F.min("ds").alias("a"), F.max("ds").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    if span["n"] < 2:
+    if horizon < 1:
+        raise ValueError("horizon must be >= 1")
+    g = group_cols or []
+    keys = [f"k{i}" for i in range(max(len(g), 1))]
+    named = [F.col(c).alias(k) for c, k in zip(g, keys)] if g else [F.lit(0).alias("k0")]
+    hist = (ts.select(*named, F.col("ds").cast("date").alias("ds"), F.col("y").cast("double").alias("y"))
+            .where(F.col("ds").isNotNull() & F.col("y").isNotNull()).groupBy(*keys, "ds").agg(F.avg("y").alias("y")))
+    if not g and hist.limit(2).count() < 2:
         raise ValueError("seasonal forecast needs at least 2 monthly observations")
-    months = (span["b"].year - span["a"].year) * 12 + span["b"].month - span["a"].month
-    cols, kinds = seasonal_features(span["a"], months)
-    k = len(cols)
-    rows = hist.select("y", F.array(*cols).alias("x"))
-    sums = rows.agg(
-        F.array(*[F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(k) for j in range(k)]).alias("xx"),
-        F.array(*[F.sum(F.col("x")[i] * F.col("y")) for i in range(k)]).alias("xy"),
-        F.sum(F.col("y") * F.col("y")).alias("yy")).first()
-    w = _penalised_fit(np.array(sums["xx"]).reshape(k, k), np.array(sums["xy"]), sums["yy"], span["n"], kinds)
-    prediction = cols[0] * float(w[0])
-    for c, b in zip(cols[1:], w[1:]):
-        prediction = prediction + c * float(b)
-    frame = history_plus_future(ts, trend_fit(ts), horizon).select("ds").withColumn("prediction", prediction)
-    resid = hist.withColumn("prediction", prediction).select((F.col("y") - F.col("prediction")).alias("r"))
-    lo_q, hi_q = (1 - interval) / 2, 1 - (1 - interval) / 2
-    qs = resid.agg(F.percentile("r", lo_q).alias("qlo"), F.percentile("r", hi_q).alias("qhi"))
-    out = attach(frame, qs)
-    clip01 = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
-    return out.select("ds", clip01(F.col("prediction")).alias("yhat"),
-                      clip01(F.col("prediction") + F.col("qlo")).alias("yhat_lower"),
-                      clip01(F.col("prediction") + F.col("qhi")).alias("yhat_upper"))
+    measures = ["yhat", "yhat_lower", "yhat_upper", "mae"]
+
+    def solve(table: pa.Table) -> pa.Table:
+        got = _seasonal_fit(table.column("ds").to_numpy().astype("datetime64[D]"), table.column("y").to_numpy(),
+                            horizon, interval)
+        n = len(got[0]) if got else 0
+        columns = {k: pa.array([table.column(k)[0].as_py()] * n, table.schema.field(k).type) for k in keys}
+        columns["ds"] = pa.array(got[0] if got else np.zeros(0, "datetime64[D]"), pa.date32())
+        for i, m in enumerate(measures):
+            columns[m] = pa.array(got[i + 1] if got else [], pa.float64())
+        return pa.table(columns)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in hist.schema.fields if f.name in keys)
+    out = hist.groupBy(*keys).applyInArrow(
+        solve, f"{kinds}, ds date, " + ", ".join(f"{m} double" for m in measures))
+    return out.select(*[F.col(k).alias(c) for c, k in zip(g, keys)], "ds", *measures)

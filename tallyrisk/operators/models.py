@@ -12,15 +12,14 @@ import random
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .boosting import BROADCAST_BYTES, BoostedModel, Params, fit_many, quantile_edges
 from .ranking import attach
 
 # ---------------------------------------------------------------------------
@@ -39,7 +38,7 @@ MEDIAN_ERROR = 1e-3
 SEED = 42
 # The reference's search ranges for boosted trees (both ends included).
 SEARCH = {"rounds": (100, 600), "depth": (3, 9), "step": (0.01, 0.30), "rows": (0.6, 1.0),
-          "columns": (0.5, 1.0), "leaf": (1, 10)}
+          "columns": (0.5, 1.0), "leaf": (1, 10), "l1": (0.0, 1.0), "l2": (0.5, 5.0)}
 TOP_FACTORS = 5
 MAX_DISPLAY = 20
 
@@ -97,44 +96,46 @@ def fit_random_forest(train: DataFrame, features: list[str], label_col: str = "l
     return Pipeline(stages=_prep(features, scale=False) + [rf]).fit(df)
 
 
-def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "label",
-                      n_iter: int = 25, folds: int = 3, seed: int = SEED, parallelism: int = 4,
-                      search: dict[str, tuple] | None = None):
-    """L-3: boosted trees with a seeded random search scored by AUC (k-fold CV).
+def search_draws(n: int, seed: int = SEED, search: dict[str, tuple] | None = None) -> list[Params]:
+    """``n`` seeded draws from the ranges of ``SEARCH``, some of which ``search`` may narrow."""
+    rng, span = random.Random(seed), SEARCH | (search or {})
+    whole = ("rounds", "depth", "leaf")
+    return [Params(**{k: rng.randint(*r) if k in whole else rng.uniform(*r) for k, r in span.items()}) for _ in range(n)]
 
-    ``search`` narrows the ranges of ``SEARCH``. ``scale_pos_weight`` becomes the positive-class weight; column sampling maps to
-    ``featureSubsetStrategy``; the L1/L2 leaf penalties have no Spark twin and are dropped.
-    Returns ``(best PipelineModel, best CV AUC, best params dict)``.
+
+def fit_boosted_trees(train: DataFrame, features: list[str], label_col: str = "label", n_iter: int = 25,
+                      folds: int = 3, seed: int = SEED, search: dict[str, tuple] | None = None,
+                      id_col: str | None = None, broadcast_bytes: int = BROADCAST_BYTES
+                      ) -> tuple[BoostedModel, float, Params]:
+    """L-3: boosted trees picked by a seeded random search scored by the mean AUC over ``folds`` folds.
+
+    All draws and folds grow side by side (``boosting``), with class weights that balance the classes.
+    Returns ``(model on all rows, best CV AUC, its parameters)``.
     """
-    df = _cast_features(train, features)
-    counts = df.groupBy(label_col).count().collect()  # two class counts
-    n_pos = sum(r["count"] for r in counts if r[label_col] == 1)
-    n_neg = sum(r["count"] for r in counts if r[label_col] == 0)
-    spw = n_neg / max(n_pos, 1)
-    df = df.withColumn("w", F.when(F.col(label_col) == 1, F.lit(spw)).otherwise(F.lit(1.0)))
-    gbt = GBTClassifier(featuresCol="features", labelCol=label_col, weightCol="w", seed=seed)
-    rng = random.Random(seed)
-    span = SEARCH | (search or {})
-    draws = []
-    for _ in range(n_iter):
-        draws.append({gbt.maxDepth: rng.randint(*span["depth"]), gbt.stepSize: rng.uniform(*span["step"]),
-                      gbt.maxIter: rng.randint(*span["rounds"]), gbt.subsamplingRate: rng.uniform(*span["rows"]),
-                      gbt.featureSubsetStrategy: str(round(rng.uniform(*span["columns"]), 3)),
-                      gbt.minInstancesPerNode: rng.randint(*span["leaf"])})
-    grid = draws
-    pipe = Pipeline(stages=_prep(features, scale=False) + [gbt])
-    ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=[
-        {gbt.getParam(p.name): v for p, v in d.items()} for d in grid],
-        evaluator=ev, numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(df)
-    best = max(range(len(model.avgMetrics)), key=lambda i: model.avgMetrics[i])
-    return model.bestModel, float(model.avgMetrics[best]), {p.name: v for p, v in grid[best].items()}
-
-
-def predict_pd(model: PipelineModel, df: DataFrame, features: list[str], out: str = "pd") -> DataFrame:
+    draws = search_draws(n_iter, seed, search)
+    plans = [(p, fold) for p in draws for fold in range(folds)]
+    edges = quantile_edges(train, features)
+    _, scores, _ = fit_many(train, features, label_col, plans, folds, seed, id_col, edges, broadcast_bytes)
+
+    def mean(i: int) -> float:      # a fold of one class has no AUC
+        own = [s for k in range(folds) if (s := scores.get(i * folds + k)) is not None and s == s]
+        return sum(own) / len(own) if own else float("-inf")
+    best = max(range(n_iter), key=mean)
+    return fit_trees(train, features, draws[best], label_col, seed, id_col, edges, broadcast_bytes), mean(best), draws[best]
+
+
+def fit_trees(train: DataFrame, features: list[str], params: Params, label_col: str = "label", seed: int = SEED,
+              id_col: str | None = None, edges: list | None = None,
+              broadcast_bytes: int = BROADCAST_BYTES) -> BoostedModel:
+    """One boosted model on all rows."""
+    fits, _, edges = fit_many(train, features, label_col, [(params, -1)], 1, seed, id_col, edges, broadcast_bytes)
+    return BoostedModel(list(features), edges, fits[0].trees)
+
+
+def predict_pd(model: PipelineModel | BoostedModel, df: DataFrame, features: list[str], out: str = "pd") -> DataFrame:
     """Probability of the positive class as a double column."""
+    if isinstance(model, BoostedModel):
+        return model.transform(df, out)
     scored = model.transform(_cast_features(df, features))
     return scored.withColumn(out, vector_to_array(F.col("probability")).getItem(1))
 
@@ -298,11 +299,16 @@ def logreg_coefficients(model: PipelineModel, features: list[str]) -> dict[str,
     return {f: float(c) for f, c in zip(features, lr.coefficients.toArray().tolist())}
 
 
-TRAINERS = {"logreg": fit_logreg, "random_forest": fit_random_forest, "boosted_trees": fit_boosted_trees}
+def _trainers() -> dict:
+    from .forecast import seasonal_forecast
+
+    # The reference's model keys.
+    return {"prophet": seasonal_forecast, "sklearn-logreg": fit_logreg, "sklearn-rf": fit_random_forest}
 
 
 def trainer(key: str):
     """E-3: the fitting function of a model key; an unknown key is an error."""
-    if key not in TRAINERS:
-        raise ValueError(f"unknown model {key!r}; expected one of {sorted(TRAINERS)}")
-    return TRAINERS[key]
+    known = _trainers()
+    if key not in known:
+        raise ValueError(f"unknown model {key!r}; expected one of {sorted(known)}")
+    return known[key]

@@ -129,3 +129,11 @@ def q_forecast_breach(spark, d):
 def q_seasonal_forecast(spark, d):
     """L-13 (re-aimed; rows only): trend + changepoints + yearly seasonality, history + 30 months."""
     return FC.seasonal_forecast(_ts(spark, d))
+
+
+@query("seasonal_forecast_segments")
+def q_seasonal_forecast_segments(spark, d):
+    """L-13 per segment (rows only): one seasonal model for every current interest rate of the tape."""
+    segment = ["current_interest_rate"]
+    ts = FC.delinquency_rate_ts(B.perf_tape(spark, d), group_cols=segment)
+    return FC.seasonal_forecast(ts, group_cols=segment)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import split as SP
+from ..operators.attribution import mean_abs_tree_attribution
 from ..operators.labels import default_label
 from .catalog import query
 from .oracle_views import with_views
@@ -71,7 +72,7 @@ def q_pd_boosted_trees(spark, d):
     then validation AUC, AP, Brier, log loss, accuracy and the CV AUC. The search is the
     reference's: 25 draws of 100 to 600 rounds (75 fits)."""
     train, test = _split(spark, d)
-    model, cv_auc, _ = ML.fit_boosted_trees(train, FEATS)
+    model, cv_auc, _ = ML.fit_boosted_trees(train, FEATS, id_col="id")
     scored = ML.predict_pd(model, test, FEATS).select("id", "label", "pd")
     bm = M.binary_metrics(scored).select("auc_roc", "average_precision", "brier_score")
     ll = M.log_loss_accuracy(scored).select("log_loss", "accuracy")
@@ -80,6 +81,15 @@ def q_pd_boosted_trees(spark, d):
     return attach(bm, ll).withColumn("cv_roc_auc", F.lit(round(cv_auc, 6)))
 
 
+@query("tree_attribution")
+def q_tree_attribution(spark, d):
+    """L-17 for trees (rows only): mean absolute Shapley value per feature of a boosted model, over all
+    test rows."""
+    train, test = _split(spark, d)
+    model = ML.fit_trees(train, FEATS, ML.Params(rounds=100, depth=4), id_col="id")
+    return mean_abs_tree_attribution(model, test)
+
+
 @query("baseline_logreg")
 def q_baseline_logreg(spark, d):
     """L-4 + L-18 (rows only): time split 60/20/20 on the first-payment month, scaled logistic

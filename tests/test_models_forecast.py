@@ -88,6 +88,34 @@ def test_seasonal_forecast_on_a_planted_series(spark):
         seasonal_forecast(ts.limit(1))
 
 
+def test_seasonal_forecast_of_many_segments(spark):
+    """Every segment equals the fit of its own series; null segments, gaps and repeated months included."""
+    rng = random.Random(8)
+    rows = []
+    for seg in [None, "", *[f"s{i}" for i in range(40)]]:
+        start, n = rng.randint(0, 30), rng.choice([1, 2, 3, 20, 50])
+        for k in range(n):
+            m = start + k
+            if n > 10 and k % 7 == 5:
+                continue
+            rows.append((seg, dt.date(2010 + m // 12, m % 12 + 1, 1), 0.2 + 0.004 * k + 0.03 * math.sin(m / 2)))
+    rows += [("s1", rows[0][1], None), ("s2", None, 0.5), rows[-1]]
+    ts = spark.createDataFrame(rows, "seg string, ds date, y double")
+    got = {}
+    for r in seasonal_forecast(ts, horizon=5, group_cols=["seg"]).collect():
+        got.setdefault(r.seg, []).append((r.ds, r.yhat, r.yhat_lower, r.yhat_upper, r.mae))
+    for seg in {r[0] for r in rows}:
+        own = ts.filter(F.col("seg").eqNullSafe(F.lit(seg))).select("ds", "y")
+        if own.filter("ds is not null and y is not null").select("ds").distinct().count() < 2:
+            assert seg not in got
+            continue
+        if seg in (None, "", "s0", "s7", rows[-1][0]):
+            assert sorted(got[seg]) == sorted(tuple(r) for r in seasonal_forecast(own, horizon=5).collect())
+        y = {d: [v for s, e, v in rows if s == seg and e == d and v is not None] for d, *_ in got[seg]}
+        errors = [abs(sum(v) / len(v) - p) for (d, p, *_), v in ((g, y[g[0]]) for g in got[seg]) if v]
+        assert got[seg][0][4] == pytest.approx(sum(errors) / len(errors))
+
+
 def test_registered_boosted_trees_search_is_the_reference_search(spark, monkeypatch):
     import inspect
 
@@ -108,4 +136,6 @@ def test_registered_boosted_trees_search_is_the_reference_search(spark, monkeypa
     with pytest.raises(Stop):
         QM.q_pd_boosted_trees(spark, "")
     assert (asked[0]["n_iter"], asked[0]["folds"], asked[0]["search"]) == (25, 3, None)
-    assert ML.SEARCH["rounds"] == (100, 600) and ML.SEARCH["depth"] == (3, 9)
+    draws = ML.search_draws(25)
+    assert all(100 <= p.rounds <= 600 and 3 <= p.depth <= 9 and 0.5 <= p.l2 <= 5 and 0 <= p.l1 <= 1 for p in draws)
+    assert max(p.rounds for p in draws) > 500 and {p.depth for p in draws} >= {3, 9}
