@@ -28,7 +28,7 @@ def _counts(view: str, feats: list[str], name: str) -> str:
 def _drift_ctes(ref: str, cur: str, feats: list[str], p: str = "") -> dict[str, str]:
     """The drift statistics as CTEs (edges, bins, psi, ks per feature), names prefixed by ``p``."""
     n = {k: p + k for k in ["rl", "cl", "nr", "nc", "e", "rb", "cb", "ab", "hb", "ht", "ps",
-                            "kv", "kc", "kd", "ks", "core"]}
+                            "kv", "kc", "kd", "kx", "ks", "core"]}
     return {
         n["rl"]: _long(ref, feats),
         n["cl"]: _long(cur, feats),
@@ -59,10 +59,21 @@ def _drift_ctes(ref: str, cur: str, feats: list[str], p: str = "") -> dict[str,
                  FROM {n['kv']} kv JOIN {n['nr']} nr USING (feature) JOIN {n['nc']} nc USING (feature)
                  WINDOW w AS (PARTITION BY kv.feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
         n["kd"]: f"SELECT feature, max(abs(cr / n_ref - cc2 / n_cur)) AS d, max(n_ref) AS n, max(n_cur) AS m FROM {n['kc']} GROUP BY feature",
-        n["ks"]: f"""SELECT feature, d, least(greatest(CASE WHEN d * sqrt(n * m / (n + m)) < 0.2 THEN 1.0 ELSE
+        n["kx"]: f"""SELECT * FROM (WITH RECURSIVE s AS (
+                   SELECT feature, 0 AS k, a, b, h, list_transform(range(0, a + 1), lambda i: 0.0::DOUBLE) AS r FROM (
+                     SELECT feature, least(n, m) AS a, greatest(n, m) AS b, round(d * lcm(n, m)::DOUBLE) AS h FROM {n['kd']}
+                     WHERE greatest(n, m) <= {D.EXACT_KS_ROWS} AND least(n, m) > 0)
+                   UNION ALL
+                   SELECT feature, k + 1, a, b, h, list_transform(range(0, a + 1), lambda i:
+                     CASE WHEN i > k + 1 OR k + 1 - i > b THEN 0.0
+                          WHEN abs(i * (lcm(a, b) // a) - (k + 1 - i) * (lcm(a, b) // b)) >= h THEN 1.0
+                          ELSE (i * CASE WHEN i > 0 THEN r[i] ELSE 0 END + (k + 1 - i) * r[i + 1]) / (k + 1)::DOUBLE END)
+                   FROM s WHERE k < a + b)
+                 SELECT feature, CASE WHEN h <= 0 THEN 1.0 ELSE r[a + 1] END AS p FROM s WHERE k = a + b)""",
+        n["ks"]: f"""SELECT kd.feature, d, least(greatest(coalesce(kx.p, CASE WHEN d * sqrt(n * m / (n + m)) < 0.2 THEN 1.0 ELSE
                    2 * list_sum(list_transform(range(1, {D.KS_SERIES_TERMS + 1}),
                      lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * (d * sqrt(n * m / (n + m))) * (d * sqrt(n * m / (n + m))))))
-                   END, 0.0), 1.0) AS p FROM {n['kd']}""",
+                   END), 0.0), 1.0) AS p FROM {n['kd']} kd LEFT JOIN {n['kx']} kx ON kd.feature = kx.feature""",
         n["core"]: f"""SELECT nr.feature, nr.n_ref, nc.n_cur,
                      CASE WHEN nr.n_ref = 0 OR nc.n_cur = 0 THEN 0.0
                           WHEN coalesce(ps.n_edges, 0) < 2 THEN 0.0
@@ -84,7 +95,7 @@ FROM (SELECT feature, edges, unnest(range(0, len(edges))) AS i FROM e)
 """, "v_ref", extra=_drift_ctes("v_ref", "v_cur", FEATS)))
 def q_quantile_edges(spark, d):
     ref, _ = _frames(spark, d)
-    e = D.quantile_edges(D.long_format(ref, FEATS))
+    e = D.quantile_edges(ref, FEATS)
     return e.select("feature", F.posexplode("edges").alias("edge_index", "edge")).select(
         "feature", F.col("edge_index").cast("int"), F.round("edge", 6).alias("edge"))
 
@@ -96,11 +107,10 @@ SELECT 'cur', feature, CAST(bin AS INTEGER), CAST(count(*) AS BIGINT) FROM cb GR
 """, "v_ref", "v_cur", extra=_drift_ctes("v_ref", "v_cur", FEATS)))
 def q_histogram(spark, d):
     ref, cur = _frames(spark, d)
-    rl, cl = D.long_format(ref, FEATS), D.long_format(cur, FEATS)
-    e = D.quantile_edges(rl)
-    h = lambda lf, side: D.histogram(lf, e).select(
-        F.lit(side).alias("side"), "feature", F.col("bin").cast("int"), F.col("n").cast("bigint"))
-    return h(rl, "ref").unionByName(h(cl, "cur"))
+    h = D.histogram(D.two_sides(ref, cur, FEATS), D.quantile_edges(ref, FEATS))
+    sides = F.inline(F.array(F.struct(F.lit("ref").alias("side"), F.col("rn").alias("n")),
+                             F.struct(F.lit("cur").alias("side"), F.col("cn").alias("n"))))
+    return h.select("feature", F.col("bin").cast("int"), sides).where("n > 0")
 
 
 @query("psi", with_views(
@@ -108,9 +118,7 @@ def q_histogram(spark, d):
     extra=_drift_ctes("v_ref", "v_cur", FEATS)))
 def q_psi(spark, d):
     ref, cur = _frames(spark, d)
-    rl, cl = D.long_format(ref, FEATS), D.long_format(cur, FEATS)
-    t = D.psi_table(rl, cl, D.non_null_counts(ref, FEATS, "n_ref"), D.non_null_counts(cur, FEATS, "n_cur"))
-    return t.select("feature", F.round("psi", 6).alias("psi"))
+    return D.psi_table(ref, cur, FEATS).select("feature", F.round("psi", 6).alias("psi"))
 
 
 @query("ks_2samp", with_views(
@@ -118,8 +126,7 @@ def q_psi(spark, d):
     "v_ref", "v_cur", extra=_drift_ctes("v_ref", "v_cur", FEATS)))
 def q_ks_2samp(spark, d):
     ref, cur = _frames(spark, d)
-    rl, cl = D.long_format(ref, FEATS), D.long_format(cur, FEATS)
-    t = D.ks_table(rl, cl, D.non_null_counts(ref, FEATS, "n_ref"), D.non_null_counts(cur, FEATS, "n_cur"))
+    t = D.ks_table(ref, cur, FEATS)
     return t.select("feature", F.round("ks_statistic", 6).alias("ks_statistic"),
                     F.round("ks_p_value", 6).alias("ks_p_value"))
 
@@ -184,7 +191,7 @@ FROM core""", "v_ref", "v_cur", extra=_drift_ctes("v_ref", "v_cur", FEATS)))
 def q_drift_severity(spark, d):
     """P-15: the feature rule and the score rule (with the KS distance guard) side by side."""
     ref, cur = _frames(spark, d)
-    core = D._drift_core(ref, cur, FEATS, D.DEFAULT_BINS)
+    core = D.drift_core(ref, cur, FEATS)
     return core.select("feature", D.feature_severity(F.col("psi"), F.col("ks_p_value")).alias("feature_severity"),
                        D.score_severity(F.col("psi"), F.col("ks_p_value"), F.col("ks_statistic"))
                        .alias("score_rule_severity"))

@@ -3,6 +3,7 @@ files Spark lands from the driver's tables, into Parquet sinks in the checkpoint
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import drift as D
@@ -14,6 +15,15 @@ from .catalog import query
 from .oracle_views import with_views
 
 
+def _frozen(ref, features):
+    """Reference edges (at most 11 numbers a feature) and shares (feature, bin, ref_share), fixed before the stream."""
+    edges = D.quantile_edges(ref, features)
+    hist = D.histogram(D.two_sides(ref, None, features), edges)
+    share = F.col("rn") / F.sum("rn").over(Window.partitionBy("feature"))    # a row per bin
+    return ({r.feature: list(r.edges) for r in edges.collect()},
+            hist.select("feature", "bin", share.alias("ref_share")).checkpoint(eager=True))
+
+
 def _events_stream(spark, d):
     ev = B.events(spark, d)
     end = scratch_path(spark, "events-end")
@@ -54,17 +64,49 @@ def q_stream_psi(spark, d):
     first half of the month."""
     ev = B.events(spark, d)
     ref = ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
-    long = D.long_format(ref, ["value"])
-    edges_df = D.quantile_edges(long)
-    edges = edges_df.first()["edges"]  # ≤ 11 numbers: the frozen reference edges
-    hist = D.histogram(long, edges_df)
-    n_ref = hist.agg(F.sum("n")).first()[0]
-    ref_props = hist.select("bin", (F.col("n") / F.lit(n_ref)).alias("ref_share"))
+    edges, ref_props = _frozen(ref, ["value"])
+    edges = edges["value"]
     counts = ST.stream_bin_counts(_events_stream(spark, d), edges)
     sink = ST.run_available_now(counts, scratch_path(spark, "x2-sink"), scratch_path(spark, "x2-ckpt"))
     return ST.psi_by_window(sink, ref_props, max(len(edges) - 1, 1))
 
 
+_LINES = "SELECT l_shipdate AS ts, l_quantity, l_extendedprice, l_discount FROM lineitem WHERE l_shipdate IS NOT NULL"
+_LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query("stream_feature_psi", f"""
+WITH t AS ({_LINES}),
+v AS ({" UNION ALL ".join(f"SELECT ts, '{f}' AS feature, {f}::DOUBLE AS value FROM t" for f in _LINE_FEATURES)}),
+x AS (SELECT * FROM v WHERE value IS NOT NULL),
+e AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{", ".join(str(i / 10) for i in range(11))}]))) AS edges
+      FROM x WHERE ts < TIMESTAMP '1996-01-01' GROUP BY feature),
+b AS (SELECT x.*, len(edges) AS k, CASE WHEN value BETWEEN edges[1] AND edges[-1] THEN
+             least(len(list_filter(edges, lambda q: q <= value)) - 1, len(edges) - 2) END AS bin FROM x JOIN e USING (feature)),
+r AS (SELECT feature, bin, count(*) / (sum(count(*)) OVER (PARTITION BY feature))::DOUBLE AS share
+      FROM b WHERE ts < TIMESTAMP '1996-01-01' AND bin IS NOT NULL GROUP BY feature, bin),
+c AS (SELECT epoch(ts)::BIGINT // 86400 // 28 AS w, feature, bin, count(*) AS n FROM b GROUP BY ALL),
+s AS (SELECT w, feature, coalesce(sum(n) FILTER (bin IS NOT NULL), 0) AS ct, coalesce(sum(n) FILTER (bin IS NULL), 0) AS out
+      FROM c GROUP BY ALL),
+g AS (SELECT s.*, greatest(coalesce(c.n, 0) / ct::DOUBLE, 1e-8) AS p, greatest(coalesce(r.share, 0), 1e-8) AS q
+      FROM s JOIN (SELECT feature, unnest(range(0, greatest(len(edges) - 1, 1))) AS bin FROM e) USING (feature)
+      LEFT JOIN c USING (w, feature, bin) LEFT JOIN r USING (feature, bin))
+SELECT strftime(TIMESTAMP '1970-01-01' + INTERVAL 1 DAY * (w * 28), '%Y-%m-%d %H:%M:%S') AS window_start, feature,
+       sum(CASE WHEN ct > 0 THEN (p - q) * ln(p / q) END) AS psi, max(ct)::BIGINT AS n_in_range, max(out)::BIGINT AS out_of_range
+FROM g GROUP BY w, feature""")
+def q_stream_feature_psi(spark, d):
+    """X-2 per feature by ``foreachBatch``: PSI of every four weeks of shipped lines against the years before 1996."""
+    lines = B.read(spark, d, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("ts"), *_LINE_FEATURES)
+    lines = lines.where("ts is not null")
+    ref = lines.where(F.col("ts") < F.lit("1996-01-01").cast("timestamp"))
+    edges, shares = _frozen(ref, _LINE_FEATURES)
+    landing = scratch_path(spark, "x2-lines")
+    lines.repartition(4).write.parquet(landing)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    return ST.write_feature_psi(stream, edges, shares, scratch_path(spark, "x2-psi"), scratch_path(spark, "x2-psi-ckpt"),
+                                window="28 days")
+
+
 @query("stream_tape_ingest")
 def q_stream_tape_ingest(spark, d):
     """X-3 (rows only): landed origination tape → typed Parquet by quarter, resumable."""

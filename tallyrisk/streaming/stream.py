@@ -84,7 +84,7 @@ def stream_bin_counts(events: DataFrame, edges: list[float], value_col: str = "v
     """X-2, streaming half: counts per (window, bin) against *frozen* reference edges
     (a literal array: a few numbers, shipped with the plan)."""
     e = F.array(*[F.lit(float(x)) for x in edges])
-    b = bin_index(F.col(value_col).cast("double"), e)
+    b = bin_index(F.col(value_col).cast("double"), e, len(edges))
     # Nulls are left out of the counts, not filtered before the watermark: the end marker has none.
     agg = (events.withWatermark("ts", watermark)
            .groupBy(F.window("ts", window).alias("w"), b.alias("bin"))
@@ -105,6 +105,69 @@ def psi_by_window(counts: DataFrame, ref_props: DataFrame, n_bins: int, eps: flo
                                          F.max("ct").alias("n_in_range"))
 
 
+def write_feature_psi(events: DataFrame, edges: dict[str, list[float]], ref_shares: DataFrame, sink: str,
+                      checkpoint: str, window: str = "1 day") -> DataFrame:
+    """X-2 for many features, by ``foreachBatch``: (window, feature, bin) counts against frozen reference edges and
+    the PSI of every window a batch has touched. ``ref_shares``: (feature, bin, ref_share).
+
+    Idempotent: a batch writes its own counts to ``counts/batch=<id>`` and its PSI to ``psi/batch=<id>``, replacing
+    what an earlier attempt at the same batch left, so a replay changes nothing. PSI is taken from the sums over
+    all batches up to this one; the row of the latest batch holds. Late rows count in their own window.
+    """
+    features = sorted(edges)
+
+    def entry(name: str):
+        value, ends = F.col(name).cast("double"), F.array(*[F.lit(float(x)) for x in edges[name]])
+        return F.struct(F.lit(name).alias("feature"), value.alias("value"), bin_index(value, ends, len(edges[name])).alias("bin"))
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        long = batch.select(F.window("ts", window).getField("start").alias("window_start"),
+                            F.inline(F.array(*[entry(f) for f in features])))
+        counts = (long.where(F.col("value").isNotNull() & ~F.isnan("value") & F.col("window_start").isNotNull())
+                  .groupBy("window_start", "feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+        counts.write.mode("overwrite").parquet(f"{sink}/counts/batch={batch_id}")
+        every = spark.read.schema("window_start timestamp, feature string, bin int, n long, batch long").option(
+            "basePath", f"{sink}/counts").parquet(f"{sink}/counts").where(F.col("batch") <= batch_id)
+        touched = every.where(F.col("batch") == batch_id).select("window_start", "feature").distinct()
+        sums = every.join(touched, ["window_start", "feature"], "left_semi").groupBy(
+            "window_start", "feature", "bin").agg(F.sum("n").alias("n"))
+        psi_by_feature(sums, ref_shares, edges).write.mode("overwrite").parquet(f"{sink}/psi/batch={batch_id}")
+
+    q = (events.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_feature_psi(events.sparkSession, sink)
+
+
+def read_feature_psi(spark: SparkSession, sink: str) -> DataFrame:
+    """(window_start, feature, psi, n_in_range, out_of_range): the latest of each window and feature."""
+    rows = spark.read.option("basePath", f"{sink}/psi").schema(
+        "window_start timestamp, feature string, psi double, n_in_range long, out_of_range long, batch long"
+    ).parquet(f"{sink}/psi")
+    values = ["psi", "n_in_range", "out_of_range"]
+    return rows.groupBy("window_start", "feature").agg(F.max_by(F.struct(*values), "batch").alias("r")).select(
+        "window_start", "feature", *[F.col(f"r.{v}").alias(v) for v in values])
+
+
+def psi_by_feature(counts: DataFrame, ref_shares: DataFrame, edges: dict[str, list[float]],
+                   eps: float = 1e-8) -> DataFrame:
+    """M-3 per window and feature from (window_start, feature, bin, n); NULL where nothing is in range."""
+    last = F.create_map(*[x for f, e in edges.items() for x in (F.lit(f), F.lit(max(len(e) - 2, 0)))])
+    inside = F.col("bin").isNotNull()
+    tot = counts.groupBy("window_start", "feature").agg(
+        F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias("ct"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("out"))
+    grid = tot.select("*", F.explode(F.sequence(F.lit(0), F.element_at(last, F.col("feature")))).alias("bin"))
+    g = grid.join(counts.where(inside), ["window_start", "feature", "bin"], "left").join(
+        ref_shares.select("feature", "bin", "ref_share"), ["feature", "bin"], "left")
+    c = F.greatest(F.try_divide(F.coalesce(F.col("n"), F.lit(0)), F.col("ct")), F.lit(eps))
+    r = F.greatest(F.coalesce(F.col("ref_share"), F.lit(0.0)), F.lit(eps))
+    return g.groupBy("window_start", "feature").agg(
+        F.sum(F.when(F.col("ct") > 0, (c - r) * F.ln(c / r))).alias("psi"),
+        F.max("ct").alias("n_in_range"), F.max("out").alias("out_of_range"))
+
+
 def stream_tape_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str) -> DataFrame:
     """X-3 (S-2 on a stream): newly landed tape files → typed, validated Parquet by quarter.
     The stream checkpoint records ingested files, replacing the reference's exists-check."""
