@@ -86,13 +86,17 @@ def read_delimited_tape(spark: SparkSession, paths: str | list[str], columns: li
     """S-1: headerless pipe-delimited latin-1 text, every field a string, named by position.
 
     Extra trailing fields are dropped, missing trailing fields are NULL. ``width`` reads
-    that many positional columns ``_c0…`` (for the combined tape).
+    that many positional columns ``_c0…`` (for the combined tape). ``_place`` orders rows as the
+    files hold them: path, start of the split, and the row's number in its task, which only
+    compares rows of one split, so it holds however the files are split.
     """
     names = columns if width is None else [f"_c{i}" for i in range(width)]
     r = spark.read.options(**TAPE_OPTIONS).schema(string_schema(names))
     df = r.csv(paths)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("row"))
     return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_name").alias("_file_name"))
+                     F.col("_metadata.file_name").alias("_file_name"), place.alias("_place"))
 
 
 def quarter_of(file_name_col: str = "_file_name", file_path_col: str = "_file") -> F.Column:
@@ -177,10 +181,8 @@ def split_combined_tape(spark: SparkSession, paths: str | list[str],
                         quarters: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """S-4: one wide read → (origination, performance) by position maps.
 
-    Performance keeps every row; origination keeps the first row per quarter and loan (P-6:
-    earliest reporting period, then file and text order as tie-breaks, since rows have no
-    position in a distributed read), taken with ``min_by`` so a long loan history is combined
-    map-side.
+    Performance keeps every row; origination keeps the first row per quarter and loan in file
+    order (P-6), taken with ``min_by`` so a long loan history is combined map-side.
     """
     raw = read_delimited_tape(spark, paths, [], width=COMBINED_WIDTH).withColumn("quarter", quarter_of())
     raw = filter_quarters(raw, quarters)
@@ -190,13 +192,10 @@ def split_combined_tape(spark: SparkSession, paths: str | list[str],
                 for c in layout]
 
     perf = raw.select(*take(PERFORMANCE_COLUMNS, COMBINED_PERF_POSITIONS), "quarter")
-    orig_rows = raw.select(*take(ORIGINATION_COLUMNS, COMBINED_ORIG_POSITIONS), "quarter",
-                           parse_period(F.col(f"_c{COMBINED_PERF_POSITIONS['monthly_reporting_period']}"))
-                           .alias("_m"), "_file")
-    order = F.struct(F.col("_m"), F.col("_file"), *[F.col(c) for c in ORIGINATION_COLUMNS])
+    orig_rows = raw.select(*take(ORIGINATION_COLUMNS, COMBINED_ORIG_POSITIONS), "quarter", "_place")
     first = orig_rows.groupBy("quarter", "loan_sequence_number").agg(
         F.min_by(F.struct(*[F.col(c) for c in ORIGINATION_COLUMNS if c != "loan_sequence_number"]),
-                 order).alias("r"))
+                 F.col("_place")).alias("r"))
     orig = first.select("quarter", "loan_sequence_number", "r.*").select(*ORIGINATION_COLUMNS, "quarter")
     return orig, perf
 

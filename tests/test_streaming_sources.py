@@ -142,3 +142,28 @@ def test_sorted_frames_come_in_order(spark):
     assert rows == sorted(rows)
     ranked = [(-r.pd, r.id) for r in q_policy.q_portfolio_sort(spark, SF_SMALL).collect()]
     assert ranked == sorted(ranked)
+
+
+def test_first_row_in_file_order(spark):
+    """The first line of a loan wins, though it is not its earliest month and the file is read in many splits."""
+    d = tempfile.mkdtemp(prefix="order-")
+    lines, first = [], {}
+    for k in range(3000):
+        loan, rate = f"L{(k * 7919) % 400:03d}", f"{k / 1000:.3f}"
+        lines.append(_combined(loan, f"{12 - k % 12:02d}2031", rate))
+        first.setdefault(loan, rate)
+    _write(os.path.join(d, "2031Q1.csv"), lines)
+    _write(os.path.join(d, "2031Q2.csv"), lines[::-1])
+    last = {loan: None for loan in first}
+    for k in reversed(range(3000)):
+        loan = f"L{(k * 7919) % 400:03d}"
+        last[loan] = last[loan] or f"{k / 1000:.3f}"
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(20_000))
+        orig, perf = TP.split_combined_tape(spark, d)
+        assert perf.rdd.getNumPartitions() > 10
+        got = {(r.quarter, r.loan_sequence_number): r.orig_interest_rate for r in orig.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == {("2031Q1", k): v for k, v in first.items()} | {("2031Q2", k): v for k, v in last.items()}
