@@ -7,6 +7,7 @@ Words are maximal runs of characters outside space and U+0009-U+000D, which is w
 from __future__ import annotations
 
 import atexit
+import functools
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -41,6 +42,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def guarded(*needs: str):
+    """For a function that returns the columns of its first frame: the columns that it does not need are renamed
+    while it runs, by position, so that no name of theirs can meet one of its own."""
+    def deco(fn):
+        @functools.wraps(fn)
+        def run(docs: DataFrame, *args, **named) -> DataFrame:
+            safe = docs.toDF(*[c if c in needs else f"other column {i}" for i, c in enumerate(docs.columns)])
+            return fn(safe, *args, **named).toDF(*docs.columns)
+        return run
+    return deco
+
+
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with this package on the workers."""
     ship_package(df.sparkSession)

@@ -4,8 +4,9 @@ Built-in DataFrame functions only. Texts are normalised to lower-case (A-Z) word
 benchmark item gives its ``size``-word windows, or itself where it is shorter. The set of
 distinct windows (hash, words, item ids) is broadcast, in blocks where its measured size exceeds
 ``broadcast_bytes`` (each block takes another pass over the documents). One pass over the documents hashes each
-window, probes the set and verifies hits word by word in the same stage; only hits and one
-small row per document are shuffled.
+window and tests a bitmap of the set's hashes inside the text's own row; only windows that pass leave it, each
+with its own words, to probe the set and be verified word by word in the same stage. So the cost of a text is linear
+in its length. Only hits and one small row per document are shuffled.
 
 Defined results: a null text has no words and no hits; documents that are repeated (same id and
 text) are returned as often as they occur; a null ``item_id`` counts as the empty string;
@@ -18,10 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrisk.llm.common import materialize
+from tallyrisk.llm.common import guarded, materialize
 
 SIZE = 10
 BROADCAST_BYTES = 64 << 20
+BITS_PER_WINDOW = 32      # of the bitmap; about 3 % of the other windows pass it
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"   # ASCII but digits and lower-case letters
 RAW_WORD = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -79,6 +81,21 @@ def benchmark_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     return grams.groupBy("gram", "len").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
+def _bitmap(hashes: DataFrame, n: int) -> tuple[Column, int]:
+    """A constant array of longs whose bits mark the hashes (column ``gh``), and its length: a power of two of at
+    least ``BITS_PER_WINDOW`` bits a hash, so it is bounded as the broadcast set is."""
+    words = max(1 << (max(n * BITS_PER_WINDOW, 64) - 1).bit_length() - 6, 1)
+    slot = F.shiftrightunsigned("gh", 6).bitwiseAND(F.lit(words - 1))
+    bit = F.expr("shiftleft(1L, cast(gh & 63 as int))")
+    marked = hashes.groupBy(slot.alias("id")).agg(F.bit_or(bit).alias("bits"))
+    every = hashes.sparkSession.range(words).join(marked, "id", "left")
+    row = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    text = every.agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["bits"].cast("string")),
+                                  ",").alias("t")).first()["t"]
+    # Folded to one constant before the query runs.
+    return F.split(F.lit(text), ",").cast("array<bigint>"), words
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per distinct (doc_id, text): doc_id, th (text hash), n_words, copies,
@@ -92,29 +109,34 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     for n in lengths:
         gh = F.when(F.col("len") == n, F.get(f"_h{n}", F.lit(0))).otherwise(gh)
     # A probe of length 0 stands for the text itself and carries its word count.
+    nothing = F.array().cast("array<string>")
     whole = grams.sparkSession.range(1).select(F.lit(0).cast("long").alias("gh"), F.lit(0).alias("glen"),
-                                               F.array().cast("array<string>").alias("gram"),
-                                               F.lit(None).cast("array<string>").alias("items"))
-    grams = with_window_hashes(grams, "gram", lengths).select(gh.alias("gh"), F.col("len").alias("glen"), "gram", "items")
+                                               nothing.alias("ggram"), F.lit(None).cast("array<string>").alias("items"))
+    grams = materialize(with_window_hashes(grams, "gram", lengths).select(
+        gh.alias("gh"), F.col("len").alias("glen"), F.col("gram").alias("ggram"), "items"), "bench-hashes")
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), normalised_words(F.col("text")).alias("words"))
-    probes = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("len"), F.lit(0).cast("long").alias("h")))
-    for n in lengths:
-        size_here = F.lit(n).alias("len")
-        probes = F.concat(probes, F.transform(f"_h{n}", lambda h, i: F.struct(
-            i.alias("pos"), size_here, h.alias("h"))))
     rows = with_window_hashes(rows, "words", lengths)
-    rows = rows.select("doc_id", "th", "words", F.inline(probes))
-    same = F.forall(F.sequence(F.lit(0), F.col("len") - 1),
-                    lambda k: F.get("words", F.col("pos") + k) == F.get("gram", k))
-    match = (F.col("h") == F.col("gh")) & (F.col("len") == F.col("glen")) & ((F.col("len") == 0) | same)
+    head = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("len"), F.lit(0).cast("long").alias("h"),
+                            nothing.alias("gram")))
     # The set is broadcast in blocks of at most ``broadcast_bytes``; one block is the usual case.
     blocks = max(1, -(-int(measure["b"] or 0) // broadcast_bytes))
     found = None
     for k in range(blocks):
         block = grams.filter(F.pmod("gh", F.lit(blocks)) == k) if blocks > 1 else grams
+        bits, words = _bitmap(block, block.count())
+
+        def marked(h: Column) -> Column:
+            at = F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(words - 1)).cast("int")
+            return F.getbit(F.get(bits, at), h.bitwiseAND(F.lit(63)).cast("int")) == 1
+        probes = head
+        for n in lengths:
+            probes = F.concat(probes, F.array_compact(F.transform(f"_h{n}", lambda h, i: F.when(marked(h), F.struct(
+                i.alias("pos"), F.lit(n).alias("len"), h.alias("h"), F.slice("words", i + 1, F.lit(n)).alias("gram"))))))
+        probed = rows.select("doc_id", "th", F.size("words").cast("long").alias("n_words"), F.inline(probes))
         block = block.unionByName(whole) if k == 0 else block
-        part = rows.join(F.broadcast(block), match).select(
-            "doc_id", "th", F.size("words").cast("long").alias("n_words"), (F.col("len") == 0).alias("head"),
+        match = (F.col("h") == F.col("gh")) & (F.col("len") == F.col("glen")) & (F.col("gram") == F.col("ggram"))
+        part = probed.join(F.broadcast(block), match).select(
+            "doc_id", "th", "n_words", (F.col("len") == 0).alias("head"),
             F.when(F.col("len") > 0, F.struct("pos", "len")).alias("span"), "items")
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "th", "n_words").agg(
@@ -135,10 +157,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     n_hit = F.size(_covered("spans")).cast("long")
     out = found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                        "items", (F.size("spans") > 0).alias("contaminated"), "copies")
-    return out.select("*", F.explode(F.expr("array_repeat(0, cast(copies as int))")).alias("_copy")).drop(
-        "copies", "_copy")
+    return out.select("*", F.explode(F.expr("sequence(1L, copies)")).alias("_copy")).drop("copies", "_copy")
 
 
+@guarded("doc_id", "text")
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document", size: int = SIZE,
                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` without contaminated documents (mode "document") or with the hit words cut out of

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrisk.llm.common import materialize
+from tallyrisk.llm.common import guarded, materialize
 
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
@@ -117,6 +117,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad: floa
         F.round("bound", 6).alias("bad_bound"))
 
 
+@guarded("page_id", "url")
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad: float = MAX_BAD) -> DataFrame:
     """The pages whose url is allowed, with their own columns."""
     judged = judge_urls(pages, outcomes, rules, max_bad).filter("verdict = 'block'").select(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrisk.llm.common import (append_columns, chunks, index_words, map_arrow, materialize,
+from tallyrisk.llm.common import (append_columns, chunks, guarded, index_words, map_arrow, materialize,
                                   project_columns, sum_by_text)
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -212,6 +212,7 @@ def identify_pages(pages: DataFrame, labelled: DataFrame, languages=LANGUAGES,
     return fuse(rows, ["page_id", "url", "declared", "host"], languages, threshold)
 
 
+@guarded("text", "lang", "source")
 def language_filter(docs: DataFrame, languages=LANGUAGES, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose language is found, with their own columns: ``lang`` counts as the declared
     language and ``source`` as the host. A row is rejected when the fused posterior stays under

@@ -309,7 +309,7 @@ def mine(embeddings: DataFrame, positives: int = POSITIVES, negatives: int = NEG
     rows = materialize(integer_rows(embeddings), "mine-rows")
     n = rows.count()
     # Blocks of block_rows, or smaller ones while there are fewer blocks than partitions.
-    blocks = max(-(-n // block_rows), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // 2048)), 1)
+    blocks = max(-(-n // block_rows), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // 512)), 1)
     anchors = rows.filter(F.col("id") % query_step == 0).select("id", "label", "v").distinct()
     anchors = materialize(anchors.withColumn("aid", F.monotonically_increasing_id()), "mine-anchors")
     every = F.array(F.struct(F.lit(0).alias("w"), F.lit(LOWEST).alias("lo"), F.lit(HIGHEST).alias("hi")))

@@ -75,7 +75,12 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> None:
-    """Write ``docs`` as Parquet under ``path/shard=k``, each shard in slot order per file."""
+    """Write ``docs`` as Parquet under ``path/shard=k``, each shard in slot order per file; ``docs`` must not have
+    columns ``shard`` and ``slot``."""
+    names = docs.columns
+    if {"shard", "slot"} & {c.lower() for c in names}:
+        raise ValueError("columns shard and slot would be replaced by the output")
+    docs = docs.toDF(*[c if c in ("doc_id", "text", "source") else f"other column {i}" for i, c in enumerate(names)])
     placed = interleave(docs, shards, seed).select(
         F.col("doc_id").alias("_d"), F.col("text_crc32").alias("_c"), F.col("size").alias("_z"), "shard", "slot")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -87,6 +92,6 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = S
     keyed = keyed.withColumn("_kn", F.row_number().over(W.partitionBy("_kd", "_kc", "_kz").orderBy("source")))
     out = keyed.join(placed, F.col("_kd").eqNullSafe(F.col("_d")) & (F.col("_kc") == F.col("_c"))
                      & (F.col("_kz") == F.col("_z")) & (F.col("_kn") == F.col("_n")))
-    out = out.drop("_d", "_c", "_z", "_n", "_kd", "_kc", "_kz", "_kn")
+    out = out.drop("_d", "_c", "_z", "_n", "_kd", "_kc", "_kz", "_kn").toDF(*names, "shard", "slot")
     (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tallyrisk.llm.common import map_arrow, materialize, project_columns
+from tallyrisk.llm.common import guarded, map_arrow, materialize, project_columns
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -264,6 +264,7 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@guarded("doc_id", "text")
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group, with its own columns: the one of the smallest (doc_id, text hash)."""
     rows = grouped(docs, shingle, max_bits)

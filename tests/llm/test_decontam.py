@@ -68,3 +68,18 @@ def test_empty(spark):
     assert D.contamination(docs, none).count() == len(ROWS)
     assert D.contamination(spark.createDataFrame([], DOCS), spark.createDataFrame(BENCH, "item_id long, text string")
                            ).count() == 0
+
+
+def test_a_long_text_costs_in_proportion(spark):
+    """A text of a million words, with benchmark passages at both ends and in the middle."""
+    import time
+    passage = " ".join(W[:12])
+    filler = "lorem ipsum dolor sit amet consectetur"
+    middle = " ".join([filler] * 83_000)
+    text = f"{passage} {middle} {passage} {middle} {passage}"
+    docs = spark.createDataFrame([(1, text, "en"), (2, "clean", "en")], DOCS)
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    began = time.time()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in D.contamination(docs, bench).collect()}
+    assert got == {1: (2 * 83_000 * 6 + 36, 36, 2), 2: (1, 0, 0)}
+    assert time.time() - began < 60
