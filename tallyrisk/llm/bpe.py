@@ -25,7 +25,8 @@ from tallyrisk.llm.common import append_columns, project_columns
 
 # Fixed value: the published splitting pattern of byte-level BPE vocabularies.
 PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 400_000     # pieces kept per task; all are dropped when the store would outgrow this
+REMEMBERED = 400_000     # pieces kept per task, and bytes of them; all are dropped when the store would outgrow
+REMEMBERED_BYTES = 96 << 20   # either (what one chunk of texts adds is bounded by the chunk)
 NONE = 1 << 62           # leaf without a pair
 _AT = 1 << 32            # a leaf is rank * 2**32 + position
 SIDE_BY_SIDE = 64        # longer pieces (in bytes) are merged one by one
@@ -97,6 +98,7 @@ class ByteBPE:
         self.token_of_rank[ranks] = [t for _, t in self.pairs.values()]
         self.fixed = {s: (1, str(i), self.bytes[i]) for s, i in self.special.items()}
         self.known: dict[str, tuple[int, str, bytes]] = dict(self.fixed)
+        self.held = 0            # bytes of the pieces in the store
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one piece."""
@@ -189,13 +191,15 @@ class ByteBPE:
             data = p.encode()
             sized.setdefault(max(4, 1 << (len(data) - 1).bit_length()), []).append((p, data))
         for size, some in sized.items():
-            for lo in range(0, len(some), BATCH // size):
-                part = some[lo:lo + BATCH // size]
+            step = max(1, BATCH // size)
+            for lo in range(0, len(some), step):
+                part = some[lo:lo + step]
                 ids = (self.merge_many([d for _, d in part], size) if size <= SIDE_BY_SIDE
                        else [self.merge(d) for _, d in part])
                 for (p, _), row in zip(part, ids):
-                    self.known[p] = (len(row), ",".join(map(str, row)),
-                                     b"".join(map(self.bytes.__getitem__, row)))
+                    ids_text, data = ",".join(map(str, row)), b"".join(map(self.bytes.__getitem__, row))
+                    self.known[p] = (len(row), ids_text, data)
+                    self.held += len(p) + len(ids_text) + len(data) + 120
 
     def _pieces(self, text: str) -> list[str]:
         if not self.special:
@@ -213,8 +217,8 @@ class ByteBPE:
         parts = [self._pieces(t) if t else [] for t in texts]
         distinct = set().union(*parts) - self.fixed.keys() if parts else set()
         new = distinct - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = dict(self.fixed)
+        if len(self.known) + len(new) > REMEMBERED or self.held + sum(map(len, new)) > REMEMBERED_BYTES:
+            self.known, self.held = dict(self.fixed), 0
             new = distinct
         self._remember(new)
         get = self.known.__getitem__

@@ -34,6 +34,7 @@ from tallyrisk.llm.common import guarded, map_arrow, materialize, project_column
 SHINGLE = 3
 MAX_BITS = 3
 MAX_GROUP = 1024
+VOTES = 1 << 16           # shingles whose bits are counted at once
 LEAF, FANOUT = 8, 8
 FULL = (1 << 64) - 1
 
@@ -50,7 +51,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     last = (ends[min(shingle, len(words)) - 1:] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     h = np.fromiter((digest(joined[a:b], 42) for a, b in zip(first, last)), np.uint64, n)
-    votes = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(n, 8), axis=1).sum(axis=0, dtype=np.int64)
+    votes = np.zeros(64, np.int64)
+    for lo in range(0, n, VOTES):    # 64 bytes a shingle while they are counted
+        bits = np.unpackbits(h[lo:lo + VOTES].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        votes += bits.sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > n).view(">i8")[0])
 
 

@@ -64,3 +64,24 @@ def test_frames(spark):
     both = bpe.decode_documents(bpe.encode_documents(docs, PATH), PATH)
     assert both.filter("decoded <> coalesce(text, '')").count() == 0 and both.count() == len(rows)
     assert bpe.token_digests(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_a_piece_of_over_a_megabyte_and_a_full_store(monkeypatch):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tallyrisk.llm import bpe as P
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    theirs, ours = Tokenizer.from_file(path), P.ByteBPE(path)
+    text = "ab" * 600_000 + " x"
+    assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(P, "REMEMBERED_BYTES", 3_000)
+    rng = random.Random(1)
+    texts = [" ".join("".join(rng.choices("abcdé", k=rng.randint(1, 9))) for _ in range(30)) for _ in range(20)]
+    sizes = []
+    for t in texts:
+        assert ours.encode(t) == theirs.encode(t, add_special_tokens=False).ids
+        sizes.append(ours.held)
+    assert max(sizes[1:]) < 12_000 and ours.held < 12_000

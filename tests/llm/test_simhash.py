@@ -99,3 +99,11 @@ def test_documents(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert S.simhash_components(docs).count() == 0 and S.simhash_dedup(docs).count() == 0
+
+
+def test_votes_in_slices(monkeypatch):
+    from tallyrisk.llm import simhash as S
+    text = " ".join(f"w{i % 97} v{i % 13}" for i in range(700))
+    whole = S.fingerprint(text)
+    monkeypatch.setattr(S, "VOTES", 100)
+    assert S.fingerprint(text) == whole == S.fingerprint(text.upper())
