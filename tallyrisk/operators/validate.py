@@ -68,7 +68,11 @@ PERFORMANCE_RULES = [
 # Typed columns without a range rule: text that does not coerce is a violation.
 ORIGINATION_RULES += [Rule(c, "type") for c in ("msa", "num_borrowers")]
 PERFORMANCE_RULES += [Rule(c, "type") for c in (
-    "current_actual_upb", "loan_age", "remaining_months_to_legal_maturity", "current_interest_rate")]
+    "current_actual_upb", "loan_age", "remaining_months_to_legal_maturity", "current_interest_rate",
+    "current_deferred_upb", "mi_recoveries", "non_mi_recoveries", "expenses", "legal_costs",
+    "maintenance_and_preservation_costs", "taxes_and_insurance", "miscellaneous_expenses",
+    "actual_loss_calculation", "modification_cost", "estimated_ltv", "zero_balance_removal_upb",
+    "delinquent_accrued_interest", "current_month_modification_cost", "interest_bearing_upb")]
 
 
 def _violation(rule: Rule, raw: Column) -> list[tuple[str, Column]]:

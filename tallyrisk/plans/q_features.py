@@ -271,7 +271,15 @@ def q_validate_schema(spark, d):
     return violation_report(t, ORIGINATION_RULES, "loan_id")
 
 
-@query("required_columns")
+def _required_sql() -> str:
+    from ..functions.features import REQUIRED_ORIGINATION_OUTPUTS
+
+    parts = [f"SELECT '{c}' AS \"column\", true AS present, CAST(count({c}) AS BIGINT) AS n_non_null FROM of"
+             for c in REQUIRED_ORIGINATION_OUTPUTS]
+    return with_views(" UNION ALL ".join(parts), "v_orig", extra={"of": _ORIG_FEATURES_SQL})
+
+
+@query("required_columns", _required_sql())
 def q_required_columns(spark, d):
     """M-13: each required output column: present or not, and its non-null count."""
     return missing_required(origination_feature_frame(spark, d))

@@ -53,7 +53,8 @@ def q_quarter_prune(spark, d):
     return out.select("loan_sequence_number", "quarter")
 
 
-def _combined(spark, d):
+def _landed_combined(spark, d):
+    """The combined tape, one folder per origination quarter."""
     perf = B.perf_tape(spark, d)
     orig = B.orig_tape(spark, d).drop("quarter")
     j = perf.join(orig.drop("loan_sequence_number"), "loan_id", "inner")
@@ -71,7 +72,11 @@ def _combined(spark, d):
             for i in range(TP.COMBINED_WIDTH)]
     path = scratch_path(spark, "combined")
     TP.write_tape(j.select(*cols, "quarter"), [f"p{i}" for i in range(TP.COMBINED_WIDTH)], path, "quarter")
-    return TP.split_combined_tape(spark, path)
+    return path
+
+
+def _combined(spark, d):
+    return TP.split_combined_tape(spark, _landed_combined(spark, d))
 
 
 _PERF_OUT = ["loan_sequence_number", "monthly_reporting_period", "current_actual_upb",
@@ -123,6 +128,17 @@ def q_ingest_all(spark, d):
                                      "quarter", F.size("violations").alias("n_violations"))
 
 
+@query("ingest_all_quarters", with_views(
+    """SELECT p.loan_sequence_number, p.monthly_reporting_period, TRY_CAST(trim(p.current_actual_upb) AS DOUBLE)
+         AS current_actual_upb, CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter
+       FROM v_perf_tape p JOIN orders ON o_orderkey = p.loan_id
+       WHERE p.loan_id IN (SELECT loan_id FROM v_orig_tape)""", "v_perf_tape", "v_orig_tape"))
+def q_ingest_all_quarters(spark, d):
+    """S-5: no classic tapes present → the combined tape is split and ingested by quarter, performance side."""
+    out = TP.ingest_all(spark, [], [], [_landed_combined(spark, d)], scratch_path(spark, "ingest-quarters"))
+    return out["performance"].select("loan_sequence_number", "monthly_reporting_period", "current_actual_upb", "quarter")
+
+
 @query("read_csv_source", with_views("SELECT id, pd, label, period FROM v_score", "v_score"))
 def q_read_csv_source(spark, d):
     """S-7: ``csv:<path>`` source (header, inferred types)."""
@@ -256,7 +272,9 @@ def q_summary_markdown(spark, d):
     ref, cur = B.drift_frames(spark, d)
     fd = D.feature_drift(ref, cur, B.DRIFT_FEATURES)
     s = B.scores(spark, d)
-    return FS.summary_markdown(PD.monitoring_report(fd, D.score_drift(*_score_frames(spark, d), "pd"), PD.perf_drift(s)))
+    score = D.score_drift(*_score_frames(spark, d), "pd")
+    return FS.summary_markdown(PD.monitoring_report(fd, score, PD.perf_drift(s)), score=score,
+                               rolling=PD.rolling_auc(s), policy_version="balanced-1")
 
 
 

@@ -59,6 +59,25 @@ def q_stratified_split(spark, d):
     return SP.stratified_split(B.scores(spark, d), "label", "id", 0.2)
 
 
+@query("stratified_split_counts", with_views("""
+SELECT label, unnest(['test', 'train']) AS split, CAST(unnest([t, n - t]) AS BIGINT) AS n
+FROM (SELECT label, count(*) AS n, CAST(round_even(count(*) * 0.2, 0) AS BIGINT) AS t FROM v_score GROUP BY label)
+""", "v_score"))
+def q_stratified_split_counts(spark, d):
+    """N-8: rows per class and side; every id is on one side."""
+    sp = SP.stratified_split(B.scores(spark, d), "label", "id", 0.2)
+    return sp.groupBy("label", "split").agg(F.countDistinct("id").alias("n"))
+
+
+@query("stratified_downsample_counts", with_views("""
+SELECT label, CAST(least(greatest(1, round_even(1000 * n / sum(n) OVER (), 0)), n) AS BIGINT) AS n
+FROM (SELECT label, count(*) AS n FROM v_score GROUP BY label)""", "v_score"))
+def q_stratified_downsample_counts(spark, d):
+    """N-9: rows per class of a sample of 1,000."""
+    kept = SP.stratified_downsample(B.scores(spark, d), "label", "id", 1000)
+    return kept.groupBy("label").agg(F.countDistinct("id").alias("n"))
+
+
 @query("stratified_downsample")
 def q_stratified_downsample(spark, d):
     """N-9 (rows only): class-proportional sample capped at the reference's 3,000 rows."""

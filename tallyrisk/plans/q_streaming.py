@@ -13,6 +13,7 @@ from ..streaming import stream as ST
 from . import bindings as B
 from .catalog import query
 from .oracle_views import with_views
+from .q_sources import _NORM
 
 
 def _frozen(ref, features):
@@ -107,7 +108,9 @@ def q_stream_feature_psi(spark, d):
                                 window="28 days")
 
 
-@query("stream_tape_ingest")
+@query("stream_tape_ingest", with_views("""
+SELECT o.loan_sequence_number, o.quarter, o.credit_score, o.orig_upb, CAST(coalesce(nv.n, 0) AS INTEGER) AS n_violations
+FROM v_orig o LEFT JOIN nv USING (loan_id)""", "v_orig", extra=_NORM))
 def q_stream_tape_ingest(spark, d):
     """X-3 (rows only): landed origination tape → typed Parquet by quarter, resumable."""
     landing = scratch_path(spark, "x3-landing")

@@ -89,8 +89,21 @@ def write_json_report(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).json(path)
 
 
-def summary_markdown(report: DataFrame, title: str = "Monitoring summary") -> DataFrame:
-    """S-17: the consolidated monitoring report (M-11) rendered as one Markdown text row."""
+def _markdown_table(rows: DataFrame, columns: list[str], title: str) -> DataFrame:
+    """A frame of bounded size as a titled Markdown table, in the order of its first column; one row."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(columns[0]).alias("k"), line.alias("line")))),
+                        lambda r: r["line"])
+    head = ["", f"## {title}", "", "| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
+    return rows.agg(F.concat_ws("\n", *[F.lit(h) for h in head], lines).alias("text"))
+
+
+def summary_markdown(report: DataFrame, title: str = "Monitoring summary", score: DataFrame | None = None,
+                     rolling: DataFrame | None = None, policy_version: str | None = None) -> DataFrame:
+    """S-17: the consolidated monitoring report (M-11) rendered as one Markdown text row, with the percentiles of
+    both sides (``score``: the row of ``score_drift``), the AUC of each window (``rolling``: ``rolling_auc``, a row
+    per period) and the policy version where they are given."""
     lines = report.select(F.format_string(
         "| %s | %s | %s | %.6f | %s |", "check", "name", "metric",
         F.coalesce(F.col("value"), F.lit(float("nan"))), "severity").alias("line"),
@@ -110,5 +123,20 @@ def summary_markdown(report: DataFrame, title: str = "Monitoring summary") -> Da
                        F.concat(F.lit("Alerts: "), F.coalesce(F.nullif(F.col("alert_list"), F.lit("")), F.lit("none"))),
                        F.lit(""), F.lit("| check | name | metric | value | severity |"),
                        F.lit("|---|---|---|---|---|"), F.col("table"))
-    return j.select(text.alias("markdown"))
+    if policy_version is not None:
+        text = F.concat_ws("\n", text, F.lit(""), F.lit(f"Policy version: {policy_version}"))
+    out = j.select(text.alias("markdown"))
+    extra = []
+    if score is not None:
+        pcts = sorted(int(c[5:]) for c in score.columns if c.startswith("ref_p"))
+        rows = score.select(F.inline(F.array(*[F.struct(
+            F.lit(p).alias("percentile"), F.col(f"ref_p{p}").alias("reference"), F.col(f"cur_p{p}").alias("current"))
+            for p in pcts])))
+        extra.append(_markdown_table(rows, ["percentile", "reference", "current"], "Score percentiles"))
+    if rolling is not None:
+        rows = rolling.select("period", F.round("auc", 6).alias("auc"), "n_obs", "n_defaults")
+        extra.append(_markdown_table(rows, ["period", "auc", "n_obs", "n_defaults"], "Rolling AUC"))
+    for e in extra:
+        out = attach(out, e).select(F.concat_ws("\n", "markdown", "text").alias("markdown"))
+    return out
 
