@@ -69,8 +69,7 @@ def q_policy_metrics(spark, d):
     "SELECT * EXCLUDE (policy_order) FROM m", "v_score", extra={**_DECIDED, "m": _METRICS}))
 def q_policy_metrics_all(spark, d):
     """A-3 for every policy; ``policy_metrics`` is the row of 'balanced'."""
-    dec = P.decide_with_capacity(B.scores(spark, d), P.DEFAULT_POLICIES, extra_cols=["label"])
-    return P.policy_metrics(dec).drop("policy_order")
+    return P.policy_metrics_of_scores(B.scores(spark, d), P.DEFAULT_POLICIES).drop("policy_order")
 
 
 @query("compare_policies", with_views(

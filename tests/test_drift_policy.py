@@ -93,3 +93,18 @@ def test_capacity_filled_exactly_above_cut(spark):
     dec = {r["id"]: r["decision"] for r in P.decide_with_capacity(
         _scores(spark, pds), [P.Policy("k0", 0.10, 0.90, 0.2)]).collect()}
     assert [dec[i] for i in range(4)] == ["review", "review", "approve", "approve"]
+
+
+def test_metrics_from_distinct_scores_equal_the_decided_rows(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice([None, *[j / 40 for j in range(40)]]), rnd.choice([0, 1, None])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, pd double, label int")
+    pols = [P.Policy("a", 0.05, 0.15, 0.05), P.Policy("b", 0.1, 0.9, 0.3), P.Policy("c", 0.2, 0.4),
+            P.Policy("d", 0.1, 0.95, 0.001), P.Policy("e", 0.3, 0.4, 1.0)]
+    for frame, label in ((df, "label"), (df, None), (df.where("false"), "label")):
+        want = P.policy_metrics(P.decide_with_capacity(frame, pols, extra_cols=["label"]), label_col=label)
+        got = P.policy_metrics_of_scores(frame, pols, label_col=label)
+        assert got.columns == want.columns
+        assert sorted(got.collect(), key=lambda r: r.policy) == sorted(want.collect(), key=lambda r: r.policy)
