@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift as D
+from ..operators import sketches as S
 from . import bindings as B
 from .catalog import query
 from .oracle_views import with_views
@@ -195,3 +196,33 @@ def q_drift_severity(spark, d):
     return core.select("feature", D.feature_severity(F.col("psi"), F.col("ks_p_value")).alias("feature_severity"),
                        D.score_severity(F.col("psi"), F.col("ks_p_value"), F.col("ks_statistic"))
                        .alias("score_rule_severity"))
+
+
+_RANKS = ", ".join(f"({p})" for p in D.REPORT_PERCENTILES)
+
+
+@query("sketch_percentiles", with_views(f"""
+SELECT feature, pct, count(*) AS n, true AS within_bound FROM rl CROSS JOIN (VALUES {_RANKS}) t(pct) GROUP BY feature, pct
+""", "v_ref", extra={"rl": _long("v_ref", FEATS)}))
+def q_sketch_percentiles(spark, d):
+    """A-12 by sketches kept per batch of orders and merged: whether the values found lie, in the exact ranks of
+    the whole table, within the stated bound of their percentile."""
+    ref, _ = _frames(spark, d)
+    got = S.sketch_percentiles(S.sketch_profile(ref, FEATS, F.expr("pmod(l_orderkey, 24)")))
+    values = F.array(*[F.struct(F.lit(p).alias("pct"), F.col(f"p{p}").alias("found")) for p in D.REPORT_PERCENTILES])
+    found = got.select("feature", F.inline(values))
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in FEATS])
+    rows = ref.select(F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    ranks = rows.join(F.broadcast(found), "feature").groupBy("feature", "pct").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((F.col("value") < F.col("found")).cast("int")).alias("low"),
+        F.avg((F.col("value") <= F.col("found")).cast("int")).alias("high"))
+    # Merging sketches adds to what one pass is off by.
+    slack = 2 * S.rank_error()
+    return ranks.select("feature", "pct", "n", F.coalesce((F.col("low") - slack <= F.col("pct") / 100) & (
+        F.col("pct") / 100 <= F.col("high") + slack), F.lit(False)).alias("within_bound"))
+
+
+@query("sketch_psi")
+def q_sketch_psi(spark, d):
+    """M-3 by sketches (rows only, tested against the exact PSI): both sides from profiles of batches."""
+    return S.sketch_psi(*[S.sketch_profile(f, FEATS, F.expr("pmod(l_orderkey, 24)")) for f in _frames(spark, d)])
