@@ -253,6 +253,12 @@ def q_file_lineage(spark, d):
     return FS.file_lineage(spark, d, "*.parquet")
 
 
+@query("file_lineage_tree")
+def q_file_lineage_tree(spark, d):
+    """S-15 (rows only): the same files hashed block by block, with the root of their digests."""
+    return FS.file_lineage_tree(spark, d, "*.parquet", block_bytes=1 << 20)
+
+
 @query("report_json_sink", with_views("""
 SELECT feature, round(psi, 6) AS psi, round(ks_statistic, 6) AS ks_statistic, round(ks_p_value, 6) AS ks_p_value
 FROM core""", "v_ref", "v_cur", extra=__import__(

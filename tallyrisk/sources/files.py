@@ -3,9 +3,17 @@ file lineage, JSON and text report sinks (S-7, S-8, S-12..S-17)."""
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
+LINEAGE_BLOCK = 64 << 20    # bytes hashed by one task
+READ_BYTES = 4 << 20        # bytes of a file in memory at a time
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the file system has ``path`` (an unreadable one is there, and fails when read)."""
@@ -69,18 +77,75 @@ def label_dataset(spark: SparkSession, input_path: str, output_path: str, **labe
     return read_parquet(spark, output_path)
 
 
+def _listed(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """path, size_bytes of the input files that are not empty (file sources skip those); contents are not read."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path).select("path", F.col("length").alias("size_bytes"))
+
+
+def _open(path: str):
+    """A file of any file system, for reads at a position."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path[len("file:"):].lstrip("/"))
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
+
+
+def _digest(path: str, start: int, size: int) -> bytes:
+    """SHA-256 of a byte range, read a few MB at a time. A file that ends early is an error."""
+    h = hashlib.sha256()
+    with _open(path) as f:
+        while size:
+            piece = f.read_at(min(size, READ_BYTES), start)
+            if not piece:
+                raise EOFError(f"{path} ends at byte {start}")
+            h.update(piece)
+            start, size = start + len(piece), size - len(piece)
+    return h.digest()
+
+
+def _with_digest(ranges: DataFrame) -> DataFrame:
+    """``digest`` of each row's byte range (path, start, size): one range after the other, in tasks."""
+    schema = ranges.withColumn("digest", F.lit(b"")).schema
+
+    def run(batches):
+        for batch in batches:
+            digests = [_digest(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "size")))]
+            yield batch.append_column("digest", pa.array(digests, pa.binary()))
+    ship_package(ranges.sparkSession)
+    return ranges.mapInArrow(run, schema)
+
+
 def file_lineage(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """S-15: per input file its path, size and SHA-256 of the content.
 
-    Each file is read whole by one task (binaryFile); files above 2 GB cannot be
-    loaded that way and need a block-hash scheme instead (documented difference).
+    SHA-256 runs from the first byte to the last, so one task reads a file, in pieces of ``READ_BYTES``:
+    files have no size limit, and memory does not depend on them. ``file_lineage_tree`` spreads large files.
     """
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(path)
-    return df.select(F.col("path"), F.col("length").alias("size_bytes"),
-                     F.sha2(F.col("content"), 256).alias("sha256"))
+    files = _listed(spark, path, glob).withColumns({"start": F.lit(0).cast("long"), "size": F.col("size_bytes")})
+    return _with_digest(files.repartition("path")).select("path", "size_bytes", F.lower(F.hex("digest")).alias("sha256"))
+
+
+def file_lineage_tree(spark: SparkSession, path: str, glob: str | None = None,
+                      block_bytes: int = LINEAGE_BLOCK) -> DataFrame:
+    """S-15 for files of any size: path, size_bytes, n_blocks, root_sha256 (hex).
+
+    Each file is cut into blocks of ``block_bytes`` that are hashed by different tasks; the root is the SHA-256
+    of the block digests in file order (32 bytes a block: 16 MB for a file of 32 TB in default blocks). Roots
+    compare between runs of the same ``block_bytes`` only. Empty files have no row.
+    """
+    starts = F.sequence(F.lit(0).cast("long"), F.col("size_bytes") - 1, F.lit(block_bytes).cast("long"))
+    blocks = _listed(spark, path, glob).select("path", "size_bytes", F.explode(starts).alias("start"))
+    blocks = blocks.withColumn("size", F.least(F.lit(block_bytes).cast("long"), F.col("size_bytes") - F.col("start")))
+    hashed = _with_digest(blocks.repartition("path", "start"))
+    leaves = F.transform(F.sort_array(F.collect_list(F.struct("start", "digest"))), lambda b: F.hex(b["digest"]))
+    return hashed.groupBy("path", "size_bytes").agg(leaves.alias("leaves")).select(
+        "path", "size_bytes", F.size("leaves").alias("n_blocks"),
+        F.sha2(F.unhex(F.array_join("leaves", "")), 256).alias("root_sha256"))
 
 
 def write_json_report(df: DataFrame, path: str) -> DataFrame:

@@ -83,6 +83,26 @@ def test_file_lineage_hashes_match(spark):
     assert r["size_bytes"] == len(body) and r["sha256"] == hashlib.sha256(body).hexdigest()
 
 
+@pytest.mark.parametrize("block", [7, 1000, 4096, 1 << 20])
+def test_lineage_of_blocks_equals_hashlib(spark, block):
+    import hashlib
+
+    d = tempfile.mkdtemp(prefix="lin-")
+    bodies = {"one.bin": b"x", "a b%20c.bin": bytes(range(256)) * 16, "odd.bin": b"\r\n\0" * 1111}
+    for name, body in bodies.items():
+        with open(os.path.join(d, name), "wb") as fh:
+            fh.write(body)
+    open(os.path.join(d, "empty.bin"), "wb").close()
+    tree = {os.path.basename(r.path): r for r in FS.file_lineage_tree(spark, d, block_bytes=block).collect()}
+    flat = {os.path.basename(r.path): r for r in FS.file_lineage(spark, d).collect()}
+    assert set(tree) == set(flat) == set(bodies)
+    for name, body in bodies.items():
+        leaves = [hashlib.sha256(body[i:i + block]).digest() for i in range(0, len(body), block)]
+        assert (tree[name].size_bytes, tree[name].n_blocks) == (len(body), len(leaves))
+        assert tree[name].root_sha256 == hashlib.sha256(b"".join(leaves)).hexdigest()
+        assert flat[name].sha256 == hashlib.sha256(body).hexdigest()
+
+
 def test_summary_markdown_lists_alerts(spark):
     rep = spark.createDataFrame([("feature_drift", "x", "psi", 0.3, "alert"),
                                  ("feature_drift", "y", "psi", 0.01, "ok")],
