@@ -5,10 +5,10 @@ For every participant of a conversation the dialogue is rendered with that speak
 start inclusive, end exclusive) of the assistant's own words and closing marks, the parts to
 train on. Turns of a system role stay system turns and take no perspective.
 
-A conversation of more than ``part_turns`` rows is rendered in parts of that many rows, in order,
-so one that holds a large share of all rows spreads over many tasks and rows. Parts are cuts of one
-rendering: those of a perspective, joined by ``part``, are the whole dialogue, and masks count from
-its start. Defined results: null texts are empty, null
+Every rendering comes in parts: the rows of a conversation are numbered in order, and part p holds
+the rows from p * ``part_turns`` on, so a conversation that holds a large share of all rows spreads
+over many tasks and rows. The parts of a perspective, joined by ``part``, are the whole dialogue, and
+masks count from its start. Defined results: null texts are empty, null
 roles are the speaker "unknown", null turns come first; rows of one turn are ordered by role and
 text, repeated rows are rendered as often as they occur; a null ``conv_id`` is a conversation of
 its own; a conversation of system turns alone has no perspective; an empty table gives an empty

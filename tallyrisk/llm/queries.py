@@ -30,9 +30,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
 
 
-def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rotation_digest(rotated: DataFrame) -> DataFrame:
+    """Masks as text: start-end, comma-joined."""
     spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
-    return chat.rotate(read(spark, sf_dir, "conversations")).withColumn("mask", F.concat_ws(",", spans))
+    return rotated.withColumn("mask", F.concat_ws(",", spans))
+
+
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation_digest(chat.rotate(read(spark, sf_dir, "conversations")))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +103,9 @@ QUERIES = {f.__name__: f for f in (
 
 _ROTATE = """
 WITH t AS (
-  SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         CAST(floor(greatest(coalesce(turn, 0), 0) / 256) AS INTEGER) AS part FROM conversations),
+  SELECT conv_id, turn, role, text, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) // 256 AS part
+  FROM (SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+        FROM conversations)),
 s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
 p AS (
   SELECT t.conv_id, s.perspective, t.part, t.turn, t.role, t.text,
@@ -109,10 +115,10 @@ p AS (
   FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 q AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-      PARTITION BY conv_id, perspective, part ORDER BY turn, role, text
+      PARTITION BY conv_id, perspective ORDER BY part, turn, role, text
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM p)
-SELECT conv_id, perspective, part, count(*) AS n_turns,
+SELECT conv_id, perspective, CAST(part AS INTEGER) AS part, count(*) AS n_turns,
        string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS rendered,
        coalesce(string_agg(CASE WHEN role = perspective THEN CAST(before + length(head) AS BIGINT) || '-'
                            || CAST(before + length(head) + length(body) AS BIGINT) END, ',' ORDER BY turn, role, text),

@@ -57,3 +57,20 @@ def test_parts_of_a_long_conversation_join_into_one_rendering(spark):
             assert [r.n_turns for r in parts] == [256, 256, len(rows) - 512]
             assert "".join(r.rendered for r in parts) == text
             assert [(m.start, m.end) for r in parts for m in r["mask"]] == spans
+
+
+def test_sql_holds_for_long_dialogues(spark):
+    import duckdb
+
+    from tallyrisk.llm import queries as Q
+
+    rows = [(7, i, ["ann", "bo", "system"][i % 3], f"t{i}") for i in range(700)]
+    rows += [(None, None, "x", f"same {i % 5}") for i in range(513)] + [(None, 3, None, None), (8, 0, "u", "Hi 🙂")]
+    rows += [(9, 100_000 + i, "ab"[i % 2], "x") for i in range(256)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = con.execute(Q.ORACLE["op3_chat_rotation"]).fetchall()
+    got = Q.rotation_digest(C.rotate(spark.createDataFrame(rows, SCHEMA)))
+    got = got.select("conv_id", "perspective", "part", "n_turns", "rendered", "mask").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
