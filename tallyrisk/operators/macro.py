@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import period_text
+from .ranking import MAX_BROADCAST_ROWS, rows_up_to
 
 RESAMPLE_METHODS = ("mean", "ffill")
 
@@ -96,7 +97,8 @@ def macro_join(loans: DataFrame, macro: DataFrame, date_col: str,
     """J-3: left join of the monthly macro frame on the loan's month.
 
     Rows are preserved; months out of range or unparsable get NULL macros. The
-    macro frame is calendar-sized (#months rows) and is broadcast.
+    macro frame should be calendar-sized (#months rows); its rows are counted, and it
+    is broadcast within the bound and left to the planner beyond it.
     """
     if date_col not in loans.columns:
         raise KeyError(f"date column {date_col!r} not in frame")
@@ -105,7 +107,8 @@ def macro_join(loans: DataFrame, macro: DataFrame, date_col: str,
     p = parse if parse is not None else period_text(parse_period(F.col(date_col)))
     keyed = loans.withColumn("_period", p)
     m = macro.withColumnRenamed("period", "_period")
-    return keyed.join(F.broadcast(m), "_period", "left").drop("_period")
+    few = rows_up_to(m) <= MAX_BROADCAST_ROWS
+    return keyed.join(F.broadcast(m) if few else m, "_period", "left").drop("_period")
 
 
 def null_macro_rows(joined: DataFrame, macro_cols: list[str]) -> DataFrame:

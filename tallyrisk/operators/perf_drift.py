@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .metrics import auc_from_counts
-from .ranking import attach
+from .ranking import MAX_BROADCAST_ROWS, attach, rows_up_to
 
 DEFAULT_WINDOW = 3
 DEFAULT_AUC_ALERT = 0.65
@@ -46,16 +46,21 @@ def rolling_window_members(df: DataFrame, window: int = DEFAULT_WINDOW,
 
 def rolling_auc(df: DataFrame, label_col: str = "label", score_col: str = "pd",
                 period_col: str = "period", window: int = DEFAULT_WINDOW) -> DataFrame:
-    """M-8: per period, AUC over its window, n_obs, n_defaults; NULL AUC for one class."""
+    """M-8: per period, AUC over its window, n_obs, n_defaults; NULL AUC for one class.
+
+    Periods are counted first (one job): window members are broadcast while they are within the bound.
+    """
     y = F.col(label_col).cast("long")
     counts = (df.where(F.col(period_col).isNotNull())
               .groupBy(F.col(period_col).cast("string").alias("member"),
                        F.col(score_col).cast("double").alias("_s"))
               .agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")))
     members = rolling_window_members(df, window, period_col)
-    fanned = counts.join(F.broadcast(members), "member", "inner").select(
+    periods = rows_up_to(df.select(period_col).where(F.col(period_col).isNotNull()).distinct())
+    few = periods * window <= MAX_BROADCAST_ROWS
+    fanned = counts.join(F.broadcast(members) if few else members, "member", "inner").select(
         F.col("anchor").alias("period"), "_s", "_pos", "_neg")
-    a = auc_from_counts(fanned, ["period"])
+    a = auc_from_counts(fanned, ["period"], max_groups=periods)
     return a.select("period", F.col("auc"), (F.col("n_pos") + F.col("n_neg")).alias("n_obs"),
                     F.col("n_pos").alias("n_defaults"))
 

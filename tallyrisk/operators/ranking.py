@@ -67,6 +67,11 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.join(F.broadcast(one_row), how="inner")
 
 
+def rows_up_to(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> int:
+    """The number of rows, or ``limit + 1`` for any number beyond it (one job)."""
+    return df.limit(limit + 1).count()
+
+
 def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                descending: bool = False, buckets: int | None = None,
                prefix: str = "cum_", max_groups: int | None = None) -> DataFrame:
@@ -96,7 +101,7 @@ def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: l
     if not g:
         max_groups = 1
     if max_groups is None:
-        max_groups = df.select(*_grp(g)).distinct().limit(limit + 1).count()
+        max_groups = rows_up_to(df.select(*_grp(g)).distinct(), limit)
     small = max_groups <= limit
     probs = [i / nb for i in range(1, nb)]
     edges = collapsed.groupBy(*_grp(gk)).agg(
@@ -120,7 +125,8 @@ def cumulative(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: l
 
 
 def quantiles_from_prefix(cum: DataFrame, counts: DataFrame, group_cols: list[str], value_col: str,
-                          count_col: str, cum_col: str, n_col: str, probs: list[float]) -> DataFrame:
+                          count_col: str, cum_col: str, n_col: str, probs: list[float],
+                          max_groups: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles from prefix counts.
 
     ``cum`` has one row per distinct ``(group…, value)`` with its count ``count_col`` and
@@ -140,9 +146,10 @@ def quantiles_from_prefix(cum: DataFrame, counts: DataFrame, group_cols: list[st
                                                   F.col(count_col).alias("_c"), F.col(cum_col).alias("_cum"))
     cond = [rows[c].eqNullSafe(ranks[c]) for c in g] + [
         (rows["_cum"] - rows["_c"]) <= ranks["_r"], ranks["_r"] < rows["_cum"]]
-    # Target ranks: (#groups × 2·#probs) rows. Broadcast when ungrouped (a handful of rows);
-    # grouped, the planner / AQE sizes the join from the measured table.
-    rk = F.broadcast(ranks) if not g else ranks
+    # Target ranks: at most 2·#probs rows a group. Broadcast when ungrouped or the groups are known to be few;
+    # else the planner / AQE sizes the join from the measured table.
+    few = not g or (max_groups is not None and 2 * len(probs) * max_groups <= MAX_BROADCAST_ROWS)
+    rk = F.broadcast(ranks) if few else ranks
     at = rows.join(rk, cond, "inner").select(*[rows[c] for c in g], ranks["_r"], rows["_v"])
     lo = at.select(*_grp(g), F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = at.select(*_grp(g), F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
@@ -152,16 +159,19 @@ def quantiles_from_prefix(cum: DataFrame, counts: DataFrame, group_cols: list[st
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    probs: list[float], buckets: int | None = None) -> DataFrame:
+                    probs: list[float], buckets: int | None = None, max_groups: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default) per group.
 
     Returns ``(group…, q_index INT, prob DOUBLE, value DOUBLE)``. NULL values are
     ignored; a group with no values yields no rows. Works from distinct-value
-    counts and distributed prefix sums, so no group is ever held in one task.
+    counts and distributed prefix sums, so no group is ever held in one task. ``max_groups`` bounds
+    the number of groups; without it they are counted (one job).
     """
     g = list(group_cols)
     base = df.where(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
     base = base.select(*_grp(g), F.col(value_col).cast("double").alias("_v"), F.lit(1).alias("_n"))
-    cum = cumulative(base, g, "_v", ["_n"], buckets=buckets)
+    if g and max_groups is None:
+        max_groups = rows_up_to(base.select(*_grp(g)).distinct())
+    cum = cumulative(base, g, "_v", ["_n"], buckets=buckets, max_groups=max_groups)
     n = base.groupBy(*_grp(g)).agg(F.count(F.lit(1)).alias("_cnt"))
-    return quantiles_from_prefix(cum, n, g, "_v", "_n", "cum__n", "_cnt", probs)
+    return quantiles_from_prefix(cum, n, g, "_v", "_n", "cum__n", "_cnt", probs, max_groups)

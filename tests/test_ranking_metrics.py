@@ -64,3 +64,21 @@ def test_binary_metrics_sane(spark):
     assert 0 <= r["best_f1"] <= 1 and r["n_samples"] == 800
     rate = y.mean()
     assert r["brier_score"] < rate * (1 - rate)
+
+
+def test_results_do_not_depend_on_the_broadcast_bound(spark, monkeypatch):
+    from tallyrisk.operators import macro, perf_drift, ranking
+
+    rows = [(f"2020-{i % 9 + 1:02d}", (i * 37 % 101) / 101, i * 13 % 5 % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "period string, pd double, label int")
+    series = spark.createDataFrame([("2020-01", 1.0), ("2020-05", 2.0)], "period string, rate double")
+
+    def results():
+        got = [perf_drift.rolling_auc(df), exact_quantiles(df, ["period"], "pd", [0.1, 0.5]),
+               macro.macro_join(df.withColumn("month", F.col("period")), series, "month", F.col("month"))
+               .select("month", "pd", "label", "rate")]
+        return [sorted(map(tuple, g.collect()), key=repr) for g in got]
+    few = results()
+    for module in (ranking, perf_drift, macro):
+        monkeypatch.setattr(module, "MAX_BROADCAST_ROWS", 8)
+    assert results() == few
