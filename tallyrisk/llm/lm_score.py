@@ -1,19 +1,26 @@
 """Scoring texts with a weighted backoff automaton (operator 9).
 
-The model is a bigram model learned from the training documents, smoothed by backing off:
-``P(w | h) = (c(h w) + k P(w)) / (c(h) + k)`` with ``P(w) = (c(w) + 1) / (N + V + 1)``. As an
-automaton: a root state, one state per known word (the last word read), an arc per seen bigram
-weighted by its log-probability, arcs from the root for the words, and from every state a failure
-arc to the root weighted ``log10(k / (c(h) + k))``. Texts are read once, left to right, from the
-state of the end token; every step takes an arc or a failure and then a root arc. Weights out of
-each state sum to one, the unknown word included.
-
-Scale. The model is never held whole. Documents are dealt into blocks by hash; a block sends the
-hashes of its distinct words and bigrams with its own training counts to the counting tasks, one
-per hash range, which add them up over all blocks and answer each block with the totals of just
-what it asked for. The block builds the part of the automaton that its own texts can reach, so
-memory follows the block and not the corpus, and what is exchanged grows with the input. Words
-and bigrams are told apart by 64-bit hashes.
+The model is a trigram model learned from the training documents. Every order is smoothed by the next
+lower one: ``P(w | u v) = (c(u v w) + k3 P(w | v)) / (c(u v) + k3)``, ``P(w | v) = (c(v w) + k2 P(w)) /
+(c(v) + k2)``, ``P(w) = (c(w) + 1) / (N + V + 1)``. As an automaton: a root state, a state per known word
+(the last word read) and a state per seen pair (the last two). A seen n-gram is an arc, weighted by its
+log-probability, that leads to the state of its last two words. Failure arcs lead from a pair to its second
+word, ``log10(k3 / (c(u v) + k3))``, and from a word to the root, ``log10(k2 / (c(v) + k2))``. A text is read
+once, left to right, from the state of the end token; every step falls along failure arcs until the state has
+an arc for the token, takes it, and hands the state it leads to on to the next step. Weights out of each state
+sum to one, the unknown word included.
+
+Scale. The model is never held whole. Documents are dealt into blocks; a block sends the hashes of its
+distinct words, pairs and triples with its own training counts to the counting tasks, one per hash range,
+which add them up over all blocks and answer each block with the totals of just what it asked for. The block
+builds the part of the automaton that its own texts can reach, so memory follows the block and not the
+corpus, and what is exchanged grows with the input. Rows are dealt by their place in the table, so repeated
+rows spread over all blocks. ``docs`` is read more than once and has to come in the same order each time, as a
+stored table does; write any other frame first.
+
+Words are told apart by 64-bit hashes: among V distinct words about V**2 / 2**65 pairs share one (under 1 for
+4 billion words). Pairs and triples are told apart by as many bytes of a 64-bit hash as leave a chance below
+one in 2**20 that an n-gram shares its hash with any other (``key_bytes``); its count is then too high.
 
 Defined results: a null or empty text is the end token alone; a null ``doc_id`` counts as the
 empty string for the split; repeated rows count and are scored as often as they occur; with no
@@ -29,11 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrisk.llm.common import chunks, index_words, map_arrow, merge_counts, sum_by_text
+from tallyrisk.llm.common import chunks, index_words, map_arrow, merge_counts
 
 BLOCK_BYTES = 16 << 20    # text per block; one longer text is a block's largest part
+RANGE_BYTES = 32 << 20    # text per hash range of the counting tasks
 MIN_BLOCKS = 64
-BACKOFF = 300.0           # k: pseudo-count a state gives to the root (best on held-out text)
+BACKOFF = (300.0, 5.0)    # k2, k3: pseudo-counts a word and a pair state give to their failure arc (best on held-out text)
 PENDING_WORDS = 400_000   # distinct words a counting task holds before it passes them on
 END_HASH = xxhash.xxh64_intdigest(b"\n")   # no word holds a line feed
 
@@ -82,6 +90,28 @@ def unpack_counts(data: bytes) -> np.ndarray:
     return _unplanes(data[1:], np.dtype(f"u{data[0]}")).astype(np.int64)
 
 
+def key_bytes(tokens: int) -> int:
+    """Bytes of the hash that pairs and triples travel with: at least 20 bits more than the tokens need."""
+    return min(8, -(-(max(tokens, 1 << 28).bit_length() - 1 + 20) // 8))
+
+
+def _mix(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the sequences a b, of which the upper ``size`` bytes are left."""
+    h = a * np.uint64(0x9E3779B97F4A7C15) + b
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h >> np.uint64(64 - 8 * size) << np.uint64(64 - 8 * size)
+
+
+def _by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts the keys, and each key's place in it."""
+    order = np.argsort(keys, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return order, place
+
+
 def with_training_flag(docs: DataFrame) -> DataFrame:
     """doc_id, text, held_out: whether crc32 of the id as text leaves 2 modulo 7."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -130,65 +160,75 @@ def vocabulary_totals(docs: DataFrame, buckets: int) -> tuple[int, int]:
 
 
 class Block:
-    """Tokens of a block's texts: distinct words and bigrams, by sorted hash."""
+    """Tokens of a block's texts: distinct words, pairs and triples, by sorted hash. A triple is a pair
+    and the word after it; the first token of a text ends no triple (``triple`` is -1 there)."""
 
-    def __init__(self, texts: list[str | None], held_out: list[bool]):
+    def __init__(self, texts: list[str | None], held_out: list[bool], size: int = 8):
         words, ids, offsets = index_words(texts, lower=True)
         end = len(words)
         self.n_tokens = np.diff(offsets) + 1
         self.offsets = np.concatenate([[0], np.cumsum(self.n_tokens)])
-        ends = self.offsets[1:] - 1
         self.tokens = np.full(int(self.offsets[-1]), end, np.int64)
         inner = np.ones(len(self.tokens), bool)
-        inner[ends] = False
+        inner[self.offsets[1:] - 1] = False
         self.tokens[inner] = ids
-        self.before = np.empty_like(self.tokens)
-        self.before[1:] = self.tokens[:-1]
-        if len(self.tokens):
-            self.before[0] = end          # texts start from the state of the end token
         trained = np.repeat(~np.array(held_out, bool), self.n_tokens)
         hashes = _word_hashes(words)
-        order = np.argsort(hashes, kind="stable")
-        self.word_keys = hashes[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.tokens, self.before = place[self.tokens], place[self.before]
+        order, place = _by_key(hashes)
+        self.word_keys, self.end = hashes[order], int(place[end])
+        self.tokens = place[self.tokens]
         self.word_train = np.bincount(self.tokens, trained, len(hashes)).astype(np.uint32)
-        pairs, at = np.unique(self.before * len(hashes) + self.tokens, return_inverse=True)
-        self.pair_before, self.pair_word = pairs // len(hashes), pairs % len(hashes)
-        h = self.word_keys[self.pair_before] * np.uint64(0x9E3779B97F4A7C15) + self.word_keys[self.pair_word]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        order = np.argsort(h, kind="stable")
-        self.pair_keys = h[order]
-        self.pair_before, self.pair_word = self.pair_before[order], self.pair_word[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+
+        before = np.concatenate([[self.end], self.tokens[:-1]])[:len(self.tokens)]   # texts start from the end token
+        pairs, at = np.unique(before * len(hashes) + self.tokens, return_inverse=True)
+        first, second = pairs // len(hashes), pairs % len(hashes)
+        keys = _mix(self.word_keys[first], self.word_keys[second], size)
+        order, place = _by_key(keys)
+        self.pair_keys, self.pair_before, self.pair_word = keys[order], first[order], second[order]
         self.pair = place[at]
         self.pair_train = np.bincount(self.pair, trained, len(pairs)).astype(np.uint32)
 
+        self.triple = np.full(len(self.tokens), -1, np.int64)
+        later = np.ones(len(self.tokens), bool)
+        later[self.offsets[:-1]] = False
+        later = np.flatnonzero(later)
+        triples, at = np.unique(self.pair[later - 1] * len(hashes) + self.tokens[later], return_inverse=True)
+        first, second = triples // len(hashes), triples % len(hashes)
+        keys = _mix(self.pair_keys[first] ^ np.uint64(0xA5A5A5A5A5A5A5A5), self.word_keys[second], size)
+        order, place = _by_key(keys)
+        self.triple_keys, self.triple_before = keys[order], first[order]
+        self.triple[later] = place[at]
+        self.triple_train = np.bincount(self.triple[later], trained[later], len(triples)).astype(np.uint32)
+        tail = np.zeros(len(triples), np.int64)           # the pair a triple ends with
+        tail[self.triple[later]] = self.pair[later]
+        self.triple_tail = tail
 
-def _request(buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        b = Block(table.column("text").to_pylist(), table.column("held_out").to_pylist())
-        wc, pc = _slices(b.word_keys, buckets), _slices(b.pair_keys, buckets)
-        live = np.flatnonzero(np.diff(wc) + np.diff(pc))
 
-        def cut(x, at, pack):
-            return pa.array([pack(x[at[i]:at[i + 1]]) for i in live], pa.binary())
+KINDS = ("word", "pair", "triple")
+CELL = "".join(f", {k}_keys binary, {k}_n binary" for k in KINDS)
+ANSWER = "".join(f", {k}_n binary" for k in KINDS)
+
+
+def _request(buckets: int, size: int):
+    def run(table: pa.Table) -> pa.Table:
+        b = Block(table.column("text").to_pylist(), table.column("held_out").to_pylist(), size)
+        cuts = {k: _slices(getattr(b, f"{k}_keys"), buckets) for k in KINDS}
+        live = np.flatnonzero(sum(np.diff(c) for c in cuts.values()))
         block = table.column("block")[0].as_py()
-        return pa.table({"bucket": pa.array(live.astype(np.int32)), "block": pa.array([block] * len(live), pa.int32()),
-                         "wk": cut(b.word_keys, wc, pack_keys), "wn": cut(b.word_train, wc, pack_counts),
-                         "pk": cut(b.pair_keys, pc, pack_keys), "pn": cut(b.pair_train, pc, pack_counts)})
+        out = {"bucket": pa.array(live.astype(np.int32)), "block": pa.array([block] * len(live), pa.int32())}
+        for k, c in cuts.items():
+            for name, x, pack in ((f"{k}_keys", getattr(b, f"{k}_keys"), pack_keys),
+                                  (f"{k}_n", getattr(b, f"{k}_train"), pack_counts)):
+                out[name] = pa.array([pack(x[c[i]:c[i + 1]]) for i in live], pa.binary())
+        return pa.table(out)
     return run
 
 
 def _count(table: pa.Table) -> pa.Table:
     """Totals over all blocks of one hash range, sent back in the order of each request."""
-    def totals(keys: str, counts: str):
-        parts = [unpack_keys(x) for x in table.column(keys).to_pylist()]
-        n = np.concatenate([unpack_counts(x) for x in table.column(counts).to_pylist()])
+    def totals(kind: str):
+        parts = [unpack_keys(x) for x in table.column(f"{kind}_keys").to_pylist()]
+        n = np.concatenate([unpack_counts(x) for x in table.column(f"{kind}_n").to_pylist()])
         _, at = np.unique(np.concatenate(parts), return_inverse=True)
         every = np.bincount(at, n) if len(at) else np.zeros(0)
         out, lo = [], 0
@@ -197,67 +237,99 @@ def _count(table: pa.Table) -> pa.Table:
             lo += len(p)
         return pa.array(out, pa.binary())
     return pa.table({"block": table.column("block").combine_chunks(), "bucket": table.column("bucket").combine_chunks(),
-                     "wn": totals("wk", "wn"), "pn": totals("pk", "pn")})
+                     **{f"{k}_n": totals(k) for k in KINDS}})
 
 
 class BackoffAutomaton:
-    """The states and arcs a block can reach; word 0..n-1 has state word + 1, the root is state 0."""
-
-    def __init__(self, block: Block, words: np.ndarray, pairs: np.ndarray, n: int, v: int, backoff: float):
-        self.block = block
-        p = (words + 1.0) / (n + v + 1.0)
-        self.root_arc = np.log10(p)
-        self.known = words > 0
-        self.state = np.where(self.known, np.arange(len(words)) + 1, 0)
-        self.failure = np.concatenate([[0.0], np.log10(backoff / (words + backoff))])   # root never fails
-        h, w = block.pair_before, block.pair_word
-        self.has_arc = pairs > 0
-        self.arc = np.log10((pairs + backoff * p[w]) / (words[h] + backoff))
-
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probabilities of each text and its known tokens. The state before a token is that of
-        the token before it, so the steps of all texts are taken together, in text order."""
+    """The states and arcs that a block can reach. With n words, state 0 is the root, 1 + w the word w and
+    1 + n + p the pair p. ``level`` arrays are by order: 0 the root's arcs, 1 a word's, 2 a pair's."""
+
+    def __init__(self, block: Block, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, n: int, v: int,
+                 backoff: tuple[float, float]):
+        b, (k2, k3), size = block, backoff, len(words)
+        self.block, self.known = block, words > 0
+        one = (words + 1.0) / (n + v + 1.0)
+        two = (pairs + k2 * one[b.pair_word]) / (words[b.pair_before] + k2)
+        three = (triples + k3 * two[b.triple_tail]) / (pairs[b.triple_before] + k3)
+        self.has_arc = [np.ones(size, bool), pairs > 0, triples > 0]
+        self.arc = [np.log10(one), np.log10(two), np.log10(three)]
+        self.failure = np.concatenate([[0.0], np.log10(k2 / (words + k2)), np.log10(k3 / (pairs + k3))])
+        word_state = np.where(self.known, np.arange(size) + 1, 0)
+        self.fails_to = np.concatenate([[0], np.zeros(size, np.int64), word_state[b.pair_word]])
+        # Where an arc leads: the longest seen ending of what has been read.
+        self.leads_to = np.where(pairs > 0, np.arange(len(pairs)) + 1 + size, word_state[b.pair_word])
+        self.start, self.first_pair = int(word_state[b.end]), 1 + size
+
+    def states(self) -> np.ndarray:
+        """The state before each token: where the step before has led, or the start at a text's first token."""
         b = self.block
-        state = self.state[b.before]
-        taken = self.has_arc[b.pair]
-        weight = np.where(taken, self.arc[b.pair], self.failure[state] + self.root_arc[b.tokens])
-        return sum_by_text(weight, b.offsets), sum_by_text(self.known[b.tokens].astype(float), b.offsets)
-
-
-def _score(n: int, v: int, backoff: float):
+        state = np.empty(len(b.tokens), np.int64)
+        state[1:] = self.leads_to[b.pair[:-1]]
+        state[b.offsets[:-1]] = self.start
+        return state
+
+    def read(self) -> np.ndarray:
+        """Weight of every token. States hand on from token to token; each pass falls one failure arc
+        further with all tokens that have no arc yet."""
+        b = self.block
+        state, weight = self.states(), np.zeros(len(b.tokens))
+        todo = np.arange(len(b.tokens))
+        while len(todo):
+            at = state[todo]
+            level = (at > 0).astype(np.int8) + (at >= self.first_pair)
+            rest = []
+            for order, arcs in enumerate((b.tokens, b.pair, b.triple)):
+                here = todo[level == order]
+                arc = arcs[here]
+                takes = self.has_arc[order][arc]
+                weight[here[takes]] += self.arc[order][arc[takes]]
+                rest.append(here[~takes])
+            todo = np.concatenate(rest)
+            weight[todo] += self.failure[state[todo]]
+            state[todo] = self.fails_to[state[todo]]
+        return weight
+
+
+def _by_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of each text's own tokens (there is always one), whatever texts stand beside it."""
+    return np.add.reduceat(values, offsets[:-1])
+
+
+def _score(n: int, v: int, backoff: tuple[float, float], size: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        b = Block(docs.column("text").to_pylist(), docs.column("held_out").to_pylist())
+        b = Block(docs.column("text").to_pylist(), docs.column("held_out").to_pylist(), size)
         order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
 
-        def gather(name, size):
-            got = answers.column(name).to_pylist()
+        def gather(kind):
+            got = answers.column(f"{kind}_n").to_pylist()
             x = np.concatenate([unpack_counts(got[i]) for i in order]) if got else np.zeros(0, int)
-            if len(x) != size:
+            if len(x) != len(getattr(b, f"{kind}_keys")):
                 raise ValueError("a block's answers do not match its request")
             return x
-        words, pairs = gather("wn", len(b.word_keys)), gather("pn", len(b.pair_keys))
-        lm = BackoffAutomaton(b, words, pairs, n, v, backoff)
-        score, known = lm.read()
-        base = sum_by_text(lm.root_arc[b.tokens], b.offsets)
+        lm = BackoffAutomaton(b, *(gather(k) for k in KINDS), n, v, backoff)
         return pa.table({
             "doc_id": docs.column("doc_id").combine_chunks(), "held_out": docs.column("held_out").combine_chunks(),
-            "n_tokens": pa.array(b.n_tokens.astype(np.int64)), "n_known": pa.array(known.astype(np.int64)),
+            "n_tokens": pa.array(b.n_tokens.astype(np.int64)),
+            "n_known": pa.array(_by_text(lm.known[b.tokens].astype(np.int64), b.offsets)),
             "train_tokens": pa.array(np.full(docs.num_rows, n, np.int64)),
-            "base_score": pa.array(base), "score": pa.array(score)})
+            "base_score": pa.array(_by_text(lm.arc[0][b.tokens], b.offsets)),
+            "score": pa.array(_by_text(lm.read(), b.offsets))})
     return run
 
 
-def score_documents(docs: DataFrame, backoff: float = BACKOFF, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, backoff: tuple[float, float] = BACKOFF, block_bytes: int = BLOCK_BYTES,
+                    range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
-    blocks = max(MIN_BLOCKS, -(-int(size) // block_bytes))
+    bytes_ = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
+    blocks = max(MIN_BLOCKS, -(-int(bytes_) // block_bytes))
+    ranges = max(MIN_BLOCKS, -(-int(bytes_) // range_bytes))
     src = with_training_flag(docs)
-    n, v = vocabulary_totals(src, blocks)
+    n, v = vocabulary_totals(src, ranges)
+    size = key_bytes(n)
     kind = dict(src.dtypes)["doc_id"]
-    src = src.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    asked = src.groupBy("block").applyInArrow(
-        _request(blocks), "bucket int, block int, wk binary, wn binary, pk binary, pn binary")
-    answers = asked.groupBy("bucket").applyInArrow(_count, "block int, bucket int, wn binary, pn binary")
+    src = src.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    asked = src.groupBy("block").applyInArrow(_request(ranges, size), "bucket int, block int" + CELL)
+    answers = asked.groupBy("bucket").applyInArrow(_count, "block int, bucket int" + ANSWER)
     return src.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(n, v, backoff), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
-                               "train_tokens long, base_score double, score double")
+        _score(n, v, backoff, size), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
+                                     "train_tokens long, base_score double, score double")
