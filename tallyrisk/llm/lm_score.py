@@ -38,9 +38,10 @@ from pyspark.sql import functions as F
 
 from tallyrisk.llm.common import chunks, index_words, map_arrow, merge_counts
 
-BLOCK_BYTES = 16 << 20    # text per block; one longer text is a block's largest part
+BLOCK_BYTES = 8 << 20     # text per block; one longer text is a block's largest part
 RANGE_BYTES = 32 << 20    # text per hash range of the counting tasks
 MIN_BLOCKS = 64
+STEP_TOKENS = 1 << 18     # tokens whose steps are taken together
 BACKOFF = (300.0, 5.0)    # k2, k3: pseudo-counts a word and a pair state give to their failure arc (best on held-out text)
 PENDING_WORDS = 400_000   # distinct words a counting task holds before it passes them on
 END_HASH = xxhash.xxh64_intdigest(b"\n")   # no word holds a line feed
@@ -104,12 +105,15 @@ def _mix(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return h >> np.uint64(64 - 8 * size) << np.uint64(64 - 8 * size)
 
 
-def _by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that sorts the keys, and each key's place in it."""
-    order = np.argsort(keys, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return order, place
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, each key's place among them, and one position of each."""
+    order = np.argsort(keys)
+    run = keys[order]
+    first = np.ones(len(run), bool)
+    np.not_equal(run[1:], run[:-1], out=first[1:])
+    place = np.empty(len(run), np.int32)
+    place[order] = np.cumsum(first, dtype=np.int32) - 1
+    return run[first], place, order[first]
 
 
 def with_training_flag(docs: DataFrame) -> DataFrame:
@@ -165,43 +169,32 @@ class Block:
 
     def __init__(self, texts: list[str | None], held_out: list[bool], size: int = 8):
         words, ids, offsets = index_words(texts, lower=True)
-        end = len(words)
         self.n_tokens = np.diff(offsets) + 1
         self.offsets = np.concatenate([[0], np.cumsum(self.n_tokens)])
-        self.tokens = np.full(int(self.offsets[-1]), end, np.int64)
-        inner = np.ones(len(self.tokens), bool)
-        inner[self.offsets[1:] - 1] = False
-        self.tokens[inner] = ids
+        first = np.zeros(int(self.offsets[-1]), bool)
+        first[self.offsets[:-1]] = True
+        self.word_keys, place, _ = _distinct(_word_hashes(words))
+        self.end = int(place[-1])
+        self.tokens = np.full(len(first), self.end, np.int32)
+        self.tokens[~np.append(first[1:], True)[:len(first)]] = place[ids]
+        del words, ids
         trained = np.repeat(~np.array(held_out, bool), self.n_tokens)
-        hashes = _word_hashes(words)
-        order, place = _by_key(hashes)
-        self.word_keys, self.end = hashes[order], int(place[end])
-        self.tokens = place[self.tokens]
-        self.word_train = np.bincount(self.tokens, trained, len(hashes)).astype(np.uint32)
-
-        before = np.concatenate([[self.end], self.tokens[:-1]])[:len(self.tokens)]   # texts start from the end token
-        pairs, at = np.unique(before * len(hashes) + self.tokens, return_inverse=True)
-        first, second = pairs // len(hashes), pairs % len(hashes)
-        keys = _mix(self.word_keys[first], self.word_keys[second], size)
-        order, place = _by_key(keys)
-        self.pair_keys, self.pair_before, self.pair_word = keys[order], first[order], second[order]
-        self.pair = place[at]
-        self.pair_train = np.bincount(self.pair, trained, len(pairs)).astype(np.uint32)
-
-        self.triple = np.full(len(self.tokens), -1, np.int64)
-        later = np.ones(len(self.tokens), bool)
-        later[self.offsets[:-1]] = False
-        later = np.flatnonzero(later)
-        triples, at = np.unique(self.pair[later - 1] * len(hashes) + self.tokens[later], return_inverse=True)
-        first, second = triples // len(hashes), triples % len(hashes)
-        keys = _mix(self.pair_keys[first] ^ np.uint64(0xA5A5A5A5A5A5A5A5), self.word_keys[second], size)
-        order, place = _by_key(keys)
-        self.triple_keys, self.triple_before = keys[order], first[order]
-        self.triple[later] = place[at]
-        self.triple_train = np.bincount(self.triple[later], trained[later], len(triples)).astype(np.uint32)
-        tail = np.zeros(len(triples), np.int64)           # the pair a triple ends with
-        tail[self.triple[later]] = self.pair[later]
-        self.triple_tail = tail
+        self.word_train = np.bincount(self.tokens, trained, len(self.word_keys)).astype(np.uint32)
+
+        before = np.append(np.int32(self.end), self.tokens[:-1])[:len(first)]   # texts start from the end token
+        self.pair_keys, self.pair, at = _distinct(_mix(self.word_keys[before], self.word_keys[self.tokens], size))
+        self.pair_before, self.pair_word = before[at], self.tokens[at]
+        self.pair_train = np.bincount(self.pair, trained, len(at)).astype(np.uint32)
+        del before
+
+        later = np.flatnonzero(~first)
+        self.triple_keys, place, at = _distinct(_mix(
+            self.pair_keys[self.pair[later - 1]] ^ np.uint64(0xA5A5A5A5A5A5A5A5), self.word_keys[self.tokens[later]], size))
+        at = later[at]
+        self.triple = np.full(len(first), -1, np.int32)
+        self.triple[later] = place
+        self.triple_before, self.triple_tail = self.pair[at - 1], self.pair[at]   # the pairs it starts and ends with
+        self.triple_train = np.bincount(place, trained[later], len(at)).astype(np.uint32)
 
 
 KINDS = ("word", "pair", "triple")
@@ -254,39 +247,39 @@ class BackoffAutomaton:
         self.has_arc = [np.ones(size, bool), pairs > 0, triples > 0]
         self.arc = [np.log10(one), np.log10(two), np.log10(three)]
         self.failure = np.concatenate([[0.0], np.log10(k2 / (words + k2)), np.log10(k3 / (pairs + k3))])
-        word_state = np.where(self.known, np.arange(size) + 1, 0)
-        self.fails_to = np.concatenate([[0], np.zeros(size, np.int64), word_state[b.pair_word]])
+        word_state = np.where(self.known, np.arange(size) + 1, 0).astype(np.int32)
+        self.fails_to = np.concatenate([np.zeros(1 + size, np.int32), word_state[b.pair_word]])
         # Where an arc leads: the longest seen ending of what has been read.
-        self.leads_to = np.where(pairs > 0, np.arange(len(pairs)) + 1 + size, word_state[b.pair_word])
+        self.leads_to = np.where(pairs > 0, np.arange(len(pairs), dtype=np.int32) + 1 + size, word_state[b.pair_word])
         self.start, self.first_pair = int(word_state[b.end]), 1 + size
 
     def states(self) -> np.ndarray:
         """The state before each token: where the step before has led, or the start at a text's first token."""
         b = self.block
-        state = np.empty(len(b.tokens), np.int64)
+        state = np.empty(len(b.tokens), np.int32)
         state[1:] = self.leads_to[b.pair[:-1]]
         state[b.offsets[:-1]] = self.start
         return state
 
     def read(self) -> np.ndarray:
-        """Weight of every token. States hand on from token to token; each pass falls one failure arc
-        further with all tokens that have no arc yet."""
+        """Weight of every token, from left to right in slices: each pass falls one failure arc further
+        with all tokens whose state has no arc for them."""
         b = self.block
         state, weight = self.states(), np.zeros(len(b.tokens))
-        todo = np.arange(len(b.tokens))
-        while len(todo):
-            at = state[todo]
-            level = (at > 0).astype(np.int8) + (at >= self.first_pair)
-            rest = []
-            for order, arcs in enumerate((b.tokens, b.pair, b.triple)):
-                here = todo[level == order]
-                arc = arcs[here]
-                takes = self.has_arc[order][arc]
-                weight[here[takes]] += self.arc[order][arc[takes]]
-                rest.append(here[~takes])
-            todo = np.concatenate(rest)
-            weight[todo] += self.failure[state[todo]]
-            state[todo] = self.fails_to[state[todo]]
+        for lo in range(0, len(b.tokens), STEP_TOKENS):
+            todo = np.arange(lo, min(lo + STEP_TOKENS, len(b.tokens)))
+            while len(todo):
+                at, rest = state[todo], []
+                level = (at > 0).astype(np.int8) + (at >= self.first_pair)
+                for order, arcs in enumerate((b.tokens, b.pair, b.triple)):
+                    here = todo[level == order]
+                    arc = arcs[here]
+                    takes = self.has_arc[order][arc]
+                    weight[here[takes]] += self.arc[order][arc[takes]]
+                    rest.append(here[~takes])
+                todo = np.concatenate(rest)
+                weight[todo] += self.failure[state[todo]]
+                state[todo] = self.fails_to[state[todo]]
         return weight
 
 
