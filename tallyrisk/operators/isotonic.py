@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, ship_package
-from .ranking import attach, rows_up_to, with_range
+from ..session import scratch_path, ship_package
+from .ranking import attach, with_range
 
 ROWS_PER_RANGE = 500_000       # points or blocks that one task pools (about)
 BLOCKS_PER_ARRAY = 4096        # blocks of a range that a row searches (about)
@@ -38,6 +38,13 @@ def pool_adjacent(lo: np.ndarray, hi: np.ndarray, s: np.ndarray, w: np.ndarray)
     return out
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder (a checkpoint would compute it twice)."""
+    path = scratch_path(df.sparkSession, "isotonic")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _pool(table: pa.Table) -> pa.Table:
     table = table.sort_by("lo")
     names = ("lo", "hi", "s", "w")
@@ -70,18 +77,17 @@ def isotonic_blocks(df: DataFrame, x: str, y: str, weight: str | None = None,
     if rows_per_range < 8:
         raise ValueError("a range holds at least 8 points")   # cuts of two rounds in turn must differ
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     ship_package(spark)
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     rows = df.select(F.col(x).cast("double").alias("lo"), F.col(y).cast("double").alias("_y"), w.alias("_w"))
     rows = rows.where(F.col("lo").isNotNull() & F.col("_y").isNotNull() & (F.col("_w") > 0)
                       & ~F.isnan("lo") & ~F.isnan("_y") & ~F.isnan("_w"))
-    points = rows.groupBy("lo").agg(F.sum(F.col("_y") * F.col("_w")).alias("s"), F.sum("_w").alias("w")).select(
-        "lo", F.col("lo").alias("hi"), "s", "w").checkpoint()
+    points = _stored(rows.groupBy("lo").agg(F.sum(F.col("_y") * F.col("_w")).alias("s"), F.sum("_w").alias("w")).select(
+        "lo", F.col("lo").alias("hi"), "s", "w"))
     shift, block = 0.0, F.struct("lo", "hi", "s", "w")
     while True:
         ranges = max(1, -(-points.count() // rows_per_range))
-        pooled = _cut(points, ranges, shift).groupBy("_range").applyInArrow(_pool, BLOCK_SCHEMA).checkpoint()
+        pooled = _stored(_cut(points, ranges, shift).groupBy("_range").applyInArrow(_pool, BLOCK_SCHEMA))
         points = pooled.drop("_range")
         if ranges == 1:
             return points
@@ -108,12 +114,12 @@ def isotonic_map(blocks: DataFrame, per_array: int = BLOCKS_PER_ARRAY, max_broad
     table = _cut(blocks, ranges, 0.0).groupBy("_range").agg(F.array_sort(F.collect_list(item)).alias("_blocks"))
     table = _with_next(table.withColumn("first", F.get("_blocks", F.lit(0)))).select(
         "_range", F.col("next").alias("_next"), "_blocks", F.transform("_blocks", lambda b: b["lo"]).alias("_lows"))
-    table = table.checkpoint()
+    table = _stored(table)
     longest = table.agg(F.max(F.size("_lows")).alias("n")).first()["n"] or 0
     # Starts of all ranges but the first: as many as there are ranges.
     starts = [(r["_range"], r["lo"]) for r in table.select("_range", F.get("_lows", F.lit(0)).alias("lo")).collect()]
     starts.sort(key=lambda r: r[1])
-    few = rows_up_to(blocks, max_broadcast) <= max_broadcast
+    few = n <= max_broadcast
 
     def apply(df: DataFrame, x: str, out: str) -> DataFrame:
         if not starts:

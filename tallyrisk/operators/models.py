@@ -15,6 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,12 +145,22 @@ def calibrate(model: PipelineModel, val: DataFrame, features: list[str], label_c
               method: str = "isotonic"):
     """L-8: a mapping from the base score to a calibrated probability, fitted on ``val``.
 
-    ``isotonic`` — isotonic regression on the score, pooled by ranges; ``sigmoid`` — Platt
+    ``isotonic`` — weighted isotonic regression on the score; ``isotonic_ranges`` — the same fit
+    pooled by ranges, whose blocks never meet on the driver; ``sigmoid`` — Platt
     scaling, a one-feature logistic regression on the log-odds. Returns a function
     ``DataFrame(with pd) → DataFrame(with pd_cal)``; the base model is untouched.
     """
     scored = predict_pd(model, val, features)
     if method == "isotonic":
+        # One weighted row per distinct score carries all that the fit needs.
+        rows = scored.groupBy("pd").agg(F.avg(F.col(label_col).cast("double")).alias(label_col),
+                                        F.count(F.lit(1)).cast("double").alias("w"))
+        iso = IsotonicRegression(featuresCol="pd", labelCol=label_col, weightCol="w", predictionCol="pd_cal").fit(rows)
+
+        def apply(df: DataFrame) -> DataFrame:
+            return iso.transform(df)
+        return apply
+    if method == "isotonic_ranges":
         fitted = isotonic_map(isotonic_blocks(scored, "pd", label_col))
 
         def apply(df: DataFrame) -> DataFrame:
