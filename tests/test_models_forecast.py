@@ -60,7 +60,7 @@ def test_permutation_importance(train, logreg):
     assert all(r.importance is None for r in ML.permutation_importance(logreg, one_class, FEATURES).collect())
 
 
-@pytest.mark.parametrize("method", ["isotonic", "sigmoid"])
+@pytest.mark.parametrize("method", ["isotonic", "isotonic_ranges", "sigmoid"])
 def test_calibration_is_monotone_and_leaves_the_score(train, logreg, method):
     scored = ML.predict_pd(logreg, train, FEATURES).select("id", "pd", "label")
     rows = sorted((r.pd, r.pd_cal) for r in ML.calibrate(logreg, train, FEATURES, method=method)(scored).collect())
