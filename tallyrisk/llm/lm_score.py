@@ -42,7 +42,7 @@ BLOCK_BYTES = 8 << 20     # text per block; one longer text is a block's largest
 RANGE_BYTES = 32 << 20    # text per hash range of the counting tasks
 MIN_BLOCKS = 64
 STEP_TOKENS = 1 << 18     # tokens whose steps are taken together
-BACKOFF = (300.0, 5.0)    # k2, k3: pseudo-counts a word and a pair state give to their failure arc (best on held-out text)
+BACKOFF = (300.0, 5.0)    # k2, k3: pseudo-counts a word and a pair state give to their failure arc (see README)
 PENDING_WORDS = 400_000   # distinct words a counting task holds before it passes them on
 END_HASH = xxhash.xxh64_intdigest(b"\n")   # no word holds a line feed
 
