@@ -174,3 +174,21 @@ def test_model_keys():
 def test_missing_column_is_an_error(train):
     with pytest.raises(Exception):
         ML.fit_trees(train.drop("a"), FEATURES, B.Params(rounds=1)).transform(train.select(F.lit(1))).count()
+
+
+def test_only_the_smaller_children_are_added_up():
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, B.BINS, (500, 4)).astype(np.uint8)
+    g, h = (rng.integers(-9, 9, 500) * 1.0, rng.integers(1, 9, 500) * 1.0)
+    part = B.Sample(bins, np.array([0, 2, 3]), g, h)
+    assert part.cell.nbytes == 500 * 3        # a byte a cell, whatever the sums
+    parents = np.array([1, 2])
+    node = np.where(bins[:, 0] < 40, np.where(bins[:, 1] < 9, 3, 4), 2)   # node 2 is a leaf
+    above = part.histograms(np.where(node == 2, 1, 0), 2)
+    added = []
+    part.histograms, whole = (lambda slot, n: added.append((slot >= 0).sum()) or whole(slot, n)), part.histograms
+    got = part.children(node, np.array([3, 4]), parents, above)
+    assert added == [min((node == 3).sum(), (node == 4).sum())]
+    assert np.array_equal(got, whole(np.where(node == 2, -1, node - 3), 2))
+    totals = part.totals(np.where(node == 2, -1, node - 3), 2)
+    assert np.array_equal(totals.sum(axis=2)[:, 0], got[:, 0].sum(axis=1))
