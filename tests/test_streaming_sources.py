@@ -187,3 +187,19 @@ def test_first_row_in_file_order(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert got == {("2031Q1", k): v for k, v in first.items()} | {("2031Q2", k): v for k, v in last.items()}
+
+
+def test_quarter_of_is_found_once_per_row_without_needless_regexes(spark):
+    from pyspark.sql import functions as F
+
+    from tallyrisk.sources import tape as TP
+
+    rows = [("historical_data_2019q3.txt", "/a/2001Q1/historical_data_2019q3.txt", "2019Q3"),
+            ("part-0.c000.csv", "/a/quarter=1996Q2/part-0.c000.csv", "1996Q2"),
+            ("quick.tar.gz", "/aq/Q5/quick.tar.gz", "QUICK.TAR"), ("plain", "/b/plain", "PLAIN"),
+            ("1999Q12000Q2.txt", "/b/1999Q12000Q2.txt", "1999Q1"), (".hidden", "/b/.hidden", ""), (None, "/1998Q4", "1998Q4")]
+    df = spark.createDataFrame(rows, "_file_name string, _file string, want string")
+    got = df.select(TP.quarter_of().alias("quarter"), "want").collect()
+    assert [r.quarter for r in got] == [r.want for r in got]
+    plan = df.select(TP.quarter_of())._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" in plan and "regexp_replace" not in plan
