@@ -187,3 +187,45 @@ def test_small_class_gets_the_pooled_bands(spark, corpus):
     docs = spark.createDataFrame([*corpus, *junk], SCHEMA)
     kept = {r.doc_id: r.kept for r in Q.quality_report(docs).collect()}
     assert not any(kept[300 + i] for i in range(3)) and all(kept[i] for i in range(60))
+
+
+def test_every_character_is_its_own_symbol():
+    every = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
+    for characters, most in ((every[:300], 15), (every, 15), (every[:300], 6)):
+        alphabet = Q.Alphabet(characters, most)
+        assert alphabet.bits <= most and alphabet.size <= 1 << alphabet.bits
+        known = np.setdiff1d(characters, [ord(c) for c in Q.SPACES])
+        at = alphabet.symbols(np.insert(known, range(1, len(known) + 1), 10))     # a word edge behind each
+        assert at.max() == alphabet.size - 1
+        spelled = np.split(at, np.flatnonzero(at == 0) + 1)[:-1]
+        assert len({x.tobytes() for x in spelled}) == len(known) and max(map(len, spelled)) <= 3
+
+
+def test_characters_of_two_symbols_keep_the_words_apart():
+    texts = ["abc d efgh d", None, "h", "", "d abc"]
+    alphabet = Q.Alphabet(np.frombuffer("abcdefgh".encode("utf-32-le"), np.uint32), 3)    # 7 symbols for 8 letters
+    words, ids, offsets = Q.index_words(texts)
+    got = Counter()
+    for g in Q.seam_grams(Q.seams(ids, offsets, *Q.word_borders(words, alphabet), alphabet.bits), alphabet.bits):
+        got.update(g.tolist())
+    inner, size, _, _ = Q.word_parts(words, alphabet)
+    for g, w in zip(inner.tolist(), np.repeat(np.arange(len(words)), size)):
+        got[g] += int((ids == w).sum())
+    want = Counter()
+    for t in texts:
+        points = np.frombuffer((t.replace(" ", "\n") + "\n" if t else "").encode("utf-32-le"), np.uint32)
+        s = [0, 0, 0, *alphabet.symbols(points).tolist()]
+        want.update(s[i - 3] << 9 | s[i - 2] << 6 | s[i - 1] << 3 | s[i] for i in range(3, len(s)))
+    assert got == want
+
+
+def test_characters_of_one_class_are_told_apart(spark):
+    """U+4E00 and U+4E20 were one class, as were a capital and its small letter, and e with and without a mark."""
+    rng = random.Random(11)
+    fellow = str.maketrans("一丁丂七et", "丠両丢丣ÉT")
+    texts = [" ".join("".join(rng.choices(["一丁", "丂七", "et"], k=3)) for _ in range(100)) for _ in range(61)]
+    texts[60] = "".join(c.translate(fellow) if rng.random() < 0.5 else c for c in texts[60])
+    docs = spark.createDataFrame([(i, t, "xx", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r for r in Q.quality_report(docs).collect()}
+    assert got[60].log_ppl_letter > 1.2 * max(got[i].log_ppl_letter for i in range(60))
+    assert not got[60].kept and all(got[i].kept for i in range(60))
