@@ -85,9 +85,13 @@ def trend_slope(rolling: DataFrame) -> DataFrame:
 
 def perf_drift(df: DataFrame, label_col: str = "label", score_col: str = "pd",
                period_col: str = "period", window: int = DEFAULT_WINDOW,
-               auc_alert_threshold: float = DEFAULT_AUC_ALERT) -> DataFrame:
-    """M-9: latest AUC, slope, trend and alert (latest AUC below the threshold)."""
-    r = rolling_auc(df, label_col, score_col, period_col, window)
+               auc_alert_threshold: float = DEFAULT_AUC_ALERT, rolling: DataFrame | None = None) -> DataFrame:
+    """M-9: latest AUC, slope, trend and alert (latest AUC below the threshold).
+
+    ``rolling``: the stored result of ``rolling_auc`` where the caller has it; otherwise it is found once and
+    stored (a row per period), as it is read twice."""
+    r = rolling if rolling is not None else rolling_auc(
+        df, label_col, score_col, period_col, window).checkpoint(eager=True)
     lv = latest_valid(r)
     ts = trend_slope(r)
     out = attach(lv, ts)

@@ -278,9 +278,11 @@ def q_summary_markdown(spark, d):
     ref, cur = B.drift_frames(spark, d)
     fd = D.feature_drift(ref, cur, B.DRIFT_FEATURES)
     s = B.scores(spark, d)
-    score = D.score_drift(*_score_frames(spark, d), "pd")
-    return FS.summary_markdown(PD.monitoring_report(fd, score, PD.perf_drift(s)), score=score,
-                               rolling=PD.rolling_auc(s), policy_version="balanced-1")
+    # One row and a row per period: found once, read by the report and by the tables under it.
+    score = D.score_drift(*_score_frames(spark, d), "pd").checkpoint(eager=True)
+    rolling = PD.rolling_auc(s).checkpoint(eager=True)
+    return FS.summary_markdown(PD.monitoring_report(fd, score, PD.perf_drift(s, rolling=rolling)), score=score,
+                               rolling=rolling, policy_version="balanced-1")
 
 
 

@@ -168,7 +168,9 @@ def summary_markdown(report: DataFrame, title: str = "Monitoring summary", score
                      rolling: DataFrame | None = None, policy_version: str | None = None) -> DataFrame:
     """S-17: the consolidated monitoring report (M-11) rendered as one Markdown text row, with the percentiles of
     both sides (``score``: the row of ``score_drift``), the AUC of each window (``rolling``: ``rolling_auc``, a row
-    per period) and the policy version where they are given."""
+    per period) and the policy version where they are given. The report (a row per statistic) is found once and
+    stored, as it is read twice."""
+    report = report.checkpoint(eager=True)
     lines = report.select(F.format_string(
         "| %s | %s | %s | %.6f | %s |", "check", "name", "metric",
         F.coalesce(F.col("value"), F.lit(float("nan"))), "severity").alias("line"),

@@ -34,3 +34,25 @@ def test_every_typed_performance_column_has_a_coercion_rule(spark):
     assert sorted(got[0].violations) == [f"{c}:type" for c in typed] and got[1].violations == []
     report = V.violation_report(df.withColumn("id", F.lit(7).cast("long")), V.PERFORMANCE_RULES, "id")
     assert {r.rule: (r.n_violations, r.first_id) for r in report.collect()} == {f"{c}:type": (1, 7) for c in typed}
+
+
+def test_summary_reads_its_report_once(spark, tmp_path):
+    rows = [("feature_drift", "a", "psi", 0.3, "alert"), ("perf_drift", "auc", "slope", None, "ok")]
+    path = str(tmp_path / "report")
+    spark.createDataFrame(rows, "check string, name string, metric string, value double, severity string").write.parquet(path)
+    out = FS.summary_markdown(spark.read.parquet(path))
+    assert out.inputFiles() == []    # stored: neither the lines nor the alerts go back to the source
+    assert "| feature_drift | a | psi | 0.300000 | alert |" in out.first()["markdown"]
+
+
+def test_performance_drift_takes_a_stored_rolling_auc(spark, tmp_path):
+    from tallyrisk.operators import perf_drift as PD
+
+    path = str(tmp_path / "scores")
+    spark.createDataFrame([(f"2024-0{m}", i / 10, int(i % m == 0)) for m in range(1, 6) for i in range(10)],
+                          "period string, pd double, label int").write.parquet(path)
+    scores = spark.read.parquet(path)
+    own = PD.perf_drift(scores)
+    assert own.inputFiles() == []
+    given = PD.perf_drift(scores, rolling=PD.rolling_auc(scores).checkpoint(eager=True))
+    assert given.collect() == own.collect()
