@@ -18,11 +18,11 @@ from .q_sources import _NORM
 
 def _frozen(ref, features):
     """Reference edges (at most 11 numbers a feature) and shares (feature, bin, ref_share), fixed before the stream."""
-    edges = D.quantile_edges(ref, features)
-    hist = D.histogram(D.two_sides(ref, None, features), edges)
+    edges = {r.feature: list(r.edges) for r in D.quantile_edges(ref, features).collect()}
+    found = ref.sparkSession.createDataFrame(list(edges.items()), "feature string, edges array<double>")
+    hist = D.histogram(D.two_sides(ref, None, features), found)
     share = F.col("rn") / F.sum("rn").over(Window.partitionBy("feature"))    # a row per bin
-    return ({r.feature: list(r.edges) for r in edges.collect()},
-            hist.select("feature", "bin", share.alias("ref_share")).checkpoint(eager=True))
+    return (edges, hist.select("feature", "bin", share.alias("ref_share")).checkpoint(eager=True))
 
 
 def _events_stream(spark, d):
@@ -102,8 +102,8 @@ def q_stream_feature_psi(spark, d):
     ref = lines.where(F.col("ts") < F.lit("1996-01-01").cast("timestamp"))
     edges, shares = _frozen(ref, _LINE_FEATURES)
     landing = scratch_path(spark, "x2-lines")
-    lines.repartition(4).write.parquet(landing)
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    per_trigger = ST.land_files(lines, landing)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", per_trigger).parquet(landing)
     return ST.write_feature_psi(stream, edges, shares, scratch_path(spark, "x2-psi"), scratch_path(spark, "x2-psi-ckpt"),
                                 window="28 days")
 

@@ -33,6 +33,16 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str =
     return stream.sparkSession.read.parquet(sink)
 
 
+def land_files(rows: DataFrame, folder: str, least: int = 4, batches: int = 2) -> int:
+    """Write ``rows`` as the files of a stream, one for each of their partitions (so that every task writes its own
+    and none are shuffled), ``least`` at least; returns the files a trigger takes to read them in ``batches``."""
+    n = rows.rdd.getNumPartitions()
+    if n < least:
+        rows, n = rows.repartition(least), least
+    rows.write.parquet(folder)
+    return -(-n // batches)
+
+
 END = "__end__"   # event type of the end-of-stream marker
 
 

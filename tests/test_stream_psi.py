@@ -46,3 +46,27 @@ def test_replay_and_batch_equality(spark, tmp_path):
         assert got[2] == pytest.approx(want.psi) and got[3] + got[4] == want.n_cur
     late = next(r for r in first if r[0] == dt.datetime(2024, 1, 10) and r[1] == "a")
     assert late[2] is None and late[3:] == (0, 1)
+
+
+def test_landed_files_follow_the_partitions(spark, tmp_path):
+    """Two batches, whatever the number of files: no four tasks write a large table."""
+    for parts, files in ((9, 9), (1, 4)):
+        landing = str(tmp_path / str(parts))
+        assert ST.land_files(spark.range(0, 900, 1, parts), landing) == -(-files // 2)
+        landed = spark.read.parquet(landing)
+        assert len(landed.inputFiles()) == files and landed.count() == 900
+
+
+def test_frozen_edges_and_shares(spark):
+    from tallyrisk.plans.q_streaming import _frozen
+
+    ref = spark.createDataFrame(rows(300, 1), SCHEMA).withColumn("none", F.lit(None).cast("double"))
+    edges, shares = _frozen(ref, ["a", "b", "none"])
+    want = D.quantile_edges(ref, ["a", "b", "none"])
+    assert edges == {r.feature: r.edges for r in want.collect()} and set(edges) == {"a", "b"}
+    hist = D.histogram(D.two_sides(ref, None, ["a", "b", "none"]), want).collect()
+    total = {f: sum(r.rn for r in hist if r.feature == f) for f in edges}
+    assert {(r.feature, r.bin): r.ref_share for r in shares.collect()} == {
+        (r.feature, r.bin): r.rn / total[r.feature] for r in hist}
+    empty, none = _frozen(ref.limit(0), ["a"])
+    assert empty == {} and none.count() == 0
