@@ -19,6 +19,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .boosting import BROADCAST_BYTES, BoostedModel, Params, fit_many, quantile_edges
 from .isotonic import isotonic_blocks, isotonic_map
 from .ranking import attach
@@ -248,6 +249,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
 
     from .metrics import auc
 
+    spark = df.sparkSession
     inputs = model_features or features
     n = df.count()
     nb = max(1, n // bucket_rows)
@@ -262,8 +264,11 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
         return F.struct(F.lit(name).alias("feature"), *[
             F.col(f"_r_{f}" if f == name else f).cast("double").alias(f) for f in inputs])
     rows = rotated.select(label_col, F.inline(F.array(*[variant(x) for x in ["", *features]])))
-    scored = predict_pd(model, rows, inputs).select("feature", "pd", label_col)
-    per = auc(scored, ["feature"], "pd", label_col, max_groups=len(features) + 1)
+    # The curves read the scores several times: every row is scored once, and what the AUC needs of it is stored.
+    path = scratch_path(spark, "permuted-scores")
+    predict_pd(model, rows, inputs).select("feature", "pd", label_col).write.parquet(path)
+    per = auc(spark.read.parquet(path), ["feature"], "pd", label_col,
+              max_groups=len(features) + 1).checkpoint(eager=True)       # a row per feature
     base = per.where("feature = ''").select(F.col("auc").alias("_base"))
     return attach(per.where("feature <> ''"), base).select(
         "feature", (F.col("_base") - F.col("auc")).alias("importance"))

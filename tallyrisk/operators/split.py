@@ -82,14 +82,15 @@ def split_report(split_df: DataFrame, date_col: str, label_col: str | None = Non
 def _below_cut(df: DataFrame, label_col: str, id_col: str, quota: DataFrame, seed: int) -> DataFrame:
     """``df`` with ``_h`` (seeded hash) and ``_in``: among its class's first ``_q`` rows by hash.
 
-    Only the hash at each class's cut is looked up (one row per class); rows are not shuffled.
+    Only the hash at each class's cut is looked up (one row per class, broadcast); rows are not shuffled. A shuffle
+    by the class would leave all rows in one task per class.
     """
     keyed = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
     ranks = cumulative(keyed.select(label_col, "_h", F.lit(1).alias("_c")), [label_col], "_h", ["_c"])
     same = ranks[label_col].eqNullSafe(quota[label_col])
-    cut = ranks.join(quota, same).where(F.col("cum__c") <= F.col("_q")).groupBy(
+    cut = ranks.join(F.broadcast(quota), same).where(F.col("cum__c") <= F.col("_q")).groupBy(
         ranks[label_col].alias("_class")).agg(F.max("_h").alias("_cut"))
-    return keyed.join(cut, keyed[label_col].eqNullSafe(cut["_class"]), "left").withColumn(
+    return keyed.join(F.broadcast(cut), keyed[label_col].eqNullSafe(cut["_class"]), "left").withColumn(
         "_in", F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))).drop("_class", "_cut")
 
 
