@@ -71,7 +71,7 @@ def _landed_combined(spark, d):
     cols = [(slots[i] if i in slots else F.lit(None).cast("string")).alias(f"p{i}")
             for i in range(TP.COMBINED_WIDTH)]
     path = scratch_path(spark, "combined")
-    TP.write_tape(j.select(*cols, "quarter"), [f"p{i}" for i in range(TP.COMBINED_WIDTH)], path, "quarter")
+    TP.write_tape(j.select(*cols, "quarter"), [f"p{i}" for i in range(TP.COMBINED_WIDTH)], path, "quarter", "gzip")
     return path
 
 
@@ -122,7 +122,8 @@ def q_ingest_all(spark, d):
             slots[i] = F.col(c)
     cols = [(slots[i] if i in slots else F.lit(None).cast("string")).alias(f"p{i}")
             for i in range(TP.COMBINED_WIDTH)]
-    TP.write_tape(j.select(*cols), [f"p{i}" for i in range(TP.COMBINED_WIDTH)], path)
+    # 110 columns, most of them empty: as plain text the tape takes about ten times the tables' bytes.
+    TP.write_tape(j.select(*cols), [f"p{i}" for i in range(TP.COMBINED_WIDTH)], path, compression="gzip")
     out = TP.ingest_all(spark, [], [], [path], scratch_path(spark, "ingest-all"))
     return out["performance"].select("loan_sequence_number", "monthly_reporting_period", "current_actual_upb",
                                      "quarter", F.size("violations").alias("n_violations"))

@@ -218,21 +218,26 @@ def ingest_all(spark: SparkSession, orig_paths: list[str], perf_paths: list[str]
         o, p = split_combined_tape(spark, combined_paths, quarters)
         _write_quarters(typed_tape(p, PERFORMANCE_TYPES, PERFORMANCE_RULES, "monthly_reporting_period"),
                         dirs["performance"], overwrite)
-        _write_quarters(typed_tape(o, ORIGINATION_TYPES, ORIGINATION_RULES, "first_payment_date"),
-                        dirs["origination"], overwrite)
+        # Loans come dealt by key, every quarter in every task; a file per task and quarter would be tasks x quarters files.
+        o = typed_tape(o, ORIGINATION_TYPES, ORIGINATION_RULES, "first_payment_date").hint("rebalance", "quarter")
+        _write_quarters(o, dirs["origination"], overwrite)
         found = {k: _produced(spark, v, quarters) for k, v in dirs.items()}
         out = {k: v for k, v in found.items() if v is not None}
     return out
 
 
-def write_tape(df: DataFrame, columns: list[str], out_dir: str, partition_col: str | None = None) -> None:
-    """Write string columns as a headerless pipe-delimited tape (optionally one folder per quarter)."""
+def write_tape(df: DataFrame, columns: list[str], out_dir: str, partition_col: str | None = None,
+               compression: str = "none") -> None:
+    """Write string columns as a headerless pipe-delimited tape (optionally one folder per quarter).
+
+    ``compression`` is a codec of Spark's text writer; a wide tape is mostly separators, but one task reads a whole
+    compressed file, so its writer's tasks should be small."""
     sel = [F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c)
            for c in columns]
     if partition_col:
         sel.append(F.col(partition_col))
     w = df.select(*sel).write.mode("overwrite").options(
-        sep="|", encoding="ISO-8859-1", header="false", quoteAll="false",
+        sep="|", encoding="ISO-8859-1", header="false", quoteAll="false", compression=compression,
         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", emptyValue="")
     if partition_col:
         w = w.partitionBy(partition_col)
