@@ -101,15 +101,16 @@ def read_delimited_tape(spark: SparkSession, paths: str | list[str], columns: li
 
 def quarter_of(file_name_col: str = "_file_name", file_path_col: str = "_file") -> F.Column:
     """S-6: ``\\d{4}Q[1-4]`` (any case, upper-cased) from the file name, else from the path,
-    else the file stem."""
+    else the file stem (a compressed tape's is that of the plain one)."""
     def found(c: F.Column) -> F.Column:      # NULL without a match; no regex where there is no Q at all
         return F.when(c.contains("Q") | c.contains("q"),
                       F.get(F.regexp_extract_all(c, F.lit(QUARTER_PATTERN), F.lit(1)), F.lit(0)))
     name, path = F.col(file_name_col), F.col(file_path_col)
+    name = F.when(name.endswith(".gz"), F.substring(name, F.lit(1), F.length(name) - 3)).otherwise(name)
     suffix = F.substring_index(name, ".", -1)
     stem = F.when(name.contains("."), F.substring(name, F.lit(1), F.length(name) - F.length(suffix) - 1)).otherwise(name)
     # coalesce stops at the first that is there, and evaluates each once.
-    return F.upper(F.coalesce(found(name), found(path), stem))
+    return F.upper(F.coalesce(found(F.col(file_name_col)), found(path), stem))
 
 
 def filter_quarters(df: DataFrame, quarters: list[str] | None) -> DataFrame:

@@ -37,3 +37,10 @@ def test_a_compressed_tape_is_read_as_a_plain_one(spark, tmp_path):
     assert got["none"] == got["gzip"] and len(got["gzip"][0]) == 500
     size = {c: sum(f.stat().st_size for f in (tmp_path / c).rglob("part-*")) for c in got}
     assert size["gzip"] < size["none"] / 5
+
+
+def test_a_compressed_tape_without_a_quarter_has_the_plain_stem(spark):
+    names = spark.createDataFrame([("/t/part-1.c000.csv.gz",), ("/t/part-1.c000.csv",), ("/t/x2001q3.gz",),
+                                   ("/t/plain",)], "_file string")
+    got = names.withColumn("_file_name", F.substring_index("_file", "/", -1)).select(TP.quarter_of().alias("q"))
+    assert [r.q for r in got.collect()] == ["PART-1.C000", "PART-1.C000", "2001Q3", "PLAIN"]
